@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import line_dedup, quality_rules
+from . import line_dedup, mixing, quality_rules
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op5_source_mixing": mixing.op5_source_mixing,
     "op7_quality_rules": quality_rules.op7_quality_rules,
 }
 SQL = {
     "op2_line_dedup": line_dedup.OP2_SQL,
+    "op5_source_mixing": mixing.OP5_SQL,
     "op7_quality_rules": quality_rules.OP7_SQL,
 }
