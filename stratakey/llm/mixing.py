@@ -58,7 +58,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_repea
 def block_quotas(targets: DataFrame, n_shards: int = 8, max_block: int = 512, max_repeats: int = 2) -> DataFrame:
     """(source, rank, shard, block, quota): blocks of `block` words that each shard takes of each source."""
     everything = Window.partitionBy()
-    block = F.greatest(F.lit(1), F.least(F.lit(max_block), F.floor(F.min(F.when(F.col("target") > 0, F.col("target"))).over(everything) / 64))).cast("long")
+    block = F.greatest(F.lit(1), F.least(F.lit(max_block), F.floor(F.min(F.when(F.col("target") > 0, F.col("target"))).over(everything) / 256))).cast("long")
     t = targets.where("target > 0").select("source", "rank", "source_size", "target", block.alias("block"), F.count(F.lit(1)).over(everything).alias("n"), F.sum("target").over(everything).alias("all"))
     shard = F.explode(F.sequence(F.lit(1), F.lit(n_shards))).alias("shard")
     t = t.select("*", F.floor(F.col("all") / F.col("block") + 0.5).cast("long").alias("house"), shard)
@@ -148,7 +148,7 @@ l as (select *, coalesce(sum(cap) over (o rows between unbounded preceding and 1
 f as (select *, mix100 - 100 * capped as left100, cap * 100 * w_left <= (mix100 - 100 * capped) * weight as is_full from l),
 lev as (select arg_min(left100, capped) as l100, arg_min(w_left, capped) as wl from f where not is_full),
 t as (select source, source_size, rank, case when is_full then cap::double else (weight * l100)::double / (100 * wl)::double end as target from f left join lev on true),
-b as (select *, greatest(1, least(512, floor(min(target) over () / 64)))::bigint as block, count(*) over () as n, sum(target) over () as tot from t where target > 0),
+b as (select *, greatest(1, least(512, floor(min(target) over () / 256)))::bigint as block, count(*) over () as n, sum(target) over () as tot from t where target > 0),
 c as (select *, floor(tot / block + 0.5)::bigint as seats from b),
 d as (select *, target / tot * seats as fair, (ceil(source_size / block) * 2)::bigint as most from c),
 e as (select *, least(most, greatest(0, floor(fair - n / 2 - 1)))::bigint as low, least(most - 1, ceil(fair + n / 2 + 1))::bigint as high from d),
