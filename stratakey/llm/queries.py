@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import line_dedup, mixing, quality_rules
+from . import line_dedup, mixing, quality_classifier, quality_rules
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op4_quality_classifier": quality_classifier.op4_quality_classifier,
     "op5_source_mixing": mixing.op5_source_mixing,
     "op7_quality_rules": quality_rules.op7_quality_rules,
 }
