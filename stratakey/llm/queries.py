@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import line_dedup, mixing, quality_classifier, quality_rules
+from . import html_extract, line_dedup, mixing, quality_classifier, quality_rules, url_filter
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op4_quality_classifier": quality_classifier.op4_quality_classifier,
     "op5_source_mixing": mixing.op5_source_mixing,
+    "op6_url_filter": url_filter.op6_url_filter,
     "op7_quality_rules": quality_rules.op7_quality_rules,
+    "op10_html_extraction": html_extract.op10_html_extraction,
 }
 SQL = {
     "op2_line_dedup": line_dedup.OP2_SQL,
