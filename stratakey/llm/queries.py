@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import html_extract, line_dedup, mixing, quality_classifier, quality_rules, url_filter
+from . import decontaminate, html_extract, line_dedup, mixing, quality_classifier, quality_rules, url_filter
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
@@ -10,10 +10,12 @@ QUERIES = {
     "op5_source_mixing": mixing.op5_source_mixing,
     "op6_url_filter": url_filter.op6_url_filter,
     "op7_quality_rules": quality_rules.op7_quality_rules,
+    "op8_decontamination": decontaminate.op8_decontamination,
     "op10_html_extraction": html_extract.op10_html_extraction,
 }
 SQL = {
     "op2_line_dedup": line_dedup.OP2_SQL,
     "op5_source_mixing": mixing.OP5_SQL,
     "op7_quality_rules": quality_rules.OP7_SQL,
+    "op8_decontamination": decontaminate.OP8_SQL,
 }
