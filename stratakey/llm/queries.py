@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_extract, line_dedup, mixing, quality_classifier, quality_rules, url_filter
+from . import decontaminate, html_extract, jaccard_join, line_dedup, mixing, quality_classifier, quality_rules, url_filter
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_url_filter": url_filter.op6_url_filter,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_decontamination": decontaminate.op8_decontamination,
+    "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_html_extraction": html_extract.op10_html_extraction,
 }
 SQL = {
