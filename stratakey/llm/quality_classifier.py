@@ -157,9 +157,12 @@ def accumulate(net: Network, text: bytes, y: float, weight: float, grads: list)
 def training_sample(docs: DataFrame, labels: DataFrame, max_docs: int, max_chars: int) -> tuple[list[str], list[int]]:
     """The bounded sample; rows whose crc32 of doc_id leaves 1 by 3 are held out."""
     named = labels.where("quality in (0, 1)").where(remainder(F.col("doc_id")) != 1).groupBy("doc_id").agg(F.max("quality").alias("label"))
-    known = docs.select("doc_id", "text").where(F.length("text") <= max_chars).join(named, "doc_id")
-    part = lambda c: known.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_docs * (1 + c))
-    rows = part(0).unionByName(part(1)).select("text", "label").collect()
+    # lengths are joined, not texts; the chosen ids are bounded by max_docs and so can be broadcast
+    known = docs.select("doc_id", F.length("text").alias("chars")).where(F.col("chars") <= max_chars).join(named, "doc_id").groupBy("doc_id", "label").agg(F.count(F.lit(1)))
+    part = lambda c: known.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs * (1 + c)).select("doc_id", "label")
+    chosen = part(0).unionByName(part(1))
+    texts = docs.select("doc_id", "text").where(F.length("text") <= max_chars).join(F.broadcast(chosen), "doc_id")
+    rows = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text")).orderBy("doc_id").collect()
     return [r["text"] for r in rows], [int(r["label"]) for r in rows]
 
 
