@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_extract, jaccard_join, line_dedup, mixing, quality_classifier, quality_rules, url_filter
+from . import decontaminate, html_extract, jaccard_join, line_dedup, mixing, pii, quality_classifier, quality_rules, url_filter
 
 QUERIES = {
+    "op1_pii_surrogates": pii.op1_pii_surrogates,
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op4_quality_classifier": quality_classifier.op4_quality_classifier,
     "op5_source_mixing": mixing.op5_source_mixing,
