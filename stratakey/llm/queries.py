@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_extract, jaccard_join, line_dedup, mixing, pii, quality_classifier, quality_rules, url_filter
+from . import decontaminate, html_extract, jaccard_join, line_dedup, mixing, pii, quality_classifier, quality_rules, sharding, url_filter
 
 QUERIES = {
     "op1_pii_surrogates": pii.op1_pii_surrogates,
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op3_sharding": sharding.op3_sharding,
     "op4_quality_classifier": quality_classifier.op4_quality_classifier,
     "op5_source_mixing": mixing.op5_source_mixing,
     "op6_url_filter": url_filter.op6_url_filter,
