@@ -9,8 +9,8 @@
    the global order into fragments. Equal sets are one class; shingles that occur once can be in no overlap.
 3. Candidates. Two sets that are similar enough share a shingle among the first n - ceil(0.75 n) + 1 in the order (prefix
    filter), at places that leave room for the overlap (position and length filter). A list of classes with a common
-   prefix shingle is first compared with one leader only; links found join classes, and only pairs of classes not yet joined
-   are compared in the end. A group of near copies therefore costs its size, not its square, and no link
+   prefix shingle is first compared with one leader only; links found join classes, and only pairs of classes not yet joined,
+   whose parity bitmaps leave enough room for the overlap, are compared in the end. A group of near copies therefore costs its size, not its square, and no link
    between different components can be missed.
 4. Overlaps. Fragment by fragment, a pair's partial overlaps are counted and then summed per pair.
 
@@ -39,6 +39,7 @@ N = 5
 LEVELS = (2, 5, 20, 100, 1000)
 #: Fragments of the global order: the first level in four parts by hash, the others one each.
 CUTS = 4
+PARITY = 512
 FLUSH = 1_500_000  # shingles that a task gathers before it sends them
 
 
@@ -152,20 +153,25 @@ def prefix_size(n: int, percent: int) -> int:
 
 
 def ordered_sets(docs: DataFrame, order: Order, percent: int) -> DataFrame:
-    """(doc_id, set_hash, n, lead, segs): lead shingles of the segments, taken in order, are in the prefix; none if no other set can be near."""
+    """(doc_id, set_hash, n, once, lead, bits, segs): bits say of PARITY classes of shingles whether the set has an odd number; `once` shingles are in no other set; `lead` shingles of the segments, taken in order, are in
+    the prefix, none if no other set can be near."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
     n_frags = CUTS + len(LEVELS) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hashes, sizes, leads, flat, inner, outer = [], [], [], [], [0], [0]
+            hashes, sizes, alone, leads, bits, flat, inner, outer = [], [], [], [], [], [], [0], [0]
             for s in shingle_sets(b.column(1).to_pylist()):
                 m = mix(s)
                 hashes.append(int(m.sum(dtype=np.uint64)).to_bytes(8, "big") + int(mix(m ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)).to_bytes(8, "big"))
                 sizes.append(len(s))
+                odd = np.bincount((m >> np.uint64(32)).astype(np.int64) % PARITY, minlength=PARITY) & 1
+                bits.append(np.packbits(odd.astype(bool)).view(np.int64))
                 level = shared.value.level(s)
                 known = level >= 0
-                lead = max(0, prefix_size(len(s), percent) - int((~known).sum())) if len(s) else 0
+                once = int((~known).sum())
+                alone.append(once)
+                lead = max(0, prefix_size(len(s), percent) - once) if len(s) else 0
                 leads.append(lead)
                 if lead:
                     t, level = s[known], level[known]
@@ -176,12 +182,13 @@ def ordered_sets(docs: DataFrame, order: Order, percent: int) -> DataFrame:
                 outer.append(len(inner) - 1)
             values = np.concatenate(flat).view(np.int64) if flat else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(inner, pa.int32()), pa.array(values))
+            parity = pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * (PARITY // 64)), pa.array(np.concatenate(bits) if bits else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(hashes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(leads, pa.int32()), pa.ListArray.from_arrays(pa.array(outer, pa.int32()), lists)],
-                names=["doc_id", "set_hash", "n", "lead", "segs"],
+                [b.column(0), pa.array(hashes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(alone, pa.int64()), pa.array(leads, pa.int32()), parity, pa.ListArray.from_arrays(pa.array(outer, pa.int32()), lists)],
+                names=["doc_id", "set_hash", "n", "once", "lead", "bits", "segs"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, set_hash binary, n bigint, lead int, segs array<array<bigint>>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, set_hash binary, n bigint, once bigint, lead int, bits array<bigint>, segs array<array<bigint>>")
 
 
 def overlaps(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -197,57 +204,52 @@ def near(common: Column, a: Column, b: Column, percent: int) -> Column:
     return 100 * common >= percent * (a + b - common)
 
 
-def links(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose similarity reaches percent. pairs also has n_a and n_b."""
-    counted = overlaps(pairs, classes).join(pairs, ["a", "b"])
-    return counted.where(near(F.col("common"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+def compared(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """pairs (a, b, n_a, n_b) as (a, b, linked): whether the similarity reaches percent."""
+    counted = pairs.join(overlaps(pairs, classes), ["a", "b"], "left").select("a", "b", "n_a", "n_b", F.coalesce("common", F.lit(0)).alias("common"))
+    return materialise(counted.select("a", "b", near(F.col("common"), F.col("n_a"), F.col("n_b"), percent).alias("linked")), "compared-pairs")
 
 
 def may_be_near(percent: int) -> Column:
-    """Length and position filter for two places (n, at, idx) and (n_b, at_b, idx_b) of a common prefix shingle.
+    """Length, position and parity filters for two places (n, at, idx, bits) and (n_b, at_b, idx_b, bits_b) of a common prefix shingle.
 
-    at counts all shingles of the set before it, idx those of them that other sets may have.
+    at counts all shingles of the set before it, idx those of them that other sets may have. Parities that differ stand for a
+    shingle each that is in one set only.
     """
     room = F.least("idx", "idx_b") + 1 + F.least(F.col("n") - F.col("at") - 1, F.col("n_b") - F.col("at_b") - 1)
-    return near(F.least("n", "n_b"), F.col("n"), F.col("n_b"), percent) & near(F.least(room, F.least("n", "n_b")), F.col("n"), F.col("n_b"), percent)
+    differ = sum((F.bit_count(F.get("bits", i).bitwiseXOR(F.get("bits_b", i))) for i in range(PARITY // 64)), F.lit(0))
+    both = F.floor((F.col("n") + F.col("n_b") - differ) / 2)
+    return near(F.least("n", "n_b"), F.col("n"), F.col("n_b"), percent) & near(F.least(room, F.least("n", "n_b")), F.col("n"), F.col("n_b"), percent) & near(both, F.col("n"), F.col("n_b"), percent)
 
 
-def components(docs: DataFrame, percent: int = 75, rounds: int = 2, bitmap_bytes: int = 1 << 26) -> DataFrame:
+def components(docs: DataFrame, percent: int = 75, bitmap_bytes: int = 1 << 26) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     small_batches(docs.sparkSession)
     sets = materialise(ordered_sets(docs, global_order(docs, bitmap_bytes), percent), "shingle-sets")
-    groups = sets.where("lead > 0").groupBy(F.col("set_hash").alias("cls")).agg(F.first("n").alias("n"), F.first("lead").alias("lead"), F.first("segs").alias("segs"))
+    groups = sets.where("lead > 0").groupBy(F.col("set_hash").alias("cls")).agg(*[F.first(c).alias(c) for c in ("n", "once", "lead", "bits", "segs")])
     classes = materialise(groups, "shingle-classes")
-    flat = F.slice(F.flatten("segs"), 1, F.col("lead"))
-    once = F.col("n") - F.aggregate("segs", F.lit(0).cast("long"), lambda a, s: a + F.size(s))
-    places = classes.select("cls", "n", once.alias("once"), F.posexplode(flat).alias("idx", "token"))
-    places = places.select("token", "cls", "n", "idx", (F.col("once") + F.col("idx")).alias("at"))
+    places = classes.select("cls", "n", "once", F.posexplode(F.slice(F.flatten("segs"), 1, F.col("lead"))).alias("idx", "token"))
+    places = places.select("token", "cls", "n", "idx", (F.col("once") + F.col("idx")).alias("at"), (F.col("once") / F.col("n")).alias("odd"))
     common = places.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
     postings = materialise(places.join(common, "token"), "shingle-postings")
 
-    found = None
-    roots = classes.select("cls", F.col("cls").alias("root"))
-    for r in range(rounds):
-        placed = postings.join(roots, "cls")
-        pick = F.struct(F.xxhash64(F.lit(r), "cls"), "cls")
-        lead = placed.groupBy("token").agg(F.min_by(F.struct("cls", "root", "n", "at", "idx"), pick).alias("l"))
-        lead = lead.select("token", F.col("l.cls").alias("a"), F.col("l.root").alias("root_a"), F.col("l.n").alias("n_b"), F.col("l.at").alias("at_b"), F.col("l.idx").alias("idx_b"))
-        tried = placed.join(lead, "token").where(F.col("root") != F.col("root_a")).where(may_be_near(percent))
-        tried = tried.groupBy("cls", "a").agg(F.count(F.lit(1)).alias("k"), F.first("n").alias("n_b"), F.first("n_b").alias("n_a"))
-        best = tried.groupBy("cls").agg(F.max_by(F.struct("a", "n_a", "n_b"), F.struct("k", "a")).alias("p"))
-        pairs = materialise(best.select(F.col("p.a").alias("a"), F.col("cls").alias("b"), F.col("p.n_a").alias("n_a"), F.col("p.n_b").alias("n_b")), "star-pairs")
-        found = joined(found, links(pairs, classes, percent))
+    found, roots, r = None, classes.select("cls", F.col("cls").alias("root"), "bits"), 0
+    placed = unsettled(postings, roots)
+    while True:
+        tried = compared(star_pairs(placed, r, percent), classes, percent)
+        new = tried.where("linked").select("a", "b")
+        found = new if found is None else found.union(new)
         roots = rooted(classes, found)
-
-    placed = postings.join(roots, "cls")
-    sizes = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("k"))
-    largest = sizes.groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("largest"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("token", "largest")
-    open_ = materialise(placed.join(largest, "token"), "open-postings")
-    minor = open_.where(F.col("root") != F.col("largest")).select("token", "cls", "n", "at", "idx", "root")
-    other = open_.select("token", F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("at").alias("at_b"), F.col("idx").alias("idx_b"), F.col("root").alias("root_b"), (F.col("root") == F.col("largest")).alias("in_largest"))
-    pairs = minor.join(other, "token").where(F.col("root") != F.col("root_b")).where(F.col("in_largest") | (F.col("cls") < F.col("b"))).where(may_be_near(percent))
-    pairs = materialise(pairs.select(F.col("cls").alias("a"), "b", F.col("n").alias("n_a"), "n_b").distinct(), "cross-pairs")
-    roots = rooted(classes, joined(found, links(pairs, classes, percent)))
+        placed = unsettled(postings, roots)
+        cost = placed.groupBy("token", "largest").agg(F.count(F.lit(1)).alias("all"), F.count(F.when(F.col("root") != F.col("largest"), 1)).alias("minor"))
+        left = cost.agg(F.coalesce(F.sum(F.col("all") * F.col("minor")), F.lit(0)).alias("pairs"), F.coalesce(F.sum("all"), F.lit(0)).alias("places")).first()
+        won = tried.agg(F.count(F.when(F.col("linked"), 1)).alias("links"), F.count(F.lit(1)).alias("pairs")).first()
+        r += 1
+        # stars go on while they find many links and the pairs left are many times the places
+        if left["pairs"] <= 8 * left["places"] or 20 * won["links"] <= won["pairs"]:
+            break
+    rest = compared(cross_pairs(placed, percent), classes, percent)
+    roots = rooted(classes, found.union(rest.where("linked").select("a", "b")))
 
     keyed = sets.join(roots.where("root <> cls"), F.col("set_hash") == F.col("cls"), "left").select("doc_id", "n", F.coalesce("root", "set_hash").alias("root"))
     ids = keyed.where("n > 0").groupBy(F.col("root").alias("of")).agg(F.min("doc_id").alias("component_id"))
@@ -255,14 +257,42 @@ def components(docs: DataFrame, percent: int = 75, rounds: int = 2, bitmap_bytes
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def joined(found: DataFrame | None, more: DataFrame) -> DataFrame:
-    return materialise(more if found is None else found.union(more), "links")
+def unsettled(postings: DataFrame, roots: DataFrame) -> DataFrame:
+    """The places of shingles whose classes lie in several components, with root and the shingle's largest component."""
+    placed = postings.join(roots, "cls")
+    sizes = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("k"))
+    largest = sizes.groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("largest"), F.count(F.lit(1)).alias("roots"))
+    return materialise(placed.join(largest.where("roots > 1").select("token", "largest"), "token"), "open-postings")
+
+
+def star_pairs(placed: DataFrame, r: int, percent: int) -> DataFrame:
+    """At most one pair a class: with the leader that it meets most often.
+
+    A shingle's leader is a class of its largest component: first the one with the smallest part of shingles of its own, which in
+    a family of copies is the likeliest original; in later rounds another one each time.
+    """
+    pick = F.struct(F.when(F.lit(r) > 0, 0).otherwise(F.col("odd")), F.xxhash64(F.lit(r), "cls"), "cls")
+    lead = placed.where((F.lit(r) == 0) | (F.col("root") == F.col("largest"))).groupBy("token").agg(F.min_by(F.struct("cls", "root", "n", "at", "idx", "bits"), pick).alias("l"))
+    lead = lead.select("token", F.col("l.cls").alias("a"), F.col("l.root").alias("root_a"), F.col("l.n").alias("n_b"), F.col("l.at").alias("at_b"), F.col("l.idx").alias("idx_b"), F.col("l.bits").alias("bits_b"))
+    tried = placed.join(lead, "token").where(F.col("root") != F.col("root_a")).where(may_be_near(percent))
+    tried = tried.groupBy("cls", "a").agg(F.count(F.lit(1)).alias("k"), F.first("n").alias("n_b"), F.first("n_b").alias("n_a"))
+    best = tried.groupBy("cls").agg(F.max_by(F.struct("a", "n_a", "n_b"), F.struct("k", "a")).alias("p"))
+    return materialise(best.select(F.col("p.a").alias("a"), F.col("cls").alias("b"), F.col("p.n_a").alias("n_a"), F.col("p.n_b").alias("n_b")), "star-pairs")
+
+
+def cross_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """All pairs of places of a shingle in different components that may be near. One side is never in the largest component."""
+    minor = placed.where(F.col("root") != F.col("largest")).select("token", "cls", "n", "at", "idx", "bits", "root")
+    other = placed.select("token", *[F.col(c).alias(to) for c, to in (("cls", "b"), ("n", "n_b"), ("at", "at_b"), ("idx", "idx_b"), ("bits", "bits_b"), ("root", "root_b"))], (F.col("root") == F.col("largest")).alias("in_largest"))
+    once = F.col("in_largest") | (F.col("cls") < F.col("b"))
+    pairs = minor.join(other, (minor["token"] == other["token"]) & (F.col("root") != F.col("root_b")) & once & may_be_near(percent))
+    return materialise(pairs.select(F.col("cls").alias("a"), "b", F.col("n").alias("n_a"), "n_b").distinct(), "cross-pairs")
 
 
 def rooted(classes: DataFrame, found: DataFrame) -> DataFrame:
     """(cls, root) of every class under the links found so far."""
     cc = connected_components(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    return materialise(classes.select("cls").join(cc.withColumnRenamed("node", "cls"), "cls", "left").select("cls", F.coalesce("root", "cls").alias("root")), "roots")
+    return materialise(classes.select("cls", "bits").join(cc.withColumnRenamed("node", "cls"), "cls", "left").select("cls", F.coalesce("root", "cls").alias("root"), "bits"), "roots")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
