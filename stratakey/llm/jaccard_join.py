@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .store import documents, materialise, small_batches
+from .store import documents, materialise, release, small_batches, without_ids
 from .wordhash import NOT_SPACE, grams, mix, text_groups, words
 
 N = 5
@@ -145,6 +145,7 @@ def global_order(docs: DataFrame, bitmap_bytes: int, per_fragment: int = 2_000_0
         return pd.DataFrame([(key[0], *[set_bits(t[c >= least], share >> (k > 0)) for k, least in enumerate(LEVELS)])], columns=["frag", *[f"b{k}" for k in range(len(LEVELS))]])
 
     rows = fragment_counts(docs, bits).groupBy("frag").applyInPandas(count, "frag int, " + ", ".join(f"b{k} binary" for k in range(len(LEVELS)))).collect()
+    release(docs.sparkSession)
     return Order(bits, [{r["frag"]: bytes(r[f"b{k}"]) for r in rows} for k in range(len(LEVELS))])
 
 
@@ -296,9 +297,13 @@ def rooted(classes: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """docs without the near copies: of each component the rows of its least doc_id, once each."""
-    kept = components(docs.select("doc_id", "text"), **options).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").dropDuplicates(["doc_id"])
+    """docs without the near copies: of each component the rows of its least doc_id, and of equal rows of one doc_id one."""
+    found = materialise(components(docs.select("doc_id", "text"), **options), "components")
+    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone_id"))
+    kept = without_ids(docs, gone)
+    if found.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return kept
+    return kept.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]).drop("__text")
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -45,6 +46,23 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of steps whose DataFrames are gone; it does so only when the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+#: Ids that are broadcast at most: some ten MB. More are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs without the rows whose doc_id is in ids (one column, gone_id), null matching null. Texts move only if ids are many."""
+    ids = materialise(ids.distinct(), "gone-ids")
+    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return docs.join(side, docs["doc_id"].eqNullSafe(side["gone_id"]), "left_anti")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value), with value computed once however often body names it, also inside lambdas."""
     return F.element_at(F.transform(F.array(value), body), 1)
