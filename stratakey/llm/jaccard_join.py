@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .store import documents, materialise, release, small_batches, without_ids
+from .store import BROADCAST_IDS, documents, materialise, release, small_batches, without_ids
 from .wordhash import NOT_SPACE, grams, mix, text_groups, words
 
 N = 5
@@ -193,55 +193,59 @@ def ordered_sets(docs: DataFrame, order: Order, percent: int) -> DataFrame:
 
 
 def overlaps(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """pairs (a, b) with common, the size of the intersection: partial overlaps by fragment, summed."""
+    """pairs (a, b) with common, the size of the intersection: partial overlaps by fragment, summed. pairs is a stored table."""
     seg = classes.select("cls", F.posexplode("segs").alias("frag", "seg")).where(F.size("seg") > 0)
-    one = pairs.select("a", "b").join(seg.select(F.col("cls").alias("b"), "frag", F.col("seg").alias("seg_b")), "b")
-    both = one.join(seg.select(F.col("cls").alias("a"), "frag", F.col("seg").alias("seg_a")), ["a", "frag"])
-    part = both.select("a", "b", F.size(F.array_intersect("seg_a", "seg_b")).alias("part"))
+    few = F.broadcast if pairs.count() <= BROADCAST_IDS else lambda df: df  # then segments that no pair needs stay where they are
+    of_b = seg.withColumnsRenamed({"cls": "b", "seg": "seg_b"}).join(few(pairs.select("a", "b")), "b")
+    of_a = seg.withColumnsRenamed({"cls": "a", "seg": "seg_a"}).join(few(pairs.select("a").distinct()), "a", "left_semi")
+    part = of_b.join(of_a, ["a", "frag"]).select("a", "b", F.size(F.array_intersect("seg_a", "seg_b")).alias("part"))
     return part.groupBy("a", "b").agg(F.sum("part").alias("common"))
 
 
-def near(common: Column, a: Column, b: Column, percent: int) -> Column:
-    return 100 * common >= percent * (a + b - common)
-
-
 def compared(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """pairs (a, b, n_a, n_b) as (a, b, linked): whether the similarity reaches percent."""
     counted = pairs.join(overlaps(pairs, classes), ["a", "b"], "left").select("a", "b", "n_a", "n_b", F.coalesce("common", F.lit(0)).alias("common"))
     return materialise(counted.select("a", "b", near(F.col("common"), F.col("n_a"), F.col("n_b"), percent).alias("linked")), "compared-pairs")
 
 
+def near(common: Column, a: Column, b: Column, percent: int) -> Column:
+    return 100 * common.cast("bigint") >= percent * (a.cast("bigint") + b - common)
+
+
 def may_be_near(percent: int) -> Column:
-    """Length, position and parity filters for two places (n, at, idx, bits) and (n_b, at_b, idx_b, bits_b) of a common prefix shingle.
+    """Length and position filter for two places (n, at, idx) and (n_b, at_b, idx_b) of a common prefix shingle.
 
-    at counts all shingles of the set before it, idx those of them that other sets may have. Parities that differ stand for a
-    shingle each that is in one set only.
+    at counts all shingles of the set before it, idx those of them that other sets may have.
     """
     room = F.least("idx", "idx_b") + 1 + F.least(F.col("n") - F.col("at") - 1, F.col("n_b") - F.col("at_b") - 1)
+    return near(F.least("n", "n_b"), F.col("n"), F.col("n_b"), percent) & near(F.least(room, F.least("n", "n_b")), F.col("n"), F.col("n_b"), percent)
+
+
+def parities_allow(percent: int) -> Column:
+    """The same for bits and bits_b: parities that differ stand for a shingle each that is in one set only."""
     differ = sum((F.bit_count(F.get("bits", i).bitwiseXOR(F.get("bits_b", i))) for i in range(PARITY // 64)), F.lit(0))
-    both = F.floor((F.col("n") + F.col("n_b") - differ) / 2)
-    return near(F.least("n", "n_b"), F.col("n"), F.col("n_b"), percent) & near(F.least(room, F.least("n", "n_b")), F.col("n"), F.col("n_b"), percent) & near(both, F.col("n"), F.col("n_b"), percent)
+    return near(F.floor((F.col("n") + F.col("n_b") - differ) / 2), F.col("n"), F.col("n_b"), percent)
 
 
 def components(docs: DataFrame, percent: int = 75, bitmap_bytes: int = 1 << 26) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     small_batches(docs.sparkSession)
     sets = materialise(ordered_sets(docs, global_order(docs, bitmap_bytes), percent), "shingle-sets")
-    groups = sets.where("lead > 0").groupBy(F.col("set_hash").alias("cls")).agg(*[F.first(c).alias(c) for c in ("n", "once", "lead", "bits", "segs")])
-    classes = materialise(groups, "shingle-classes")
+    # a set with an equal one has no shingle of its own, so sets without a lead are alone
+    groups = sets.where("lead > 0").groupBy("set_hash").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "once", "lead", "bits", "segs")])
+    classes = materialise(groups.withColumn("cls", F.monotonically_increasing_id()), "shingle-classes")
     places = classes.select("cls", "n", "once", F.posexplode(F.slice(F.flatten("segs"), 1, F.col("lead"))).alias("idx", "token"))
-    places = places.select("token", "cls", "n", "idx", (F.col("once") + F.col("idx")).alias("at"), (F.col("once") / F.col("n")).alias("odd"))
+    places = places.select("token", "cls", F.col("n").cast("int").alias("n"), "idx", (F.col("once") + F.col("idx")).cast("int").alias("at"))
     common = places.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
-    postings = materialise(places.join(common, "token"), "shingle-postings")
 
-    found, roots, r = None, classes.select("cls", F.col("cls").alias("root"), "bits"), 0
-    placed = unsettled(postings, roots)
+    found, roots, r = None, classes.select("cls", F.col("cls").alias("root")), 0
+    placed = unsettled(places.join(common, "token"), roots)
     while True:
         tried = compared(star_pairs(placed, r, percent), classes, percent)
         new = tried.where("linked").select("a", "b")
         found = new if found is None else found.union(new)
         roots = rooted(classes, found)
-        placed = unsettled(postings, roots)
+        placed = unsettled(placed.select("token", "cls", "n", "idx", "at"), roots)
         cost = placed.groupBy("token", "largest").agg(F.count(F.lit(1)).alias("all"), F.count(F.when(F.col("root") != F.col("largest"), 1)).alias("minor"))
         left = cost.agg(F.coalesce(F.sum(F.col("all") * F.col("minor")), F.lit(0)).alias("pairs"), F.coalesce(F.sum("all"), F.lit(0)).alias("places")).first()
         won = tried.agg(F.count(F.when(F.col("linked"), 1)).alias("links"), F.count(F.lit(1)).alias("pairs")).first()
@@ -249,13 +253,13 @@ def components(docs: DataFrame, percent: int = 75, bitmap_bytes: int = 1 << 26)
         # stars go on while they find many links and the pairs left are many times the places
         if left["pairs"] <= 8 * left["places"] or 20 * won["links"] <= won["pairs"]:
             break
-    rest = compared(cross_pairs(placed, percent), classes, percent)
+    rest = compared(cross_pairs(placed, classes, percent), classes, percent)
     roots = rooted(classes, found.union(rest.where("linked").select("a", "b")))
 
-    keyed = sets.join(roots.where("root <> cls"), F.col("set_hash") == F.col("cls"), "left").select("doc_id", "n", F.coalesce("root", "set_hash").alias("root"))
-    ids = keyed.where("n > 0").groupBy(F.col("root").alias("of")).agg(F.min("doc_id").alias("component_id"))
-    out = keyed.join(ids, F.col("root") == F.col("of"), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    least = roots.join(classes.select("cls", "rep"), "cls").groupBy("root").agg(F.min("rep").alias("component_id"))
+    of_set = classes.select(F.col("set_hash").alias("of"), "cls").join(roots, "cls").join(least, "root").select("of", "component_id", F.lit(True).alias("known"))
+    out = sets.select("doc_id", "n", "set_hash").join(of_set, F.col("set_hash") == F.col("of"), "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("known"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def unsettled(postings: DataFrame, roots: DataFrame) -> DataFrame:
@@ -272,28 +276,30 @@ def star_pairs(placed: DataFrame, r: int, percent: int) -> DataFrame:
     A shingle's leader is a class of its largest component: first the one with the smallest part of shingles of its own, which in
     a family of copies is the likeliest original; in later rounds another one each time.
     """
-    pick = F.struct(F.when(F.lit(r) > 0, 0).otherwise(F.col("odd")), F.xxhash64(F.lit(r), "cls"), "cls")
-    lead = placed.where((F.lit(r) == 0) | (F.col("root") == F.col("largest"))).groupBy("token").agg(F.min_by(F.struct("cls", "root", "n", "at", "idx", "bits"), pick).alias("l"))
-    lead = lead.select("token", F.col("l.cls").alias("a"), F.col("l.root").alias("root_a"), F.col("l.n").alias("n_b"), F.col("l.at").alias("at_b"), F.col("l.idx").alias("idx_b"), F.col("l.bits").alias("bits_b"))
+    own = F.col("at") - F.col("idx")
+    pick = F.struct(F.when(F.lit(r) > 0, 0.0).otherwise(own / F.col("n")), F.xxhash64(F.lit(r), "cls"), "cls")
+    lead = placed.where((F.lit(r) == 0) | (F.col("root") == F.col("largest"))).groupBy("token").agg(F.min_by(F.struct("cls", "root", "n", "at", "idx"), pick).alias("l"))
+    lead = lead.select("token", F.col("l.cls").alias("a"), F.col("l.root").alias("root_a"), F.col("l.n").alias("n_b"), F.col("l.at").alias("at_b"), F.col("l.idx").alias("idx_b"))
     tried = placed.join(lead, "token").where(F.col("root") != F.col("root_a")).where(may_be_near(percent))
     tried = tried.groupBy("cls", "a").agg(F.count(F.lit(1)).alias("k"), F.first("n").alias("n_b"), F.first("n_b").alias("n_a"))
     best = tried.groupBy("cls").agg(F.max_by(F.struct("a", "n_a", "n_b"), F.struct("k", "a")).alias("p"))
     return materialise(best.select(F.col("p.a").alias("a"), F.col("cls").alias("b"), F.col("p.n_a").alias("n_a"), F.col("p.n_b").alias("n_b")), "star-pairs")
 
 
-def cross_pairs(placed: DataFrame, percent: int) -> DataFrame:
+def cross_pairs(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """All pairs of places of a shingle in different components that may be near. One side is never in the largest component."""
-    minor = placed.where(F.col("root") != F.col("largest")).select("token", "cls", "n", "at", "idx", "bits", "root")
-    other = placed.select("token", *[F.col(c).alias(to) for c, to in (("cls", "b"), ("n", "n_b"), ("at", "at_b"), ("idx", "idx_b"), ("bits", "bits_b"), ("root", "root_b"))], (F.col("root") == F.col("largest")).alias("in_largest"))
+    full = placed.join(classes.select("cls", "bits"), "cls")
+    minor = full.where(F.col("root") != F.col("largest")).select("token", "cls", "n", "at", "idx", "bits", "root")
+    other = full.select("token", *[F.col(c).alias(to) for c, to in (("cls", "b"), ("n", "n_b"), ("at", "at_b"), ("idx", "idx_b"), ("bits", "bits_b"), ("root", "root_b"))], (F.col("root") == F.col("largest")).alias("in_largest"))
     once = F.col("in_largest") | (F.col("cls") < F.col("b"))
-    pairs = minor.join(other, (minor["token"] == other["token"]) & (F.col("root") != F.col("root_b")) & once & may_be_near(percent))
+    pairs = minor.join(other, (minor["token"] == other["token"]) & (F.col("root") != F.col("root_b")) & once & may_be_near(percent) & parities_allow(percent))
     return materialise(pairs.select(F.col("cls").alias("a"), "b", F.col("n").alias("n_a"), "n_b").distinct(), "cross-pairs")
 
 
 def rooted(classes: DataFrame, found: DataFrame) -> DataFrame:
     """(cls, root) of every class under the links found so far."""
-    cc = connected_components(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    return materialise(classes.select("cls", "bits").join(cc.withColumnRenamed("node", "cls"), "cls", "left").select("cls", F.coalesce("root", "cls").alias("root"), "bits"), "roots")
+    cc = connected_components(found.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "cls")
+    return materialise(classes.select("cls").join(cc, "cls", "left").select("cls", F.coalesce("root", "cls").alias("root")), "roots")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
