@@ -37,12 +37,14 @@ def timestamp_text(ts: Column, kind: T.DataType, fmt: str = ISO) -> Column:
 
 
 def interval_micros(i: Column) -> Column:
-    part = lambda u: F.extract(F.lit(u), i)
+    whole = i.cast(T.DayTimeIntervalType())
+    part = lambda u: F.extract(F.lit(u), whole)
     return ((part("DAY") * 24 + part("HOUR")) * 60 + part("MINUTE")).cast("bigint") * 60000000 + (part("SECOND") * 1000000).cast("bigint")
 
 
 def interval_months(i: Column) -> Column:
-    return (F.extract(F.lit("YEAR"), i) * 12 + F.extract(F.lit("MONTH"), i)).cast("int")
+    whole = i.cast(T.YearMonthIntervalType())
+    return (F.extract(F.lit("YEAR"), whole) * 12 + F.extract(F.lit("MONTH"), whole)).cast("int")
 
 
 def decimal_to_long(d: Column, wrap: bool = False) -> Column:

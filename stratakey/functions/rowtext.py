@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..nodetext import NodeTextError, dump, parse, plain
-from .codecs import SQL, decimal_to_long, interval_months, time_text, timestamp_text
+from .codecs import SQL, decimal_to_long, interval_micros, interval_months, time_text, timestamp_text
 
 
 def quoted(s: Column) -> Column:
@@ -47,8 +47,7 @@ def encode(value: Column, kind: T.DataType, fmt: str = SQL) -> Column:
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         out = quoted(timestamp_text(value, kind, fmt))
     elif isinstance(kind, T.DayTimeIntervalType):  # milliseconds here, microseconds in the table
-        seconds = F.extract(F.lit("DAY"), value) * 86400 + F.extract(F.lit("HOUR"), value) * 3600 + F.extract(F.lit("MINUTE"), value) * 60
-        out = (seconds.cast("bigint") * 1000 + (F.extract(F.lit("SECOND"), value) * 1000).cast("bigint")).cast("string")
+        out = F.floor(interval_micros(value) / 1000).cast("bigint").cast("string")
     elif isinstance(kind, T.YearMonthIntervalType):
         out = interval_months(value).cast("string")
     elif kind.typeName() == "time":
@@ -64,7 +63,7 @@ def encode(value: Column, kind: T.DataType, fmt: str = SQL) -> Column:
         out = F.concat(F.lit("{"), F.concat_ws(";", *fields), F.lit("}"))
     else:
         raise ValueError(f"{kind.simpleString()} has no notation")
-    return F.coalesce(out, F.lit("#"))
+    return F.when(value.isNull(), F.lit("#")).otherwise(out)
 
 
 def encode_row(columns: dict[str, tuple[Column, T.DataType]], fmt: str = SQL) -> Column:

@@ -20,10 +20,16 @@ def signed(u: int) -> int:
     return u - RANGE if u >= RANGE // 2 else u
 
 
+def divided(a: Column, b: Column) -> Column:
+    """The whole part of a / b for whole numbers of any size; decimal division would round."""
+    a, b = a.cast("decimal(38,0)"), b.cast("decimal(38,0)")
+    return ((a - F.pmod(a, b)) / b).cast("decimal(38,0)")
+
+
 def pivot_table(spark: SparkSession, n: int) -> DataFrame:
     """(shard, pivot, pivot_signed) for a table of n shards; the first pivot is 0 here."""
     i = F.col("id").cast("int")
-    p = F.floor(F.lit(str(RANGE)).cast("decimal(22,0)") * i / F.lit(n)).cast(U)
+    p = divided(F.lit(str(RANGE)).cast("decimal(22,0)") * i, F.lit(n)).cast(U)
     return spark.range(n).select(i.alias("shard"), p.alias("pivot"), to_signed(p).alias("pivot_signed"))
 
 
@@ -40,10 +46,9 @@ def to_unsigned(x: Column) -> Column:
 
 def shard_of(hash_: Column, n: int) -> Column:
     """The shard of a signed 64-bit hash among n; a rounded-down pivot belongs to the shard above it."""
-    u = to_unsigned(hash_)
-    whole = F.lit(str(RANGE)).cast("decimal(22,0)")
-    t = F.floor((u * F.lit(n).cast("decimal(6,0)")).cast("decimal(30,0)") / whole).cast("int")
-    next_ = F.floor((t + 1).cast("decimal(8,0)") * whole / F.lit(n).cast("decimal(6,0)")).cast("decimal(22,0)")
+    u, whole = to_unsigned(hash_), F.lit(str(RANGE)).cast("decimal(22,0)")
+    t = divided(u * F.lit(n).cast("decimal(6,0)"), whole).cast("int")
+    next_ = divided((t + 1).cast("decimal(8,0)") * whole, F.lit(n))
     return F.least(t + F.when(u >= next_, 1).otherwise(0), F.lit(n - 1)).cast("int")
 
 
