@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import documents, materialise, small_batches, without_ids
+from .store import documents, materialise, small_batches, trim, without_ids
 from .wordhash import ALNUM, grams, text_groups, words
 
 SPAN, K = 10, 5
@@ -72,6 +72,7 @@ def found_windows(df: DataFrame, key: str, lengths: list[int], bitmap: np.ndarra
                 parts = [pa.array(pos[order].astype(np.int32)), pa.array(size[order].astype(np.int32)), pa.array(fp[order].astype(np.uint64).view(np.int64)), pa.array(win[order].astype(np.uint64).view(np.int64))]
                 found = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(parts, names=["pos", "len", "fp", "win"])).cast(_FOUND_ARROW)
                 yield pa.RecordBatch.from_arrays([keys.slice(lo, hi - lo), pa.array(n.astype(np.int64)), found], names=[key, "n_words", "found"])
+        trim()
 
     kind = dict(df.dtypes)[key]
     return df.select(key, "text").mapInArrow(run, f"{key} {kind}, n_words bigint, found {FOUND}")

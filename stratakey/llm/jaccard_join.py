@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .store import BROADCAST_IDS, documents, materialise, release, small_batches, without_ids
+from .store import BROADCAST_IDS, documents, materialise, release, small_batches, trim, without_ids
 from .wordhash import NOT_SPACE, grams, mix, text_groups, words
 
 N = 5
@@ -59,14 +59,17 @@ def shingle_sets(texts: list[str | None], n: int = N) -> Iterator[np.ndarray]:
 
 
 def fragment_counts(docs: DataFrame, bits: int) -> DataFrame:
-    """(frag, ones, more, counts): per batch and fragment, the shingles seen once, those seen more often, and how often."""
+    """(frag, ones, more, counts): per batch and fragment, the shingles seen once, those seen more often, and how often.
+
+    Inside a fragment 32 more bits of a shingle's hash are enough: two that agree in them share a count, which moves both later.
+    """
 
     def emit(gathered: list[np.ndarray]) -> pa.RecordBatch:
         u, c = np.unique(np.concatenate(gathered), return_counts=True)
         cut = np.searchsorted(u >> np.uint64(64 - bits), np.arange(2**bits + 1, dtype=np.uint64))
         rows = []
         for f in range(2**bits):
-            t, k = u[cut[f] : cut[f + 1]], c[cut[f] : cut[f + 1]]
+            t, k = within(u[cut[f] : cut[f + 1]], bits).astype(np.uint32), c[cut[f] : cut[f + 1]]
             if len(t):
                 rows.append((f, t[k == 1].tobytes(), t[k > 1].tobytes(), k[k > 1].astype(np.uint32).tobytes()))
         cols = list(zip(*rows))
@@ -84,18 +87,24 @@ def fragment_counts(docs: DataFrame, bits: int) -> DataFrame:
                     gathered, size = [], 0
         if gathered:
             yield emit(gathered)
+        trim()
 
     return docs.select("text").mapInArrow(run, "frag int, ones binary, more binary, counts binary")
 
 
+def within(t: np.ndarray, bits: int) -> np.ndarray:
+    """The 32 bits of the hashes after those that name the fragment."""
+    return t << np.uint64(bits) >> np.uint64(32)
+
+
 def probes(t: np.ndarray) -> list[np.ndarray]:
     return [t * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(20), t * np.uint64(0xA0761D6478BD642F) >> np.uint64(20), t * np.uint64(0xE7037ED1A0B428DB) >> np.uint64(20)]
 
 
 def set_bits(t: np.ndarray, most_bytes: int) -> bytes:
-    """A bitmap of the shingles t, of 16 bits for each and at most most_bytes."""
+    """A bitmap of the shingles t, of 8 bits for each at least and at most most_bytes in all."""
     size = 8
-    while size < most_bytes and size * 8 < 16 * len(t):
+    while size < most_bytes and size * 8 < 8 * len(t):
         size *= 2
     out = np.zeros(size * 8, bool)
     for p in probes(t):
@@ -121,7 +130,7 @@ class Order:
             x = t[left]
             f = (x >> np.uint64(64 - self.bits)).astype(np.int64)
             ok = np.ones(len(x), bool)
-            for p in probes(x):
+            for p in probes(within(x, self.bits)):
                 bit = p & mask[f]
                 ok &= (data[start[f] + (bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
             left = left[ok]
@@ -136,13 +145,13 @@ def global_order(docs: DataFrame, bitmap_bytes: int, per_fragment: int = 2_000_0
 
     def count(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
         read = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in parts[c]])
-        t = np.concatenate([ones := read("ones", np.uint64), read("more", np.uint64)])
+        t = np.concatenate([ones := read("ones", np.uint32), read("more", np.uint32)])
         c = np.concatenate([np.ones(len(ones), np.int64), read("counts", np.uint32).astype(np.int64)])
         order = np.argsort(t)
         t, c = t[order], c[order]
         first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
         t, c = t[first], np.add.reduceat(c, first)
-        return pd.DataFrame([(key[0], *[set_bits(t[c >= least], share >> (k > 0)) for k, least in enumerate(LEVELS)])], columns=["frag", *[f"b{k}" for k in range(len(LEVELS))]])
+        return pd.DataFrame([(key[0], *[set_bits(t[c >= least].astype(np.uint64), share >> (k > 0)) for k, least in enumerate(LEVELS)])], columns=["frag", *[f"b{k}" for k in range(len(LEVELS))]])
 
     rows = fragment_counts(docs, bits).groupBy("frag").applyInPandas(count, "frag int, " + ", ".join(f"b{k} binary" for k in range(len(LEVELS)))).collect()
     release(docs.sparkSession)
@@ -188,6 +197,7 @@ def ordered_sets(docs: DataFrame, order: Order, percent: int) -> DataFrame:
                 [b.column(0), pa.array(hashes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(alone, pa.int64()), pa.array(leads, pa.int32()), parity, pa.ListArray.from_arrays(pa.array(outer, pa.int32()), lists)],
                 names=["doc_id", "set_hash", "n", "once", "lead", "bits", "segs"],
             )
+        trim()
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, set_hash binary, n bigint, once bigint, lead int, bits array<bigint>, segs array<array<bigint>>")
 

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import documents, small_batches
+from .store import documents, small_batches, trim
 
 WIDTH, STRIDE = 16, 4  # bytes that a filter sees, and from one place to the next
 CELL, CHUNK, HOP = 64, 4, 3  # places in a cell, cells in a chunk, cells from one chunk to the next
@@ -181,6 +181,7 @@ def score_column(net: Network, text: Column) -> Column:
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in parts:
             yield pd.Series([net.score(t) for t in s], dtype="float64")
+        trim()
 
     return score(text)
 

@@ -8,7 +8,8 @@ version, which fails if another writer has taken that version. Readers name a ve
 that no kept version names are deleted after the commit.
 
 The driver holds the manifest only: an entry a shard. Defined cases: an empty arrival adds no run and no version; repeated
-rows are kept; null ids arrive first; any columns are stored as they are.
+rows are kept; null ids arrive first; any columns are stored as they are, but reading adds `shard` and `manifest_version`, so
+columns of these names are refused.
 """
 
 from __future__ import annotations
@@ -103,6 +104,8 @@ class ShardStore:
 
     def append(self, arrivals: DataFrame, arrival: Column | None = None) -> int:
         """Adds each arrival as a run, all in one job and one commit; without `arrival` the rows are one arrival."""
+        if taken := {"shard", "manifest_version", ARRIVAL} & set(arrivals.columns):
+            raise ValueError(f"columns with reserved names: {', '.join(sorted(taken))}")
         version, runs = self.manifest()
         path = fresh_name(f"{self.root}/data/a{version + 1:09d}")
         if arrival is None:
@@ -193,5 +196,5 @@ def shard_documents(docs: DataFrame, n_arrivals: int = 8, root: str | None = Non
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = shard_documents(documents(spark, sf_dir))
-    return out.select("doc_id", "source", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "shard", "manifest_version")
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang", "source", "n_chars")
+    return shard_documents(docs).select("doc_id", "source", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "shard", "manifest_version")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,8 +51,17 @@ def remove(spark: SparkSession, path: str) -> None:
 
 def release(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of steps whose DataFrames are gone; it does so only when the driver collects garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
+
+
+def trim() -> None:
+    """At the end of a task over whole texts: gives freed memory back, so that an idle Python worker stays small."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
 
 
 #: Ids that are broadcast at most: some ten MB. More are joined by a shuffle.
