@@ -36,7 +36,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stores the mix as shards; adds each row's shard and the version of the manifest."""
-    return sharding.shard_documents(docs)
+    # a reserved name among the input's own columns is passed on under another
+    named = {c: f"{c}_in" for c in ("shard", "manifest_version") if c in docs.columns}
+    return sharding.shard_documents(docs.withColumnsRenamed(named))
 
 
 STAGES = [
