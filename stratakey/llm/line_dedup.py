@@ -95,7 +95,8 @@ def fold(rows: DataFrame) -> DataFrame:
 
 def batches(lines: DataFrame, n: int) -> Iterator[DataFrame]:
     """n ranges of doc_id, from the largest down; null ids come last."""
-    cuts = sorted({float(c) for c in lines.stat.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.01)}, reverse=True)
+    at = [i / n for i in range(1, n)]
+    cuts = sorted({float(c) for c in lines.stat.approxQuantile("doc_id", at, 0.01)}, reverse=True) if at else []
     d, above = F.col("doc_id"), None
     for c in cuts:
         yield lines.where(d > c if above is None else (d > c) & (d <= above))
