@@ -55,7 +55,7 @@ def measures(text: Column) -> Column:
     t = F.coalesce(text, F.lit(""))
     words = F.regexp_extract_all(t, F.lit(f"([^{WS}]+)"), F.lit(1))
     lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(f"[^{WS}]"))
-    stops = F.array(*[F.lit(w) for w in sorted({w for ws in STOP_WORDS.values() for w in ws})])
+    stops = sorted({w for ws in STOP_WORDS.values() for w in ws})
 
     def counts(w: Column, ls: Column) -> Column:
         n = F.size(w)
@@ -66,7 +66,7 @@ def measures(text: Column) -> Column:
             (F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("n_dup_lines"),
             repeated_words(w, 5).alias("n_repeat_words"),
             F.size(ls).cast("long").alias("n_lines"),
-            F.size(F.filter(w, lambda x: F.array_contains(stops, F.lower(x)))).cast("long").alias("n_stop"),
+            F.size(F.filter(w, lambda x: F.lower(x).isin(stops))).cast("long").alias("n_stop"),
             F.length(F.regexp_replace(t, r"[^\p{Lu}]+", "")).cast("long").alias("n_upper"),
             F.size(F.filter(ls, lambda x: x.rlike(r"^\s*[-*•]"))).cast("long").alias("n_bullets"),
             F.size(F.filter(ls, lambda x: x.rlike(r"(\.\.\.|…)\s*$"))).cast("long").alias("n_ellipsis"),
@@ -92,10 +92,12 @@ def measures(text: Column) -> Column:
 def repeated_words(words: Column, n: int) -> Column:
     """Words inside n-word windows that occur at least twice, first occurrences included.
 
-    Windows are hashed, sorted with their positions, and those with an equal neighbour are kept: n log n in the words.
+    Windows are hashed. Only where some hash is there twice are they sorted with their positions, and those with an equal neighbour
+    kept: n log n in the words at most.
     """
     last = F.size(words) - n
-    windows = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(F.xxhash64(F.slice(words, i + 1, n)).alias("h"), i.alias("i")))
+    hashes = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(words, i + 1, n)))
+    zero = F.lit(0).cast("long")
 
     def again(s: Column) -> Column:
         same = lambda j, k: F.coalesce(F.get(s, j)["h"] == F.get(s, k)["h"], F.lit(False))
@@ -104,7 +106,11 @@ def repeated_words(words: Column, n: int) -> Column:
         step = lambda a, x: F.struct((a["total"] + (x + n - F.greatest(x, a["end"]))).cast("long").alias("total"), (x + n).alias("end"))
         return F.aggregate(F.array_sort(twice), start, step, lambda a: a["total"])
 
-    return F.when(last < 1, F.lit(0).cast("long")).otherwise(let(F.array_sort(windows), again))
+    def some(h: Column) -> Column:
+        placed = F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), zero).otherwise(let(F.array_sort(placed), again))
+
+    return F.when(last < 1, zero).otherwise(let(hashes, some))
 
 
 def verdict(m: Column, rules: Sequence[Rule] = RULES) -> Column:
