@@ -88,6 +88,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+def small_batches(spark: SparkSession, rows: int = 250) -> None:
     """Fewer rows a batch for functions over whole texts, so that a batch of long ones fits a worker's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
