@@ -324,3 +324,22 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components(documents(spark, sf_dir))
+
+
+OP9_SQL = r"""
+with recursive d as (
+  select row_number() over () as rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+p as (select rid, unnest(w) as x, unnest(range(len(w))) as i from d),
+g as (
+  select rid, x || ' ' || lead(x, 1) over o || ' ' || lead(x, 2) over o || ' ' || lead(x, 3) over o || ' ' || lead(x, 4) over o as s from p window o as (partition by rid order by i)
+  union all select rid, array_to_string(w, ' ') from d where len(w) between 1 and 4),
+s as (select distinct rid, s from g where s is not null),
+n as (select rid, count(*) as n from s group by rid),
+c as (select a.rid as a, b.rid as b, count(*) as k from s a join s b on a.s = b.s and a.rid < b.rid group by all),
+l as (select a, b from c join n x on x.rid = a join n y on y.rid = b where 100 * k >= 75 * (x.n + y.n - k)),
+e as (select a, b from l union select b, a from l),
+r as (select rid as a, rid as b from n union select r.a, e.b from r join e on r.b = e.a),
+m as (select r.a, min(d.doc_id) as component_id from r join d on d.rid = r.b group by r.a)
+select doc_id, coalesce(n.n, 0)::bigint as n_shingles, case when n.n is null then doc_id else component_id end as component_id
+from d left join n using (rid) left join m on m.a = d.rid
+"""

@@ -21,4 +21,5 @@ SQL = {
     "op5_source_mixing": mixing.OP5_SQL,
     "op7_quality_rules": quality_rules.OP7_SQL,
     "op8_decontamination": decontaminate.OP8_SQL,
+    "op9_jaccard_join": jaccard_join.OP9_SQL,
 }
