@@ -13,9 +13,10 @@ MODIFICATION, TRANSACTION = 1_000, 99_000
 def numbered(df: DataFrame, order_by: Sequence[str], name: str = "n") -> DataFrame:
     """df with 0, 1, 2.. in the order, without bringing all rows to one task.
 
-    Rows are range-partitioned and numbered within their partition; the partitions' sizes, a row each, give the offsets.
+    Rows are range-partitioned and numbered within their partition; the partitions' sizes, a row each, give the offsets. The
+    partitioned rows are cached, because a second evaluation could draw other ranges; they stay cached for the caller.
     """
-    parts = df.repartitionByRange(*order_by).withColumn("__part", F.spark_partition_id())
+    parts = df.repartitionByRange(*order_by).withColumn("__part", F.spark_partition_id()).persist()
     sizes = parts.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
     before = F.coalesce(F.sum("__size").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = sizes.select("__part", before.alias("__before"))

@@ -270,7 +270,7 @@ def test_metrics_are_published_with_the_commit(spark):
 
 
 def test_rows_are_numbered_in_order(spark):
-    df = spark.range(1000).select((F.lit(999) - F.col("id")).alias("k")).repartition(7)
+    df = spark.range(1000).select((F.lit(999) - F.col("id")).alias("k"), F.uuid().alias("more")).repartition(7)
     assert all(r.k == r.n for r in batches.numbered(df, ["k"]).collect())
 
 
