@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -43,3 +43,18 @@ def memory_bytes(size: Column) -> Column:
     for i, u in enumerate("kmg", 1):
         factor = factor.when(unit.isin(u, u + "b"), 1024**i)
     return n * factor.cast("bigint")
+
+
+#: SQL bodies by signature; Spark inlines them, so they are as fast as the expressions above.
+SQL_FUNCTIONS = {
+    "simple_hash(s STRING) RETURNS INT": """coalesce(cast(pmod(aggregate(filter(split(s, ''), c -> c <> ''), 0L, (a, c) -> (a * 31 + ascii(c)) % 4294967296L,
+        a -> if(a >= 2147483648L, a - 4294967296L, a)), 1000) AS INT), 0)""",
+}
+
+
+def register(spark: SparkSession, java: dict[str, tuple[str, str]] | None = None) -> None:
+    """Makes the functions known to SQL; java adds functions by class name, as name to (class, return type)."""
+    for signature, body in SQL_FUNCTIONS.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURN {body}")
+    for name, (cls, kind) in (java or {}).items():
+        spark.udf.registerJavaFunction(name, cls, kind)

@@ -168,3 +168,9 @@ def test_simple_hash(spark, s):
 
 def test_simple_hash_of_null(spark):
     assert value(spark, scalar.simple_hash(F.lit(None).cast("string"))) == 0
+
+
+def test_functions_in_sql(spark):
+    scalar.register(spark)
+    got = spark.sql("select simple_hash(w) h, w from values ('hello world'), (''), (null) t(w)").collect()
+    assert [r.h for r in got] == [java_hash(r.w or "") for r in got]
