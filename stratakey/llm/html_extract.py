@@ -32,10 +32,14 @@ CONTAINERS = {"html", "body", "main", "article", "section", "div", "td", "table"
 BLOCKS = CONTAINERS | SKIPPED | {"p", "br", "hr", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "pre", "th", "tbody", "thead", "caption", "address", "fieldset", "summary", "hgroup", "option"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertis\w*|sponsor\w*|promo\w*|banner\w*|side-?bars?|comments?|comment-?list|discussion|replies|respond|disqus\w*|menus?|nav|navbar|navigation|breadcrumbs?|notices?|cookies?|consent"
-    r"|gdpr|foot|footer|header|masthead|share|sharing|social|related|recommend\w*|newsletter|subscri\w*|popup|modal|overlay|alert|login|signup|search|widget\w*|pagination|pager|toolbar|contentinfo|complementary|search)(?:$|[\s_-])",
+    r"(?:^|[\s_-])(?:ads?|promo\w*|banner\w*|discussion|replies|respond|menus?|nav|navigation|notices?|consent|gdpr|foot|footer|header|masthead|share|sharing|social|related|recommend\w*|subscri\w*"
+    r"|popup|modal|overlay|alert|login|signup|search|widget\w*|pagination|pager|toolbar|contentinfo|complementary)(?:$|[\s_-])"
+    # words that say it wherever they stand, but for pages that merely have one
+    r"|(?<!has-)(?<!with-)(?<!no-)(?:advert|sponsor|side-?bar|comment|cookie|newsletter|breadcrumb|navbar|disqus)",
     re.I,
 )
+#: Containers of the text itself are never noise, whatever their classes say of the page.
+WHOLE = {"html", "body", "main", "article"}
 
 
 class Block:
@@ -57,7 +61,7 @@ def noisy(tag: str, attributes: str, stack: list[tuple[str, str, bool]]) -> bool
     inside = any(t in ("article", "main") for t, _, _ in stack)
     if tag == "header" and not inside:
         return True
-    return tag in CONTAINERS | {"p", "li", "span"} and any(NOISE.search(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes))
+    return tag in (CONTAINERS - WHOLE) | {"p", "li", "span"} and any(NOISE.search(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes))
 
 
 def blocks(page: str) -> list[Block]:

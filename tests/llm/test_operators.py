@@ -446,6 +446,7 @@ def test_extraction_of_the_pages(spark):
         ('<div id=content><p>The story of a page is told here at length.</p><div class="user-comments"><p>I disagree with all of this, at even greater length than that.</p></div><aside>x</aside></div>', "The story of a page is told here at length."),
         ("<article>a<br>b\n\n c<ul><li>one<li>two</ul></article><div class='cookie-notice'>We use cookies</div>", "a b c one two"),
         ("<article><p>cut off in the <b", "cut off in the"),
+        ('<body class="has-sidebar"><div class="with-sidebar"><p>The text of the page.</p></div><div class="leftsidebar">x</div><ol class="usercomments"><li>y</ol></body>', "The text of the page."),
     ],
 )
 def test_extraction(page, text):
