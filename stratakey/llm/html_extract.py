@@ -3,7 +3,7 @@
 Each page scores its containers; the best one votes for its generalised path (tags with their classes, numbers replaced) among
 the pages of its host, in Spark; then every page is read again and yields the text below its host's winning path, or below
 its own best container where that path is missing. Votes are summed before the shuffle, so a hot host is no burden; the
-winners are one row a host and Catalyst chooses how to join them.
+winners are one row a host. Up to BROADCAST_HOSTS of them, some ten MB, go to the pages; more are joined by a shuffle.
 
 Defined cases: null or empty html gives an empty text; null urls form a host of their own; a page cut off inside a tag
 keeps what came before; repeated rows give repeated results.
@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import small_batches
+from .store import materialise, small_batches
 from .url_filter import host_and_path
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z|(?=<))", re.S)
@@ -166,6 +166,9 @@ def host_paths(pages: DataFrame) -> DataFrame:
     return counts.groupBy("voted_host").agg(F.max_by("path", F.struct("n", "score", "path")).alias("winner"))
 
 
+BROADCAST_HOSTS = 100_000
+
+
 def extract_pages(pages: DataFrame) -> DataFrame:
     """pages with the column main_text."""
     small_batches(pages.sparkSession)
@@ -176,7 +179,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
             yield pd.Series([extract(h, w) for h, w in zip(htmls, winners)], dtype=object)
 
     host = host_and_path(F.col("url"))[0]
-    winners = host_paths(pages.select(host.alias("host"), "html"))
+    winners = materialise(host_paths(pages.select(host.alias("host"), "html")), "host-paths")
+    winners = F.broadcast(winners) if winners.count() <= BROADCAST_HOSTS else winners
     joined = pages.withColumn("page_host", host).join(winners, F.col("page_host") == F.col("voted_host"), "left")
     return joined.withColumn("main_text", main_text("html", "winner")).select(*pages.columns, "main_text")
 
