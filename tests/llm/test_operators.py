@@ -328,6 +328,17 @@ def test_bayes_follows_its_evidence(spark):
     assert url_filter.bayes_weights(decided.limit(0), {}) == ({}, 0.0)
 
 
+def test_rare_words_and_tokens_count(spark):
+    letters = "bcdfghjklm"
+    frequent = " ".join("x" + "".join(letters[i // 10**k % 10] for k in range(5)) for i in range(50_001))
+    docs = made(spark, [frequent, frequent, "poker casino"])
+    crowd = "/" + frequent.replace(" ", "/")
+    urls = ["http://poker.bad.com/zrare", "http://bad.com" + crowd, "http://good.com" + crowd, "http://good.com/", "http://pokercasino.org/", "http://y.org/zrare", "http://y.org/"]
+    rules = {"bad.com/": "block", "good.com/": "allow"}
+    out = {r["url"]: r["url_verdict"] for r in url_filter.judge(spark.createDataFrame([(u,) for u in urls], "url string"), docs, rules).collect()}
+    assert [out[u] for u in urls] == ["block", "block", "allow", "allow", "block", "block", "allow"]
+
+
 # 7
 
 
