@@ -1,9 +1,11 @@
 """Main-text extraction by consensus paths of a host.
 
-Each page scores its containers; the best one votes for its generalised path (tags with their classes, numbers replaced) among
-the pages of its host, in Spark; then every page is read again and yields the text below its host's winning path, or below
-its own best container where that path is missing. Votes are summed before the shuffle, so a hot host is no burden; the
-winners are one row a host. Up to BROADCAST_HOSTS of them, some ten MB, go to the pages; more are joined by a shuffle.
+Each page's candidates are html, body, main, article, section, div and the root; lists, tables and quotes are blocks in them.
+A page starts from its blocks of text (more of it outside links than inside) and climbs until one candidate holds them all. It
+votes for that candidate's generalised path (tags with their classes, numbers replaced) among the pages of its host, in Spark;
+then every page is read again and yields the text below its host's winning path where that holds MOST of the page's text, or
+below its own candidate. Votes are summed before the shuffle, so a hot host is no burden; the winners are one row a host. Up to
+BROADCAST_HOSTS of them, some ten MB, go to the pages; more are joined by a shuffle.
 
 Defined cases: null or empty html gives an empty text; null urls form a host of their own; a page cut off inside a tag
 keeps what came before; repeated rows give repeated results.
@@ -13,7 +15,6 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -29,6 +30,7 @@ ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "object", "math"}
 SKIPPED = {"head", "nav", "footer", "aside", "form", "menu", "dialog", "select", "button", "figure", "audio", "video", "canvas", "map"}
 CONTAINERS = {"html", "body", "main", "article", "section", "div", "td", "table", "tr", "ul", "ol", "dl", "blockquote", "header", "center", "details"}
+CANDIDATES = {"html", "body", "main", "article", "section", "div"}
 BLOCKS = CONTAINERS | SKIPPED | {"p", "br", "hr", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "pre", "th", "tbody", "thead", "caption", "address", "fieldset", "summary", "hgroup", "option"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 NOISE = re.compile(
@@ -75,7 +77,7 @@ def blocks(page: str) -> list[Block]:
             out[-1].linked += len(s) if links else 0
 
     def fresh() -> None:
-        path = tuple(name for tag, name, _ in stack if tag in CONTAINERS)
+        path = tuple(name for tag, name, _ in stack if tag in CANDIDATES)
         if out[-1].parts:
             out.append(Block(path))
         else:
@@ -123,27 +125,34 @@ def clean(b: Block) -> str:
     return " ".join(entities.unescape("".join(b.parts)).split())
 
 
-def container_scores(found: list[Block]) -> dict[tuple[str, ...], float]:
-    """Text outside links counts in full for the innermost container and less for those around it; a lone short block counts less."""
-    scores: dict[tuple[str, ...], float] = defaultdict(float)
-    for b in found:
-        size = sum(map(len, b.parts)) - b.linked
-        if size > 0:
-            worth = size * min(1.0, 0.3 + size / 100)
-            for up in range(len(b.path)):
-                scores[b.path[: len(b.path) - up]] += worth * (1.0, 0.75)[up > 0] * 0.9 ** max(0, up - 1)
-    return scores
+#: The part of a page's text that its host's winner must hold.
+MOST = 0.8
+
+
+def worth(b: Block) -> int:
+    """The text of a block that isn't a list of links."""
+    size = sum(len(t.strip()) for t in b.parts)
+    return size if size > 2 * b.linked else 0
 
 
 def best_path(found: list[Block]) -> tuple[str, ...]:
-    scores = container_scores(found)
-    return max(scores, key=lambda p: (scores[p], len(p), p), default=())
+    """The innermost candidate that holds all blocks of text; of a page of links only, all blocks."""
+    paths = [b.path for b in found if worth(b)] or [b.path for b in found if b.parts]
+    if not paths:
+        return ()
+    low, high = min(paths), max(paths)
+    same = next((i for i, (x, y) in enumerate(zip(low, high)) if x != y), min(len(low), len(high)))
+    return low[:same]
+
+
+def text_below(found: list[Block], path: tuple[str, ...]) -> int:
+    return sum(worth(b) for b in found if b.path[: len(path)] == path)
 
 
 def extract(page: str | None, winner: str | None) -> str:
     found = blocks(page or "")
     path = tuple((winner or "").split(">")) if winner else ()
-    if not path or not any(b.path[: len(path)] == path and b.parts for b in found):
+    if not path or text_below(found, path) < max(1, MOST * text_below(found, ())):
         path = best_path(found)
     return " ".join(t for b in found if b.path[: len(path)] == path and (t := clean(b)))
 
@@ -157,8 +166,8 @@ def host_paths(pages: DataFrame) -> DataFrame:
             rows = []
             for page in s:
                 found = blocks(page or "")
-                p = best_path(found)
-                rows.append((">".join(p) or None, float(container_scores(found).get(p, 0.0))))
+                p, score = best_path(found), text_below(found, ())
+                rows.append((">".join(p) if score else None, float(score)))  # "" is the root
             yield pd.DataFrame(rows, columns=["path", "score"])
 
     votes = pages.select(F.col("host").alias("voted_host"), vote("html").alias("v")).select("voted_host", "v.path", "v.score").where("path is not null")

@@ -472,3 +472,19 @@ def test_hosts_agree_on_a_path(spark):
     winner = html_extract.host_paths(df.withColumn("host", F.lit("h"))).first()["winner"]
     assert winner == "body>div.post-0"
     assert html_extract.extract_pages(df).where("page_id = 5").first()["main_text"] == "short"
+
+
+def test_lists_tables_and_quotes_are_part_of_the_article(spark):
+    prose, items = "<p>" + "prose of it " * 25 + "</p>", "".join(f"<li>item {i} of a long list" for i in range(100))
+    page = f"<body><article>{prose}<ul>{items}</ul></article></body>"
+    text = html_extract.extract(page, None)
+    assert text.startswith("prose") and text.endswith("item 99 of a long list")
+    assert html_extract.extract("<p>article</p><blockquote>quote</blockquote>", None) == "article quote"
+    assert html_extract.extract("<body><article><p>first</p></article><div><div><p>second</p></div></div></body>", None) == "first second"
+    split = f"<body><div class=a>{prose}</div><div class=b><p>{'other ' * 50}</p></div></body>"
+    pages = [(i, "http://h.example.com/a", page) for i in range(5)] + [(5, "http://h.example.com/b", f"<body><article>{prose}<ul><li>one</ul></article></body>"), (6, "http://h.example.com/c", split)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert html_extract.host_paths(df.withColumn("host", F.lit("h"))).first()["winner"] == "body>article"
+    out = {r["page_id"]: r["main_text"] for r in html_extract.extract_pages(df).collect()}
+    assert out[0] == text and out[5].startswith("prose") and out[5].endswith("one") and out[6].startswith("prose") and out[6].endswith("other")
+    assert html_extract.extract(split, "body>div.b") == out[6]
