@@ -27,28 +27,43 @@ from .url_filter import host_and_path
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z|(?=<))", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 # What the elements of HTML are.
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "object", "math"}
-SKIPPED = {"head", "nav", "footer", "aside", "form", "menu", "dialog", "select", "button", "figure", "audio", "video", "canvas", "map"}
+RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "object"}
+SKIPPED = {"head", "nav", "footer", "aside", "form", "menu", "dialog", "select", "button", "audio", "video", "canvas", "map"}
 CONTAINERS = {"html", "body", "main", "article", "section", "div", "td", "table", "tr", "ul", "ol", "dl", "blockquote", "header", "center", "details"}
 CANDIDATES = {"html", "body", "main", "article", "section", "div"}
-BLOCKS = CONTAINERS | SKIPPED | {"p", "br", "hr", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "pre", "th", "tbody", "thead", "caption", "address", "fieldset", "summary", "hgroup", "option"}
+BLOCKS = CONTAINERS | SKIPPED | {"p", "br", "hr", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "pre", "figure", "figcaption", "th", "tbody", "thead", "caption", "address", "fieldset", "summary", "hgroup", "option"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
-NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|promo\w*|banner\w*|discussion|replies|respond|menus?|nav|navigation|notices?|consent|gdpr|foot|footer|header|masthead|share|sharing|social|related|recommend\w*|subscri\w*"
-    r"|popup|modal|overlay|alert|login|signup|search|widget\w*|pagination|pager|toolbar|contentinfo|complementary)(?:$|[\s_-])"
-    # words that say it wherever they stand, but for pages that merely have one
-    r"|(?<!has-)(?<!with-)(?<!no-)(?:advert|sponsor|side-?bar|comment|cookie|newsletter|breadcrumb|navbar|disqus)",
-    re.I,
+NOISE = (
+    "ads?|adverts?|advertisements?|advertising|sponsor|sponsors|sponsored|promos?|promotions?|promoted|banners?|comments?|discussion|replies|respond|disqus|menus?|nav|navigation|navbar|breadcrumbs?"
+    "|notices?|cookies?|consent|gdpr|foot|footer|header|masthead|share|sharing|social|related|recommended|recommendations?|subscribe|subscription|newsletters?|popup|modal|overlay|alerts?|login|signup"
+    "|search|widgets?|pagination|pager|toolbar|contentinfo|complementary|side-?bars?"
 )
+#: Words that say where or how something stands, not what it is.
+PLACE = "left|right|top|bottom|main|page|site|user|users|box|block|list|area|section|wrapper|wrap|container|inner|outer|text|links?|bar"
+# a class or id is noise if one of its words is and the others are of PLACE: not "commentary", "cookie-recipes", "has-sidebar"
+WORD = re.compile(rf"(?:{PLACE}|[a-z]|\d+)?(?P<noise>{NOISE})?(?:{PLACE}|\d+)?")
 #: Containers of the text itself are never noise, whatever their classes say of the page.
 WHOLE = {"html", "body", "main", "article"}
 
 
 class Block:
-    __slots__ = ("path", "parts", "linked")
+    __slots__ = ("path", "parts", "linked", "doubts")
 
     def __init__(self, path: tuple[str, ...]):
-        self.path, self.parts, self.linked = path, [], 0
+        self.path, self.parts, self.linked, self.doubts = path, [], 0, ()
+
+
+class Doubt:
+    """An element inside an article whose name alone doesn't tell whether it is noise; its contents do."""
+
+    __slots__ = ("size", "linked", "items", "form", "comments")
+
+    def __init__(self, comments: bool):
+        self.size, self.linked, self.items, self.form, self.comments = 0, 0, 0, False, comments
+
+    def noise(self) -> bool:
+        """Mostly links, a form, or a list of comments."""
+        return self.form or 2 * self.linked > self.size or (self.comments and self.items > 1)
 
 
 def generalised(tag: str, attributes: str) -> str:
@@ -57,31 +72,51 @@ def generalised(tag: str, attributes: str) -> str:
     return ".".join([tag, *classes])
 
 
-def noisy(tag: str, attributes: str, stack: list[tuple[str, str, bool]]) -> bool:
+def noise_name(value: str) -> bool:
+    for name in value.lower().split():
+        words = [WORD.fullmatch(w) for w in re.split(r"[-_]+", name.replace("side-bar", "sidebar")) if w]
+        if words and all(words) and any(m["noise"] for m in words):
+            return True
+    return False
+
+
+def noisy(tag: str, attributes: str, stack: list[tuple[str, str, bool, Doubt | None]]) -> bool:
+    """Whether an element is noise, or inside an article may be."""
     if tag in SKIPPED:
         return True
-    inside = any(t in ("article", "main") for t, _, _ in stack)
-    if tag == "header" and not inside:
+    if tag == "header" and not within(stack):
         return True
-    return tag in (CONTAINERS - WHOLE) | {"p", "li", "span"} and any(NOISE.search(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes))
+    return tag in (CONTAINERS - WHOLE) | {"p", "li", "span"} and any(noise_name(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes))
+
+
+def within(stack: list[tuple[str, str, bool, Doubt | None]]) -> bool:
+    return any(x[0] in ("article", "main") for x in stack)
 
 
 def blocks(page: str) -> list[Block]:
     """The page's text blocks outside menus, adverts and the like, in page order."""
-    stack: list[tuple[str, str, bool]] = []  # tag, generalised name, whether its text is skipped
+    stack: list[tuple[str, str, bool, Doubt | None]] = []  # tag, generalised name, whether its text is skipped, or may be
     out, links, at, skip = [Block(())], 0, 0, 0
+    doubts: tuple[Doubt, ...] = ()
 
     def text(s: str) -> None:
         if s and not skip:
             out[-1].parts.append(s)
             out[-1].linked += len(s) if links else 0
+            for d in doubts:
+                d.size += len(s.strip())
+                d.linked += len(s.strip()) if links else 0
 
     def fresh() -> None:
-        path = tuple(name for tag, name, _ in stack if tag in CANDIDATES)
+        path = tuple(x[1] for x in stack if x[0] in CANDIDATES)
         if out[-1].parts:
             out.append(Block(path))
         else:
             out[-1].path = path
+        out[-1].doubts = doubts
+
+    def doubted() -> tuple[Doubt, ...]:
+        return tuple(x[3] for x in stack if x[3])
 
     n = len(page)
     while at < n:
@@ -93,32 +128,41 @@ def blocks(page: str) -> list[Block]:
         at, tag = m.end(), (m[2] or "").lower()
         if not tag:
             continue
+        before = doubts
         if m[1]:
             if tag == "a":
                 links = max(0, links - 1)
-            if any(t == tag for t, _, _ in stack) and (tag in CONTAINERS or tag in SKIPPED or stack[-1][0] == tag):
+            if any(x[0] == tag for x in stack) and (tag in CONTAINERS or tag in SKIPPED or stack[-1][0] == tag):
                 while stack:
-                    t, _, s = stack.pop()
+                    t, _, s, _ = stack.pop()
                     skip -= s
                     if t == tag:
                         break
-        elif tag in RAW:
-            end = re.compile(rf"</{tag}\s*>?", re.I).search(page, at)
-            at = end.end() if end else n
-            continue
-        elif tag not in VOID:
-            links += tag == "a"
-            if stack and stack[-1][0] == tag and tag in ("p", "li"):  # the next one closes it
-                skip -= stack.pop()[2]
-            if tag == "body":  # closes what the head left open
-                stack, skip = [x for x in stack if x[0] == "html"], 0
-            if tag in CONTAINERS or tag in SKIPPED or noisy(tag, m[3], stack):
+                doubts = doubted()
+        else:
+            for d in doubts:
+                d.items += tag in ("li", "article")
+                d.form |= tag in ("form", "textarea", "input", "select", "button")
+            if tag in RAW:
+                end = re.compile(rf"</{tag}\s*>?", re.I).search(page, at)
+                at = end.end() if end else n
+                continue
+            if tag not in VOID:
+                links += tag == "a"
+                if stack and stack[-1][0] == tag and tag in ("p", "li"):  # the next one closes it
+                    skip -= stack.pop()[2]
+                if tag == "body":  # closes what the head left open
+                    stack, skip = [x for x in stack if x[0] == "html"], 0
                 s = noisy(tag, m[3], stack)
-                stack.append((tag, generalised(tag, m[3]), s))
-                skip += s
-        if tag in BLOCKS:
+                if s or tag in CONTAINERS or tag in SKIPPED:
+                    open_ = s and tag not in SKIPPED and within(stack)
+                    doubt = Doubt(re.search("comment|discussion|replies|respond|disqus", m[3], re.I) is not None) if open_ else None
+                    stack.append((tag, generalised(tag, m[3]), s and not open_, doubt))
+                    skip += s and not open_
+                doubts = doubted()
+        if tag in BLOCKS or doubts != before:
             fresh()
-    return out
+    return [b for b in out if not any(d.noise() for d in b.doubts)]
 
 
 def clean(b: Block) -> str:

@@ -488,3 +488,18 @@ def test_lists_tables_and_quotes_are_part_of_the_article(spark):
     out = {r["page_id"]: r["main_text"] for r in html_extract.extract_pages(df).collect()}
     assert out[0] == text and out[5].startswith("prose") and out[5].endswith("one") and out[6].startswith("prose") and out[6].endswith("other")
     assert html_extract.extract(split, "body>div.b") == out[6]
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<body><article><section class="commentary"><p>a</p></section><div id="cookie-recipes">b</div></article></body>', "a b"),
+        ('<body><div><section id="related-work">a</section><div id="search-methods">b</div><div id="cookie-recipes">c</div></div></body>', "a b c"),
+        ('<article><p class="alert">mind the gap</p><p>text <span class="notice">and more</span> of it</p></article>', "mind the gap text and more of it"),
+        ("<article><p>a</p><figure><table><tr><td>1</table><figcaption>b</figcaption></figure><p>c <math><mi>x</mi><mo>=</mo><mn>2</mn></math></p></article>", "a 1 b c x=2"),
+        ('<article><p>a</p><div class="related"><a href=x>Other page</a></div><ol class="comments"><li>I disagree<li>me too</ol><div class="newsletter">Mail <input></div><p>b</p></article>', "a b"),
+        ('<body><p>a</p><div class="ad">buy</div><div class="leftsidebar">x</div><div id="user-comments">y</div></body>', "a"),
+    ],
+)
+def test_names_alone_take_no_text_from_an_article(page, text):
+    assert html_extract.extract(page, None) == text
