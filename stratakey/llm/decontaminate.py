@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import documents, materialise, small_batches, trim, without_ids
+from .store import documents, materialise, row_key, small_batches, trim, without_rows
 from .wordhash import ALNUM, grams, text_groups, words
 
 SPAN, K = 10, 5
@@ -119,10 +119,10 @@ def hits(docs: DataFrame, bench: DataFrame, bitmap_bits: int = 1 << 22) -> DataF
 
 
 def clean_documents(docs: DataFrame, bench: DataFrame, max_share: float = 0.0) -> DataFrame:
-    """The documents of which no more than max_share of the words are hit. doc_id names a document here."""
-    h = hits(docs, bench)
-    dirty = h.where(F.col("windows").isNotNull()).where(covered(F.col("windows")) > max_share * F.col("n_words")).select(F.col("doc_id").alias("gone_id"))
-    return without_ids(docs, dirty)
+    """The documents of which no more than max_share of the words are hit. Each row is judged by its own text."""
+    h = hits(docs.select(row_key(docs).alias("doc_id"), "text"), bench)
+    dirty = h.where(F.col("windows").isNotNull()).where(covered(F.col("windows")) > max_share * F.col("n_words")).select(F.col("doc_id").alias("gone_key"))
+    return without_rows(docs, dirty)
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .store import BROADCAST_IDS, documents, materialise, release, small_batches, trim, without_ids
+from .store import BROADCAST_IDS, documents, materialise, release, row_key, small_batches, trim, without_rows
 from .wordhash import NOT_SPACE, grams, mix, text_groups, words
 
 N = 5
@@ -313,13 +313,12 @@ def rooted(classes: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """docs without the near copies: of each component the rows of its least doc_id, and of equal rows of one doc_id one."""
-    found = materialise(components(docs.select("doc_id", "text"), **options), "components")
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone_id"))
-    kept = without_ids(docs, gone)
+    """docs without the near copies: of each component one row, that of the least doc_id (nulls last) and text hash."""
+    found = materialise(components(docs.select(row_key(docs).alias("doc_id"), "text"), **options), "components")
+    kept = without_rows(docs, found.where("doc_id != component_id").select(F.col("doc_id").alias("gone_key")))
     if found.groupBy("doc_id").count().where("count > 1").isEmpty():
         return kept
-    return kept.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]).drop("__text")
+    return kept.withColumn("__key", row_key(kept)).dropDuplicates(["__key"]).drop("__key")
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .store import WS, documents, materialise
+from .store import WS, documents, materialise, row_key
 
 WEIGHTS = (5, 2, 1)
 D = "decimal(38,0)"
@@ -83,53 +83,58 @@ def seeded(seed: int, c: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(c.cast("string"), F.lit("null"))))
 
 
-def stream_places(sizes: DataFrame, seed: int, digits: int) -> DataFrame:
-    """sizes with `start`, the words before a row in its source's stream. sizes has doc_id, source, size, rank."""
+def stream_places(sizes: DataFrame, seed: int, digits: int, also: Sequence[str] = ()) -> DataFrame:
+    """sizes with `start`, the words before a row in its source's stream. sizes has doc_id, source, size, rank; `also` orders rows that agree."""
     rows = sizes.withColumn("h", seeded(seed, F.col("doc_id"))).withColumn("bucket", F.substring("h", 1, digits))
     sums = rows.groupBy("rank", "bucket").agg(F.sum("size").alias("bucket_size"))
     before = Window.partitionBy("rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("rank", "bucket", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)).alias("bucket_start"))
-    inside = Window.partitionBy("rank", "bucket").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("rank", "bucket").orderBy("h", "doc_id", "size", *also).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     return rows.join(sums, ["rank", "bucket"]).withColumn("start", F.col("bucket_start") + F.col("inside"))
 
 
-def mix(docs: DataFrame, seed: int = 7, weights: Sequence[int] = WEIGHTS, max_repeats: int = 2, share_percent: int = 150, n_shards: int = 8, rows_per_bucket: int = 20_000) -> DataFrame:
+def mix(docs: DataFrame, seed: int = 7, weights: Sequence[int] = WEIGHTS, max_repeats: int = 2, share_percent: int = 150, n_shards: int = 8, rows_per_bucket: int = 20_000, also: Sequence[str] = ()) -> DataFrame:
     """(doc_id, size, source_size, target, passes, run_from, run_to, wrap_to, taken).
 
-    A document is taken `passes` times whole and then its words [run_from, run_to) and [0, wrap_to).
+    Columns of docs named in `also` come with it. A document is taken `passes` times whole and then its words [run_from, run_to) and [0, wrap_to).
     """
-    sizes = materialise(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
+    sizes = materialise(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *also), "mix-sizes")
     targets = materialise(source_targets(sizes, weights, max_repeats, share_percent), "mix-targets")
     quotas = block_quotas(targets, n_shards, max_repeats=max_repeats).groupBy("rank").agg(F.sum("quota").alias("q"), F.max("block").alias("block"))
     plan = targets.join(quotas, "rank", "left").select(F.col("source").alias("of"), "rank", "source_size", "target", F.coalesce("q", F.lit(0)).alias("q"), F.coalesce("block", F.lit(1)).alias("block"))
     nb = F.greatest(F.lit(1), F.ceil(F.col("source_size") / F.col("block"))).cast("long")
     offset = F.conv(F.substring(seeded(seed, F.col("of")), 1, 12), 16, 10).cast("long") % nb
     plan = plan.select("*", nb.alias("nb"), F.floor(F.col("q") / nb).cast("long").alias("passes"), (F.col("q") % nb).alias("r"), offset.alias("first"))
-    known = sizes.join(plan.select("of", "rank"), sizes["source"].eqNullSafe(plan["of"])).select("doc_id", "size", "rank")
+    known = sizes.join(plan.select("of", "rank"), sizes["source"].eqNullSafe(plan["of"])).select("doc_id", "size", "rank", *also)
     digits = max(1, min(6, math.ceil(math.log(max(1, sizes.count()) / rows_per_bucket + 1, 16))))
-    placed = stream_places(known, seed, digits).join(plan, "rank")
+    placed = stream_places(known, seed, digits, also).join(plan, "rank")
     # the run covers blocks [first, first + r), what goes past the last block continues at the front
     b, first, r = F.col("block"), F.col("first"), F.col("r")
     a0, a1 = first * b, F.least((first + r) * b, F.col("source_size"))
     z1 = F.greatest(F.lit(0), first + r - F.col("nb")) * b
     rel = lambda x: F.least(F.greatest(x - F.col("start"), F.lit(0)), F.col("size")).cast("long")
-    out = placed.select("doc_id", "size", "source_size", "target", "passes", rel(a0).alias("run_from"), F.greatest(rel(a0), rel(a1)).alias("run_to"), rel(z1).alias("wrap_to"))
+    out = placed.select("doc_id", "size", "source_size", "target", "passes", rel(a0).alias("run_from"), F.greatest(rel(a0), rel(a1)).alias("run_to"), rel(z1).alias("wrap_to"), *also)
     return out.withColumn("taken", (F.col("passes") * F.col("size") + F.col("run_to") - F.col("run_from") + F.col("wrap_to")).cast("long"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as documents: a row for each whole pass and one for each partial span that isn't empty."""
-    plan = mix(docs, **options)
+    # rows of one doc_id, text and source are alike but for other columns, so they are only numbered, each apart if there are any
+    keyed = docs.withColumn("__key", F.struct(row_key(docs).alias("row"), F.col("source")))
+    if not keyed.groupBy("__key").count().where("count > 1").isEmpty():
+        others = [F.col(c).cast("string") for c in docs.columns if c != "text"]
+        keyed = materialise(keyed.withColumn("__copy", F.row_number().over(Window.partitionBy("__key").orderBy(*others))), "mix-copies")
+        keyed = keyed.withColumn("__key", F.struct("__key", "__copy")).drop("__copy")
+    plan = mix(keyed, also=["__key"], **options)
     whole = F.transform(F.sequence(F.lit(1), F.col("passes")), lambda _: F.struct(F.lit(0).cast("long").alias("a"), F.col("size").alias("b")))
     span = lambda a, b: F.array(F.struct(a.cast("long").alias("a"), b.cast("long").alias("b")))
     parts = F.concat(F.when(F.col("passes") > 0, whole).otherwise(F.array().cast("array<struct<a:bigint,b:bigint>>")), span(F.col("run_from"), F.col("run_to")), span(F.lit(0), F.col("wrap_to")))
-    # repeated rows of one doc_id share its spans
     spans = plan.withColumn("parts", F.filter(parts, lambda p: p["b"] > p["a"])).where(F.size("parts") > 0)
-    spans = spans.groupBy(F.col("doc_id").alias("mixed_id")).agg(F.max_by("parts", "taken").alias("mixed_parts"))
+    spans = spans.select(F.col("__key").alias("__mixed"), F.col("parts").alias("__parts"))
     words = F.regexp_extract_all(F.col("text"), F.lit(f"([^{WS}]+)"), F.lit(1))
     cut = F.when(F.col("p.b") - F.col("p.a") == word_count(F.col("text")), F.col("text")).otherwise(F.array_join(F.slice(words, (F.col("p.a") + 1).cast("int"), (F.col("p.b") - F.col("p.a")).cast("int")), " "))
-    joined = docs.join(spans, docs["doc_id"].eqNullSafe(spans["mixed_id"])).withColumn("p", F.explode("mixed_parts"))
+    joined = keyed.join(spans, F.col("__key") == F.col("__mixed")).withColumn("p", F.explode("__parts"))
     length = {"n_chars": F.length(cut).cast("long")} if "n_chars" in docs.columns else {}
     return joined.withColumns({"text": cut, **length}).select(*docs.columns)
 

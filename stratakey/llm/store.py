@@ -68,11 +68,17 @@ def trim() -> None:
 BROADCAST_IDS = 1_000_000
 
 
-def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs without the rows whose doc_id is in ids (one column, gone_id), null matching null. Texts move only if ids are many."""
-    ids = materialise(ids.distinct(), "gone-ids")
-    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return docs.join(side, docs["doc_id"].eqNullSafe(side["gone_id"]), "left_anti")
+def row_key(docs: DataFrame) -> Column:
+    """What tells a row from others with its doc_id, null or not: the id and 128 bits of its text. Keys with an id come first."""
+    digest = F.coalesce(F.unhex(F.md5(docs["text"])), F.lit(b""))
+    return F.struct(docs["doc_id"].isNull().alias("no_id"), docs["doc_id"].alias("id"), digest.alias("digest"))
+
+
+def without_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """docs without the rows whose row_key is in keys (one column, gone_key). Texts move only if keys are many."""
+    keys = materialise(keys.distinct(), "gone-keys")
+    side = F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys
+    return docs.join(side, row_key(docs) == side["gone_key"], "left_anti")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

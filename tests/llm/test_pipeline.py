@@ -74,3 +74,38 @@ def test_repeated_rows_of_a_document_become_one(spark):
     df = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (2, "A b c d e f"), (3, None), (3, None)], "doc_id long, text string")
     assert ids(jaccard_join.keep_one(df)) == Counter({1: 1, 3: 1})
     assert F is not None
+
+
+A, B, C = ("{0}a {0}b {0}c {0}d {0}e {0}f {0}g".format(x) for x in "abc")
+
+
+def texts(df):
+    return sorted(((r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()), key=str)
+
+
+def test_join_stage_drops_rows_not_ids(spark):
+    df = spark.createDataFrame([(1, A), (5, A), (5, B), (None, A), (None, C), (None, None), (7, C), (None, "x y")], "doc_id long, text string")
+    assert texts(jaccard_join.keep_one(df)) == sorted([(1, A), (5, B), (7, C), (None, None), (None, "x y")], key=str)
+    nulls = spark.createDataFrame([(None, A), (None, A + " "), (None, B)], "doc_id long, text string")
+    assert sorted(r["text"].strip() for r in jaccard_join.keep_one(nulls).collect()) == [A, B]
+
+
+def test_decontamination_drops_rows_not_ids(spark):
+    df = spark.createDataFrame([(None, A), (None, B), (1, A), (1, B), (2, None), (None, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(0, A)], "item_id long, text string")
+    assert texts(decontaminate.clean_documents(df, bench)) == sorted([(None, B), (1, B), (2, None), (None, None)], key=str)
+
+
+def test_mixed_rows_are_cut_at_their_own_spans(spark):
+    rows = [(i % 3 or None, " ".join(f"t{i}w{k}" for k in range(20 + 7 * i)), f"s{i % 2}") for i in range(12)]
+    df = spark.createDataFrame(rows + rows[:2], "doc_id long, text string, source string")
+    plan = mixing.mix(df).collect()
+    want, got = Counter(), Counter()
+    for r in plan:
+        want[(r["doc_id"], r["size"])] += r["taken"]
+    size = {t.split("w")[0]: (d, len(t.split())) for d, t, _ in rows}
+    for r in mixing.mixed_documents(df).collect():
+        words = r["text"].split()
+        assert len({w.split("w")[0] for w in words}) == 1 and size[words[0].split("w")[0]][0] == r["doc_id"]
+        got[size[words[0].split("w")[0]]] += len(words)
+    assert got == Counter({k: v for k, v in want.items() if v})
