@@ -88,8 +88,8 @@ class DimensionCache:
     """A dimension for repeated lookups. load reads it.
 
     NONE reads it each time. FULL keeps it whole and reads it again at intervals (PERIODIC) or at a time of day (TIMED).
-    PARTIAL keeps what was asked for: rows of the keys so far, for a time after they were read or used, up to max_rows;
-    it never changes what a lookup finds while an entry lives.
+    PARTIAL is FULL with another expiry: it too keeps the whole dimension, for a time after it was read or used, with one clock
+    for all rows, and gives out the rows of the keys asked. max_rows and cache-missing-key have no effect.
     """
 
     load: Callable[[], DataFrame]
