@@ -5,22 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import materialise
+from .store import Scratch
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(node, root) for every node of the edges (u, v); root is the least node of its component.
 
+    The result reads the table `edges` of the scratch, which the caller clears.
+
     Each round is two aggregations and joins on a node; hubs are aggregated before the shuffle and their joins can be split. The
     number of rounds grows with the logarithm of the longest path. Loops and repeated edges are harmless.
     """
-    e, seen = materialise(edges.where("u <> v").select("u", "v").distinct(), "edges"), None
+    scratch = scratch or Scratch(edges.sparkSession)
+    e, seen = scratch.store(edges.where("u <> v").select("u", "v").distinct(), "edges"), None
     while True:
         state = e.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         if state == seen or not state["n"]:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select("v", "v")).distinct()
         seen = state
-        e = materialise(small_star(large_star(e)), "edges")
+        e = scratch.store(small_star(large_star(e)), "edges")
 
 
 def large_star(e: DataFrame) -> DataFrame:

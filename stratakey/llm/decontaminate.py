@@ -43,8 +43,6 @@ def found_windows(df: DataFrame, key: str, lengths: list[int], bitmap: np.ndarra
 
     own_length: a text of fewer than SPAN words is one window, and no shorter windows are taken from longer ones.
     """
-    small_batches(df.sparkSession)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, texts = b.column(0), b.column(1).to_pylist()
@@ -105,12 +103,14 @@ def covered(windows: Column) -> Column:
 
 def hits(docs: DataFrame, bench: DataFrame, bitmap_bits: int = 1 << 22) -> DataFrame:
     """(row, doc_id, n_words, windows, items) of every row: the (pos, len) windows that items have, and these items' ids."""
-    index = materialise(benchmark_index(bench), "benchmark-windows")
+    with small_batches(docs.sparkSession):
+        index = materialise(benchmark_index(bench), "benchmark-windows")
     lengths = sorted(r["len"] for r in index.select("len").distinct().collect()) or [SPAN]
     bitmap = fingerprint_bitmap(index, bitmap_bits)
     # the row number is made on the scan and travels as text does, so a row's number never changes within this job
     rows = docs.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col("doc_id")).alias("k"), "text")
-    found = materialise(found_windows(rows, "k", lengths, bitmap).select("k.row", "k.doc_id", "n_words", "found"), "document-windows")
+    with small_batches(docs.sparkSession):
+        found = materialise(found_windows(rows, "k", lengths, bitmap).select("k.row", "k.doc_id", "n_words", "found"), "document-windows")
     w = found.select("row", F.explode("found").alias("w")).select("row", "w.pos", "w.len", "w.fp", "w.win")
     hit = w.join(index, ["fp", "win", "len"])
     spans = hit.groupBy("row").agg(F.collect_set(F.struct("pos", "len")).alias("windows"))

@@ -1,10 +1,10 @@
 """N-gram Jaccard join over word shingles with vertical partitioning, and its connected components.
 
-1. Order. All shingles of all documents are counted in fragments of the hash range (each batch of texts sends its distinct
-   shingles with counts, so a shingle in every document costs one entry a batch). A fragment returns a few bitmaps: which
-   shingles occur at least twice, five times and so on. The bitmaps give each shingle a level; the global order is by level, then
-   by hash, rare ones first. A false positive only moves a shingle later, for all documents alike, so any bitmap
-   size gives the same links; `bitmap_bytes` bounds what is sent to the tasks.
+1. Order. All shingles of all documents are counted in a fixed number of fragments of the hash range (each batch of texts sends its
+   distinct shingles with counts, so a shingle in every document costs one entry a batch), sorted, so that a task's memory is
+   bounded. A fragment returns a few bitmaps: which shingles occur at least twice, five times and so on. The bitmaps give each shingle
+   a level; the global order is by level, then by hash, rare ones first. A false positive only moves a shingle later, for all
+   documents alike, so any bitmap size gives the same links; `bitmap_bytes` bounds what is sent to the driver and the tasks.
 2. Sets. Each text becomes its set's 128-bit hash, its size, and its shingles that may occur elsewhere, cut at fixed places of
    the global order into fragments. Equal sets are one class; shingles that occur once can be in no overlap.
 3. Candidates. Two sets that are similar enough share a shingle among the first n - ceil(0.75 n) + 1 in the order (prefix
@@ -16,22 +16,24 @@
 
 Defined cases: a text of fewer words than n is one shingle; a text without words, or null, has an empty set and is linked with
 nothing; equal rows are copies; each row is one document, also where doc_id repeats; a null doc_id is never a component's id
-unless all its documents have none; other columns are passed over.
+unless all its documents have none; other columns, whatever their names, are passed over; a very long text is one set, hashed in one
+task; where pairs tie for a leader the greater class wins, which changes no component; an empty table gives no rows.
+Stored tables are deleted when a later one replaces them and at the end; the result is a stored table.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .store import BROADCAST_IDS, documents, materialise, release, row_key, small_batches, trim, without_rows
+from .store import BROADCAST_IDS, Scratch, documents, materialise, release, row_key, small_batches, trim, without_rows
 from .wordhash import NOT_SPACE, grams, mix, text_groups, words
 
 N = 5
@@ -41,6 +43,8 @@ LEVELS = (2, 5, 20, 100, 1000)
 CUTS = 4
 PARITY = 512
 FLUSH = 1_500_000  # shingles that a task gathers before it sends them
+FRAGMENT_BITS = 10  # the hash range is counted in 2**10 fragments, whatever the input
+WIDE = (1 << 24) - 1
 
 
 def shingle_sets(texts: list[str | None], n: int = N) -> Iterator[np.ndarray]:
@@ -58,22 +62,33 @@ def shingle_sets(texts: list[str | None], n: int = N) -> Iterator[np.ndarray]:
             at += k
 
 
-def fragment_counts(docs: DataFrame, bits: int) -> DataFrame:
-    """(frag, ones, more, counts): per batch and fragment, the shingles seen once, those seen more often, and how often.
+def fragment_counts(docs: DataFrame, sub_bits: int) -> DataFrame:
+    """(frag, sub, gaps, counts): the distinct shingles of some batches of texts, by fragment and part of it, with their counts.
 
-    Inside a fragment 32 more bits of a shingle's hash are enough: two that agree in them share a count, which moves both later.
+    A shingle is its 32 bits after those that name the fragment, in order, written as gaps of three bytes; wider gaps take several,
+    all but the last of them WIDE. Two shingles that agree in these bits share a count, which moves both later.
     """
 
     def emit(gathered: list[np.ndarray]) -> pa.RecordBatch:
         u, c = np.unique(np.concatenate(gathered), return_counts=True)
-        cut = np.searchsorted(u >> np.uint64(64 - bits), np.arange(2**bits + 1, dtype=np.uint64))
-        rows = []
-        for f in range(2**bits):
-            t, k = within(u[cut[f] : cut[f + 1]], bits).astype(np.uint32), c[cut[f] : cut[f + 1]]
-            if len(t):
-                rows.append((f, t[k == 1].tobytes(), t[k > 1].tobytes(), k[k > 1].astype(np.uint32).tobytes()))
-        cols = list(zip(*rows))
-        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(x, pa.binary()) for x in cols[1:]]], names=["frag", "ones", "more", "counts"])
+        key = (u >> np.uint64(64 - FRAGMENT_BITS - sub_bits)).astype(np.int64)
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        value = within(u).astype(np.int64)
+        gap = np.diff(value, prepend=0)
+        gap[first] = value[first] - base_of(key[first], sub_bits)
+        end = np.cumsum(gap // WIDE + 1)
+        codes = np.full(end[-1], WIDE, np.uint32)
+        codes[end - 1] = gap % WIDE
+        last = np.append(first[1:], len(u))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array((key[first] >> sub_bits).astype(np.int32)),
+                pa.array((key[first] & ((1 << sub_bits) - 1)).astype(np.int32)),
+                binaries(np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 4)[:, :3]), 3 * np.append(0, end[last - 1])),
+                binaries(np.minimum(c, 65535).astype(np.uint16), 2 * np.append(0, last)),
+            ],
+            names=["frag", "sub", "gaps", "counts"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered, size = [], 0
@@ -89,36 +104,100 @@ def fragment_counts(docs: DataFrame, bits: int) -> DataFrame:
             yield emit(gathered)
         trim()
 
-    return docs.select("text").mapInArrow(run, "frag int, ones binary, more binary, counts binary")
+    return docs.select("text").mapInArrow(run, "frag int, sub int, gaps binary, counts binary")
 
 
-def within(t: np.ndarray, bits: int) -> np.ndarray:
+def binaries(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
+
+
+def base_of(key: np.ndarray | int, sub_bits: int) -> np.ndarray | int:
+    """The least value in a part of a fragment."""
+    return (key & ((1 << sub_bits) - 1)) << (32 - sub_bits)
+
+
+def decoded(gaps: list[bytes], base: int) -> np.ndarray:
+    """The values of several rows of one part, each row ascending from base."""
+    codes = np.frombuffer(b"".join(gaps), np.uint8).reshape(-1, 3).astype(np.int64) @ np.array([1, 1 << 8, 1 << 16])
+    total, sizes = np.cumsum(codes), np.array([len(g) // 3 for g in gaps])
+    start = np.cumsum(sizes) - sizes
+    return (base + total - np.repeat(total[start] - codes[start], sizes))[codes != WIDE]
+
+
+def fragment_maps(counts: DataFrame, sub_bits: int, most_bytes: Sequence[int]) -> DataFrame:
+    """(frag, b0, b1, ..): each fragment's bitmaps of the shingles that reach each of LEVELS.
+
+    Rows come sorted by fragment and part, so a task holds one part's counts and one fragment's bitmaps at a time, whatever the input.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gaps, counts, at, maps, members = [], [], None, [], []
+
+        def close_part() -> None:
+            t, c = decoded(gaps, base_of(at[1], sub_bits)), np.frombuffer(b"".join(counts), np.uint16).astype(np.int64)
+            order = np.argsort(t)
+            t, c = t[order], c[order]
+            first = np.flatnonzero(np.diff(t, prepend=-1))
+            t, c = t[first].astype(np.uint64), np.add.reduceat(c, first)
+            for k, least in enumerate(LEVELS):
+                mark(maps[k], of := t[c >= least])
+                members[k] += len(of)
+            gaps.clear()
+            counts.clear()
+
+        def row() -> pa.RecordBatch:
+            packed = [folded(m, n) for m, n in zip(maps, members)]
+            return pa.RecordBatch.from_arrays([pa.array([at[0]], pa.int32()), *[pa.array([p], pa.binary()) for p in packed]], names=["frag", *[f"b{k}" for k in range(len(LEVELS))]])
+
+        for b in batches:
+            for frag, sub, g, c in zip(*(x.to_pylist() for x in b.columns)):
+                if (frag, sub) != at and at is not None:
+                    close_part()
+                    if frag != at[0]:
+                        yield row()
+                if at is None or frag != at[0]:
+                    maps, members = [np.zeros(8 * m, bool) for m in most_bytes], [0] * len(LEVELS)
+                at = (frag, sub)
+                gaps.append(g)
+                counts.append(c)
+        if at is not None:
+            close_part()
+            yield row()
+        trim()
+
+    placed = counts.repartition("frag").sortWithinPartitions("frag", "sub")
+    return placed.mapInArrow(run, "frag int, " + ", ".join(f"b{k} binary" for k in range(len(LEVELS))))
+
+
+def within(t: np.ndarray) -> np.ndarray:
     """The 32 bits of the hashes after those that name the fragment."""
-    return t << np.uint64(bits) >> np.uint64(32)
+    return t << np.uint64(FRAGMENT_BITS) >> np.uint64(32)
 
 
 def probes(t: np.ndarray) -> list[np.ndarray]:
     return [t * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(20), t * np.uint64(0xA0761D6478BD642F) >> np.uint64(20), t * np.uint64(0xE7037ED1A0B428DB) >> np.uint64(20)]
 
 
-def set_bits(t: np.ndarray, most_bytes: int) -> bytes:
-    """A bitmap of the shingles t, of 8 bits for each at least and at most most_bytes in all."""
-    size = 8
-    while size < most_bytes and size * 8 < 8 * len(t):
-        size *= 2
-    out = np.zeros(size * 8, bool)
+def mark(bits: np.ndarray, t: np.ndarray) -> None:
+    """Sets the places of the shingles t in a bitmap whose size is a power of two."""
     for p in probes(t):
-        out[(p & np.uint64(size * 8 - 1)).astype(np.int64)] = True
-    return np.packbits(out, bitorder="little").tobytes()
+        bits[(p & np.uint64(len(bits) - 1)).astype(np.int64)] = True
+
+
+def folded(bits: np.ndarray, members: int) -> bytes:
+    """The bitmap in bytes, halved while it has more than 16 bits for each member; a probe's place in a half is its lower bits."""
+    while len(bits) > 64 and len(bits) > 16 * members:
+        bits = bits[: len(bits) // 2] | bits[len(bits) // 2 :]
+    return np.packbits(bits, bitorder="little").tobytes()
 
 
 class Order:
     """The bitmaps of all fragments, one row of fragments for each level."""
 
-    def __init__(self, bits: int, maps: list[dict[int, bytes]]):
-        self.bits, self.levels = bits, []
+    def __init__(self, maps: list[dict[int, bytes]]):
+        self.levels = []
         for of_level in maps:
-            parts = [np.frombuffer(of_level.get(f, bytes(8)), np.uint8) for f in range(2**bits)]
+            parts = [np.frombuffer(of_level.get(f, bytes(8)), np.uint8) for f in range(2**FRAGMENT_BITS)]
             sizes = np.array([len(p) for p in parts], np.int64)
             self.levels.append((np.concatenate(parts), np.cumsum(sizes) - sizes, (sizes * 8 - 1).astype(np.uint64)))
 
@@ -128,9 +207,9 @@ class Order:
         left = np.arange(len(t))
         for k, (data, start, mask) in enumerate(self.levels):
             x = t[left]
-            f = (x >> np.uint64(64 - self.bits)).astype(np.int64)
+            f = (x >> np.uint64(64 - FRAGMENT_BITS)).astype(np.int64)
             ok = np.ones(len(x), bool)
-            for p in probes(within(x, self.bits)):
+            for p in probes(within(x)):
                 bit = p & mask[f]
                 ok &= (data[start[f] + (bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
             left = left[ok]
@@ -138,24 +217,15 @@ class Order:
         return out
 
 
-def global_order(docs: DataFrame, bitmap_bytes: int, per_fragment: int = 2_000_000) -> Order:
+def global_order(docs: DataFrame, bitmap_bytes: int, per_part: int = 8_000_000) -> Order:
+    """Half of bitmap_bytes for the first level, an eighth for each other: what the driver and each task hold at most."""
+    spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(8, math.ceil(math.log2(size / 6 / per_fragment + 1)))
-    share = max(8, 2 ** int(math.log2(bitmap_bytes / 2**bits / 2)))
-
-    def count(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
-        read = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in parts[c]])
-        t = np.concatenate([ones := read("ones", np.uint32), read("more", np.uint32)])
-        c = np.concatenate([np.ones(len(ones), np.int64), read("counts", np.uint32).astype(np.int64)])
-        order = np.argsort(t)
-        t, c = t[order], c[order]
-        first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
-        t, c = t[first], np.add.reduceat(c, first)
-        return pd.DataFrame([(key[0], *[set_bits(t[c >= least].astype(np.uint64), share >> (k > 0)) for k, least in enumerate(LEVELS)])], columns=["frag", *[f"b{k}" for k in range(len(LEVELS))]])
-
-    rows = fragment_counts(docs, bits).groupBy("frag").applyInPandas(count, "frag int, " + ", ".join(f"b{k} binary" for k in range(len(LEVELS)))).collect()
-    release(docs.sparkSession)
-    return Order(bits, [{r["frag"]: bytes(r[f"b{k}"]) for r in rows} for k in range(len(LEVELS))])
+    sub_bits = min(20, max(0, math.ceil(math.log2(size / 6 / per_part / 2**FRAGMENT_BITS + 1e-9))))
+    share = max(8, 2 ** int(math.log2(bitmap_bytes / 2**FRAGMENT_BITS / 2)))
+    with small_batches(spark):
+        rows = fragment_maps(fragment_counts(docs, sub_bits), sub_bits, [share if k == 0 else max(8, share // 4) for k in range(len(LEVELS))]).collect()
+    return Order([{r["frag"]: bytes(r[f"b{k}"]) for r in rows} for k in range(len(LEVELS))])
 
 
 def prefix_size(n: int, percent: int) -> int:
@@ -163,20 +233,18 @@ def prefix_size(n: int, percent: int) -> int:
 
 
 def ordered_sets(docs: DataFrame, order: Order, percent: int) -> DataFrame:
-    """(doc_id, set_hash, n, once, lead, bits, segs): bits say of PARITY classes of shingles whether the set has an odd number; `once` shingles are in no other set; `lead` shingles of the segments, taken in order, are in
-    the prefix, none if no other set can be near."""
+    """(doc_id, set_hash, n, once, lead, bits, segs): `once` shingles are in no other set; `lead` shingles of the segments, taken in order,
+    are in the prefix, none if no other set can be near; bits say of PARITY classes of shingles whether the set has an odd number."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
     n_frags = CUTS + len(LEVELS) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hashes, sizes, alone, leads, bits, flat, inner, outer = [], [], [], [], [], [], [0], [0]
+            hashes, sizes, alone, leads, bits, flat, inner, outer, odds = [], [], [], [], [], [], [0], [0], [0]
             for s in shingle_sets(b.column(1).to_pylist()):
                 m = mix(s)
                 hashes.append(int(m.sum(dtype=np.uint64)).to_bytes(8, "big") + int(mix(m ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)).to_bytes(8, "big"))
                 sizes.append(len(s))
-                odd = np.bincount((m >> np.uint64(32)).astype(np.int64) % PARITY, minlength=PARITY) & 1
-                bits.append(np.packbits(odd.astype(bool)).view(np.int64))
                 level = shared.value.level(s)
                 known = level >= 0
                 once = int((~known).sum())
@@ -184,15 +252,18 @@ def ordered_sets(docs: DataFrame, order: Order, percent: int) -> DataFrame:
                 lead = max(0, prefix_size(len(s), percent) - once) if len(s) else 0
                 leads.append(lead)
                 if lead:
+                    odd = np.bincount((m >> np.uint64(32)).astype(np.int64) % PARITY, minlength=PARITY) & 1
+                    bits.append(np.packbits(odd.astype(bool)).view(np.int64))
                     t, level = s[known], level[known]
                     frag = np.where(level == 0, (t >> np.uint64(62)).astype(np.int64), CUTS - 1 + level)
                     by = np.argsort(frag, kind="stable")
                     flat.append(t[by])
                     inner.extend((inner[-1] + np.cumsum(np.bincount(frag, minlength=n_frags))).tolist())
                 outer.append(len(inner) - 1)
+                odds.append(len(bits) * (PARITY // 64))
             values = np.concatenate(flat).view(np.int64) if flat else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(inner, pa.int32()), pa.array(values))
-            parity = pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * (PARITY // 64)), pa.array(np.concatenate(bits) if bits else np.zeros(0, np.int64)))
+            parity = pa.ListArray.from_arrays(pa.array(odds, pa.int32()), pa.array(np.concatenate(bits) if bits else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(hashes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(alone, pa.int64()), pa.array(leads, pa.int32()), parity, pa.ListArray.from_arrays(pa.array(outer, pa.int32()), lists)],
                 names=["doc_id", "set_hash", "n", "once", "lead", "bits", "segs"],
@@ -202,9 +273,9 @@ def ordered_sets(docs: DataFrame, order: Order, percent: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, set_hash binary, n bigint, once bigint, lead int, bits array<bigint>, segs array<array<bigint>>")
 
 
-def overlaps(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """pairs (a, b) with common, the size of the intersection: partial overlaps by fragment, summed. pairs is a stored table."""
-    seg = classes.select("cls", F.posexplode("segs").alias("frag", "seg")).where(F.size("seg") > 0)
+    seg = sets.where("lead > 0").select("cls", F.posexplode("segs").alias("frag", "seg")).where(F.size("seg") > 0)
     few = F.broadcast if pairs.count() <= BROADCAST_IDS else lambda df: df  # then segments that no pair needs stay where they are
     of_b = seg.withColumnsRenamed({"cls": "b", "seg": "seg_b"}).join(few(pairs.select("a", "b")), "b")
     of_a = seg.withColumnsRenamed({"cls": "a", "seg": "seg_a"}).join(few(pairs.select("a").distinct()), "a", "left_semi")
@@ -212,10 +283,10 @@ def overlaps(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return part.groupBy("a", "b").agg(F.sum("part").alias("common"))
 
 
-def compared(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """pairs (a, b, n_a, n_b) as (a, b, linked): whether the similarity reaches percent."""
-    counted = pairs.join(overlaps(pairs, classes), ["a", "b"], "left").select("a", "b", "n_a", "n_b", F.coalesce("common", F.lit(0)).alias("common"))
-    return materialise(counted.select("a", "b", near(F.col("common"), F.col("n_a"), F.col("n_b"), percent).alias("linked")), "compared-pairs")
+    counted = pairs.join(overlaps(pairs, sets), ["a", "b"], "left").select("a", "b", "n_a", "n_b", F.coalesce("common", F.lit(0)).alias("common"))
+    return counted.select("a", "b", near(F.col("common"), F.col("n_a"), F.col("n_b"), percent).alias("linked"))
 
 
 def near(common: Column, a: Column, b: Column, percent: int) -> Column:
@@ -239,23 +310,28 @@ def parities_allow(percent: int) -> Column:
 
 def components(docs: DataFrame, percent: int = 75, bitmap_bytes: int = 1 << 26) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
-    small_batches(docs.sparkSession)
-    sets = materialise(ordered_sets(docs, global_order(docs, bitmap_bytes), percent), "shingle-sets")
-    # a set with an equal one has no shingle of its own, so sets without a lead are alone
-    groups = sets.where("lead > 0").groupBy("set_hash").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "once", "lead", "bits", "segs")])
-    classes = materialise(groups.withColumn("cls", F.monotonically_increasing_id()), "shingle-classes")
-    places = classes.select("cls", "n", "once", F.posexplode(F.slice(F.flatten("segs"), 1, F.col("lead"))).alias("idx", "token"))
-    places = places.select("token", "cls", F.col("n").cast("int").alias("n"), "idx", (F.col("once") + F.col("idx")).cast("int").alias("at"))
+    spark = docs.sparkSession
+    scratch = Scratch(spark)
+    order = global_order(docs, bitmap_bytes)
+    release(spark)  # the counts, about as large as the input, have done their work
+    with small_batches(spark):
+        sets = scratch.store(ordered_sets(docs, order, percent).withColumn("cls", F.monotonically_increasing_id()), "shingle-sets")
+    # equal sets are one class, named by one of its rows; a set with an equal one has no shingle of its own, so sets without a lead are alone
+    classes = scratch.store(sets.where("lead > 0").groupBy("set_hash").agg(F.min("cls").alias("cls"), F.min("doc_id").alias("rep")), "shingle-classes")
+    first = sets.where("lead > 0").select("cls", "n", "once", F.slice(F.flatten("segs"), 1, F.col("lead")).alias("prefix"))
+    places = first.join(classes.select("cls"), "cls", "left_semi").select("cls", F.col("n").cast("int").alias("n"), "once", F.posexplode("prefix").alias("idx", "token"))
+    places = places.select("token", "cls", "n", "idx", (F.col("once") + F.col("idx")).cast("int").alias("at"))
     common = places.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
+    placed = scratch.store(places.join(common, "token").withColumns({"root": F.col("cls"), "largest": F.lit(-1).cast("bigint")}), "open-postings")
 
-    found, roots, r = None, classes.select("cls", F.col("cls").alias("root")), 0
-    placed = unsettled(places.join(common, "token"), roots)
+    found, r = [], 0
     while True:
-        tried = compared(star_pairs(placed, r, percent), classes, percent)
-        new = tried.where("linked").select("a", "b")
-        found = new if found is None else found.union(new)
-        roots = rooted(classes, found)
-        placed = unsettled(placed.select("token", "cls", "n", "idx", "at"), roots)
+        pairs = scratch.store(star_pairs(placed, r, percent), "star-pairs")
+        tried = scratch.store(compared(pairs, sets, percent), f"compared-{r}")
+        found.append(tried.where("linked").select("a", "b"))
+        roots = rooted(found, scratch)
+        placed = scratch.store(unsettled(placed, roots), "open-postings")
+        release(spark)
         cost = placed.groupBy("token", "largest").agg(F.count(F.lit(1)).alias("all"), F.count(F.when(F.col("root") != F.col("largest"), 1)).alias("minor"))
         left = cost.agg(F.coalesce(F.sum(F.col("all") * F.col("minor")), F.lit(0)).alias("pairs"), F.coalesce(F.sum("all"), F.lit(0)).alias("places")).first()
         won = tried.agg(F.count(F.when(F.col("linked"), 1)).alias("links"), F.count(F.lit(1)).alias("pairs")).first()
@@ -263,21 +339,25 @@ def components(docs: DataFrame, percent: int = 75, bitmap_bytes: int = 1 << 26)
         # stars go on while they find many links and the pairs left are many times the places
         if left["pairs"] <= 8 * left["places"] or 20 * won["links"] <= won["pairs"]:
             break
-    rest = compared(cross_pairs(placed, classes, percent), classes, percent)
-    roots = rooted(classes, found.union(rest.where("linked").select("a", "b")))
+    pairs = scratch.store(cross_pairs(placed, sets, percent), "cross-pairs")
+    found.append(scratch.store(compared(pairs, sets, percent), "compared").where("linked").select("a", "b"))
+    roots = rooted(found, scratch)
 
-    least = roots.join(classes.select("cls", "rep"), "cls").groupBy("root").agg(F.min("rep").alias("component_id"))
-    of_set = classes.select(F.col("set_hash").alias("of"), "cls").join(roots, "cls").join(least, "root").select("of", "component_id", F.lit(True).alias("known"))
+    named = classes.join(roots, "cls", "left").select("set_hash", "rep", F.coalesce("root", "cls").alias("root"))
+    least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
+    of_set = named.join(least, "root").select(F.col("set_hash").alias("of"), "component_id", F.lit(True).alias("known"))
     out = sets.select("doc_id", "n", "set_hash").join(of_set, F.col("set_hash") == F.col("of"), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("known"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    result = materialise(out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("known"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")), "components")
+    scratch.clear()
+    return result
 
 
-def unsettled(postings: DataFrame, roots: DataFrame) -> DataFrame:
+def unsettled(placed: DataFrame, roots: DataFrame) -> DataFrame:
     """The places of shingles whose classes lie in several components, with root and the shingle's largest component."""
-    placed = postings.join(roots, "cls")
+    placed = placed.drop("root", "largest").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     sizes = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("k"))
     largest = sizes.groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("largest"), F.count(F.lit(1)).alias("roots"))
-    return materialise(placed.join(largest.where("roots > 1").select("token", "largest"), "token"), "open-postings")
+    return placed.join(largest.where("roots > 1").select("token", "largest"), "token").select("token", "cls", "n", "idx", "at", "root", "largest")
 
 
 def star_pairs(placed: DataFrame, r: int, percent: int) -> DataFrame:
@@ -293,28 +373,29 @@ def star_pairs(placed: DataFrame, r: int, percent: int) -> DataFrame:
     tried = placed.join(lead, "token").where(F.col("root") != F.col("root_a")).where(may_be_near(percent))
     tried = tried.groupBy("cls", "a").agg(F.count(F.lit(1)).alias("k"), F.first("n").alias("n_b"), F.first("n_b").alias("n_a"))
     best = tried.groupBy("cls").agg(F.max_by(F.struct("a", "n_a", "n_b"), F.struct("k", "a")).alias("p"))
-    return materialise(best.select(F.col("p.a").alias("a"), F.col("cls").alias("b"), F.col("p.n_a").alias("n_a"), F.col("p.n_b").alias("n_b")), "star-pairs")
+    return best.select(F.col("p.a").alias("a"), F.col("cls").alias("b"), F.col("p.n_a").alias("n_a"), F.col("p.n_b").alias("n_b"))
 
 
-def cross_pairs(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def cross_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All pairs of places of a shingle in different components that may be near. One side is never in the largest component."""
-    full = placed.join(classes.select("cls", "bits"), "cls")
+    full = placed.join(sets.where("lead > 0").select("cls", "bits"), "cls")
     minor = full.where(F.col("root") != F.col("largest")).select("token", "cls", "n", "at", "idx", "bits", "root")
     other = full.select("token", *[F.col(c).alias(to) for c, to in (("cls", "b"), ("n", "n_b"), ("at", "at_b"), ("idx", "idx_b"), ("bits", "bits_b"), ("root", "root_b"))], (F.col("root") == F.col("largest")).alias("in_largest"))
     once = F.col("in_largest") | (F.col("cls") < F.col("b"))
     pairs = minor.join(other, (minor["token"] == other["token"]) & (F.col("root") != F.col("root_b")) & once & may_be_near(percent) & parities_allow(percent))
-    return materialise(pairs.select(F.col("cls").alias("a"), "b", F.col("n").alias("n_a"), "n_b").distinct(), "cross-pairs")
+    return pairs.select(F.col("cls").alias("a"), "b", F.col("n").alias("n_a"), "n_b").distinct()
 
 
-def rooted(classes: DataFrame, found: DataFrame) -> DataFrame:
-    """(cls, root) of every class under the links found so far."""
-    cc = connected_components(found.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "cls")
-    return materialise(classes.select("cls").join(cc, "cls", "left").select("cls", F.coalesce("root", "cls").alias("root")), "roots")
+def rooted(found: Sequence[DataFrame], scratch: Scratch) -> DataFrame:
+    """(cls, root) of the classes that have links, under all links found so far."""
+    links = reduce(DataFrame.union, found)
+    cc = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch)
+    return scratch.store(cc.select(F.col("node").alias("cls"), "root"), "roots")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """docs without the near copies: of each component one row, that of the least doc_id (nulls last) and text hash."""
-    found = materialise(components(docs.select(row_key(docs).alias("doc_id"), "text"), **options), "components")
+    found = components(docs.select(row_key(docs).alias("doc_id"), "text"), **options)
     kept = without_rows(docs, found.where("doc_id != component_id").select(F.col("doc_id").alias("gone_key")))
     if found.groupBy("doc_id").count().where("count > 1").isEmpty():
         return kept

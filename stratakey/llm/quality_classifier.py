@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import documents, small_batches, trim
+from .store import documents, trim
 
 WIDTH, STRIDE = 16, 4  # bytes that a filter sees, and from one place to the next
 CELL, CHUNK, HOP = 64, 4, 3  # places in a cell, cells in a chunk, cells from one chunk to the next
@@ -175,8 +175,6 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 700, max_chars: in
 
 
 def score_column(net: Network, text: Column) -> Column:
-    small_batches(SparkSession.getActiveSession())
-
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in parts:

@@ -5,9 +5,9 @@ from __future__ import annotations
 import ctypes
 import gc
 import tempfile
-import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,10 +37,12 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Writes df to the shared folder and reads it again: later steps neither recompute it nor depend on any one executor."""
-    spark = df.sparkSession
-    path = fresh_path(spark, label)
+    return written(df, fresh_path(df.sparkSession, label))
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -49,12 +51,32 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+class Scratch:
+    """The stored tables of one operator: a new table under a label takes the place of the old one, clear() deletes all."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def store(self, df: DataFrame, label: str) -> DataFrame:
+        path = fresh_path(self.spark, label)
+        out = written(df, path)
+        self.drop(label)
+        self.paths[label] = path
+        return out
+
+    def drop(self, *labels: str) -> None:
+        for label in labels:
+            if label in self.paths:
+                remove(self.spark, self.paths.pop(label))
+
+    def clear(self) -> None:
+        self.drop(*list(self.paths))
+
+
 def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of steps whose DataFrames are gone; it does so only when the driver collects garbage."""
-    for _ in range(2):
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.5)
+    """Asks both collectors to run: Spark deletes the shuffle files of finished steps only once the driver has collected their plans."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def trim() -> None:
@@ -94,6 +116,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 250) -> None:
-    """Fewer rows a batch for functions over whole texts, so that a batch of long ones fits a worker's memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 250) -> Iterator[None]:
+    """Fewer rows an Arrow batch for what runs inside, so that a batch of long texts fits a worker's memory; the setting comes back after."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

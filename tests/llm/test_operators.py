@@ -427,6 +427,32 @@ def test_small_bitmaps_change_no_link(spark):
     assert out(1 << 26) == out(1 << 12)
 
 
+@pytest.mark.parametrize("sub_bits", [0, 3])
+def test_fragment_maps_count_every_shingle(spark, sub_bits):
+    texts = families()[:40]
+    counts = jaccard_join.fragment_counts(made(spark, texts).repartition(3), sub_bits)
+    rows = jaccard_join.fragment_maps(counts, sub_bits, [1024] * len(jaccard_join.LEVELS)).collect()
+    assert len({r["frag"] for r in rows}) == len(rows)
+    order = jaccard_join.Order([{r["frag"]: bytes(r[f"b{k}"]) for r in rows} for k in range(len(jaccard_join.LEVELS))])
+    seen = defaultdict(int)
+    for s in jaccard_join.shingle_sets(texts):
+        for t in s.tolist():
+            seen[t] += 1
+    want = [sum(n >= least for least in jaccard_join.LEVELS) - 1 for n in seen.values()]
+    got = order.level(np.array(list(seen), np.uint64)).tolist()
+    assert all(g >= w for g, w in zip(got, want)) and sum(g != w for g, w in zip(got, want)) < len(want) / 20
+
+
+def test_an_operator_leaves_no_stored_table_but_its_result(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
+    try:
+        jaccard_join.components(made(spark, families()[:40])).collect()
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before)
+    assert [d.rsplit("-", 1)[0] for d in os.listdir(tmp_path)] == ["components"]
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (200, 199), (199, 200)]
     got = {r["node"]: r["root"] for r in components.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
