@@ -1,14 +1,17 @@
 """Benchmark decontamination by winnowing.
 
-An item's window is `span` consecutive words. Every window selects one fingerprint: the least hash among its k-grams. Two equal
-windows select the same one, so each shared span of at least `span` words is found, and only fingerprints are compared.
+A window is `span` consecutive words; among its k-grams it selects the one with the least hash, the last of equal ones. Selected
+k-grams are the fingerprints of a text, each kept once however many windows select it. Equal windows select the same one, so any
+shared span of at least `span` words shares a fingerprint at the same place in it.
 Documents are cut into words where they lie (numpy in an Arrow function); a fixed-size bitmap of the benchmark's
-fingerprints, `bitmap_bits` in all whatever the benchmark's size, drops nearly all windows on the spot. What is left, a few
-rows, is joined with the benchmark's windows on fingerprint and window hash (128 bits in all), which is also the exact check;
-neighbouring windows then merge to hit spans. Items shorter than a window are one window of their own length.
+fingerprints, `bitmap_bits` in all whatever the benchmark's size, drops nearly all of theirs on the spot. What is left, a few
+rows, is joined with the benchmark's fingerprints alone. Each hit is then extended word by word to both sides, as far as any of the
+windows around it reaches; a run of a whole window or more is a hit span, and shorter ones are dropped, which is the exact check.
+Items shorter than a window are one window of their own length.
 
 Defined cases: null or wordless texts have no words and no hits; wordless items never occur; equal items each count;
-each row is one document, also where doc_id repeats; an empty benchmark hits nothing.
+each row is one document, also where doc_id repeats; an empty benchmark hits nothing; a very long text is cut into words in one task;
+other columns, whatever their names, are passed over.
 """
 
 from __future__ import annotations
@@ -24,51 +27,61 @@ from .store import documents, materialise, row_key, small_batches, trim, without
 from .wordhash import ALNUM, grams, text_groups, words
 
 SPAN, K = 10, 5
-FOUND = "array<struct<pos:int, len:int, fp:bigint, win:bigint>>"
-_FOUND_ARROW = pa.list_(pa.struct([("pos", pa.int32()), ("len", pa.int32()), ("fp", pa.int64()), ("win", pa.int64())]))
+FOUND = "array<struct<pos:int, len:int, fp:bigint, left:array<bigint>, gram:array<bigint>, right:array<bigint>>>"
 
 
-def windows(h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprint and hash of every window of n words over a row of word hashes."""
-    k = min(K, n)
+def selected(h: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the k-grams that windows of `size` words select. h has the words of many texts, text i those from at[i] to at[i + 1]."""
+    k = min(K, size)
     g = grams(h, k, salt=k)
-    fp = g[: len(h) - n + 1]
-    for j in range(1, n - k + 1):
-        fp = np.minimum(fp, g[j : len(h) - n + 1 + j])
-    return fp, grams(h, n, salt=1000 + n)
+    window = np.arange(max(0, len(h) - size + 1))
+    window = window[window + size <= at[np.searchsorted(at, window, side="right")]]
+    place = window + size - k
+    for j in range(size - k - 1, -1, -1):
+        place = np.where(g[window + j] < g[place], window + j, place)
+    place = np.unique(place)
+    return place, g[place]
 
 
-def found_windows(df: DataFrame, key: str, lengths: list[int], bitmap: np.ndarray | None, own_length: bool = False) -> DataFrame:
-    """(key, n_words, found): the windows of each text whose fingerprint is in the bitmap.
+def neighbours(h: np.ndarray, first: np.ndarray, count: np.ndarray, step: int) -> pa.Array:
+    """For each place, the hashes of count words from first on, in steps of 1 or -1."""
+    end = np.cumsum(count)
+    i = np.arange(end[-1] if len(end) else 0) - np.repeat(end - count, count)
+    return pa.ListArray.from_arrays(pa.array(np.append(0, end).astype(np.int32)), pa.array(h[np.repeat(first, count) + step * i].view(np.int64)))
+
+
+def fingerprints(df: DataFrame, key: str, lengths: list[int], bitmap: np.ndarray | None, own_length: bool = False) -> DataFrame:
+    """(key, n_words, found): the fingerprints of each text that are in the bitmap, with the words around them that windows reach.
 
     own_length: a text of fewer than SPAN words is one window, and no shorter windows are taken from longer ones.
     """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, texts = b.column(0), b.column(1).to_pylist()
             for lo, hi in text_groups(texts):
                 h, n = words(texts[lo:hi], ALNUM)
                 at = np.concatenate([[0], np.cumsum(n)])
-                doc_of = np.repeat(np.arange(hi - lo), n)
-                rows = []
+                rows = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
                 for size in lengths:
-                    if len(h) < size:
-                        continue
-                    fp, win = windows(h, size)
-                    place = np.arange(len(fp))
-                    ok = place + size <= at[doc_of[: len(fp)] + 1]
-                    if own_length:
-                        ok &= (size == SPAN) | (n[doc_of[: len(fp)]] == size)
+                    place, fp = selected(h, at, size)
+                    ok = np.ones(len(place), bool)
+                    if own_length and size < SPAN:
+                        ok &= n[np.searchsorted(at, place, side="right") - 1] == size
                     if bitmap is not None:
                         bit = fp & np.uint64(len(bitmap) * 8 - 1)
                         ok &= (bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                    p = place[ok]
-                    rows.append((doc_of[p], p - at[doc_of[p]], np.full(len(p), size), fp[p], win[p]))
-                d, pos, size, fp, win = (np.concatenate(x) for x in zip(*rows)) if rows else (np.zeros(0, np.int64),) * 5
-                order = np.argsort(d, kind="stable")
-                offsets = np.concatenate([[0], np.cumsum(np.bincount(d.astype(np.int64), minlength=hi - lo))]).astype(np.int32)
-                parts = [pa.array(pos[order].astype(np.int32)), pa.array(size[order].astype(np.int32)), pa.array(fp[order].astype(np.uint64).view(np.int64)), pa.array(win[order].astype(np.uint64).view(np.int64))]
-                found = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(parts, names=["pos", "len", "fp", "win"])).cast(_FOUND_ARROW)
+                    rows.append((place[ok], np.full(ok.sum(), size), fp[ok]))
+                place, size, fp = (np.concatenate(x) for x in zip(*rows))
+                order = np.argsort(place, kind="stable")
+                place, size, fp = place[order], size[order], fp[order]
+                doc = np.searchsorted(at, place, side="right") - 1
+                k = np.minimum(K, size)
+                left, right = np.minimum(size - k, place - at[doc]), np.minimum(size - k, at[doc + 1] - place - k)
+                offsets = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=hi - lo))]).astype(np.int32)
+                around = [neighbours(h, place - 1, left, -1), neighbours(h, place, k, 1), neighbours(h, place + k, right, 1)]
+                parts = [pa.array((place - at[doc]).astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(fp.view(np.int64)), *around]
+                found = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(parts, names=["pos", "len", "fp", "left", "gram", "right"]))
                 yield pa.RecordBatch.from_arrays([keys.slice(lo, hi - lo), pa.array(n.astype(np.int64)), found], names=[key, "n_words", "found"])
         trim()
 
@@ -77,10 +90,17 @@ def found_windows(df: DataFrame, key: str, lengths: list[int], bitmap: np.ndarra
 
 
 def benchmark_index(bench: DataFrame) -> DataFrame:
-    """(fp, win, len, items): each distinct window with the items that have it."""
-    found = found_windows(bench, "item_id", list(range(1, SPAN + 1)), None, own_length=True)
-    w = found.select("item_id", F.explode("found").alias("w")).select("item_id", "w.fp", "w.win", "w.len")
-    return w.groupBy("fp", "win", "len").agg(F.collect_set("item_id").alias("items"))
+    """(fp, len, of_left, of_gram, of_right, items): each distinct fingerprint in its surroundings, with the items that have it."""
+    found = fingerprints(bench, "item_id", list(range(1, SPAN + 1)), None, own_length=True)
+    w = found.select("item_id", F.explode("found").alias("w"))
+    w = w.select("item_id", "w.fp", "w.len", F.col("w.left").alias("of_left"), F.col("w.gram").alias("of_gram"), F.col("w.right").alias("of_right"))
+    return w.groupBy("fp", "len", "of_left", "of_gram", "of_right").agg(F.collect_set("item_id").alias("items"))
+
+
+def agreeing(a: Column, b: Column) -> Column:
+    """How many elements from the first on are equal."""
+    differ = F.array_position(F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False))), False)
+    return F.when(differ > 0, differ - 1).otherwise(F.size(a)).cast("int")
 
 
 def fingerprint_bitmap(index: DataFrame, bits: int) -> np.ndarray:
@@ -102,7 +122,7 @@ def covered(windows: Column) -> Column:
 
 
 def hits(docs: DataFrame, bench: DataFrame, bitmap_bits: int = 1 << 22) -> DataFrame:
-    """(row, doc_id, n_words, windows, items) of every row: the (pos, len) windows that items have, and these items' ids."""
+    """(row, doc_id, n_words, windows, items) of every row: the (pos, len) spans shared with items, and these items' ids."""
     with small_batches(docs.sparkSession):
         index = materialise(benchmark_index(bench), "benchmark-windows")
     lengths = sorted(r["len"] for r in index.select("len").distinct().collect()) or [SPAN]
@@ -110,9 +130,11 @@ def hits(docs: DataFrame, bench: DataFrame, bitmap_bits: int = 1 << 22) -> DataF
     # the row number is made on the scan and travels as text does, so a row's number never changes within this job
     rows = docs.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col("doc_id")).alias("k"), "text")
     with small_batches(docs.sparkSession):
-        found = materialise(found_windows(rows, "k", lengths, bitmap).select("k.row", "k.doc_id", "n_words", "found"), "document-windows")
-    w = found.select("row", F.explode("found").alias("w")).select("row", "w.pos", "w.len", "w.fp", "w.win")
-    hit = w.join(index, ["fp", "win", "len"])
+        found = materialise(fingerprints(rows, "k", lengths, bitmap).select("k.row", "k.doc_id", "n_words", "found"), "document-windows")
+    w = found.select("row", F.explode("found").alias("w")).select("row", "w.*")
+    met = w.join(index, ["fp", "len"]).where(F.col("gram") == F.col("of_gram"))
+    met = met.select("row", "pos", "len", "items", F.size("gram").alias("k"), agreeing(F.col("left"), F.col("of_left")).alias("l"), agreeing(F.col("right"), F.col("of_right")).alias("r"))
+    hit = met.where(F.col("l") + F.col("k") + F.col("r") >= F.col("len")).select("row", (F.col("pos") - F.col("l")).alias("pos"), (F.col("l") + F.col("k") + F.col("r")).alias("len"), "items")
     spans = hit.groupBy("row").agg(F.collect_set(F.struct("pos", "len")).alias("windows"))
     items = hit.select("row", F.explode("items").alias("item_id")).distinct().groupBy("row").agg(F.collect_list("item_id").alias("items"))
     return found.select("row", "doc_id", "n_words").join(spans, "row", "left").join(items, "row", "left")

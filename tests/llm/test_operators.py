@@ -358,12 +358,59 @@ def test_rules_are_one_scan(spark):
 # 8
 
 
-def test_each_window_has_one_fingerprint_and_all_lengths_agree():
+def test_every_window_has_a_selected_minimum():
     h, n = wordhash.words(["a b c d e f g h i j k l", None, "", "A-b c"], wordhash.ALNUM)
     assert n.tolist() == [12, 0, 0, 3] and h[0] == h[12] and h[2] == h[14]
-    fp, win = decontaminate.windows(h[:12], 10)
-    g = wordhash.grams(h[:12], 5, salt=5)
-    assert fp.tolist() == [int(g[i : i + 6].min()) for i in range(3)] and len(set(win.tolist())) == 3
+    rng = np.random.default_rng(1)
+    for size in range(1, 11):
+        h = rng.integers(1, 8, 300).astype(np.uint64)  # few words, so that k-grams repeat
+        at = np.array([0, 120, 121, 300])
+        k = min(decontaminate.K, size)
+        g = wordhash.grams(h, k, salt=k).tolist()
+        place, fp = decontaminate.selected(h, at, size)
+        want = set()
+        for a, b in zip(at[:-1], at[1:]):
+            for i in range(a, b - size + 1):
+                span = g[i : i + size - k + 1]
+                want.add(i + max(j for j, x in enumerate(span) if x == min(span)))
+        assert place.tolist() == sorted(want) and fp.tolist() == [g[p] for p in place]
+
+
+def brute_hits(docs, bench):
+    cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase)))
+    of = defaultdict(set)
+    for item, t in bench:
+        w = cut(t)
+        for i in range(max(1, len(w) - 9) if w else 0):
+            of[tuple(w[i : i + 10])].add(item)
+    out = []
+    for _, t in docs:
+        w, hit, items = cut(t), set(), set()
+        for size in range(1, 11):
+            for i in range(len(w) - size + 1):
+                if tuple(w[i : i + size]) in of:
+                    hit |= set(range(i, i + size))
+                    items |= of[tuple(w[i : i + size])]
+        out.append((len(w), len(hit), sorted(items)))
+    return out
+
+
+def test_every_shared_span_is_hit(spark):
+    rng = np.random.default_rng(4)
+    prose = lambda n, v=6: [f"w{x}" for x in rng.integers(0, v, n)]
+    bench = [(i, " ".join(prose(int(rng.integers(1, 40))))) for i in range(12)] + [(20, "w1 w2 w3 w1 w2 w3 w1 w2 w3 w1 w2 w3"), (21, None), (22, "w1")]
+    docs = []
+    for i in range(60):
+        w = prose(int(rng.integers(0, 60)), 30)
+        for _ in range(2):
+            item = (bench[int(rng.integers(0, 13))][1] or "").split()
+            a = int(rng.integers(0, len(item)))
+            at = int(rng.integers(0, len(w) + 1))
+            w[at:at] = item[a : a + int(rng.integers(1, 25))]
+        docs.append((i, " ".join(w)))
+    out = decontaminate.hits(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"))
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"] or 0, sorted(r["items"] or [])) for r in out.withColumn("n_hit", decontaminate.covered(F.col("windows"))).collect()}
+    assert [got[i] for i in range(60)] == brute_hits(docs, bench)
 
 
 def test_clean_documents_stay(spark):
@@ -443,14 +490,12 @@ def test_fragment_maps_count_every_shingle(spark, sub_bits):
     assert all(g >= w for g, w in zip(got, want)) and sum(g != w for g, w in zip(got, want)) < len(want) / 20
 
 
-def test_an_operator_leaves_no_stored_table_but_its_result(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
-    try:
-        jaccard_join.components(made(spark, families()[:40])).collect()
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
-    assert [d.rsplit("-", 1)[0] for d in os.listdir(tmp_path)] == ["components"]
+def test_an_operator_leaves_no_stored_table_but_its_result(spark):
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    os.makedirs(folder, exist_ok=True)
+    before = set(os.listdir(folder))
+    jaccard_join.components(made(spark, families()[:40])).collect()
+    assert [d.rsplit("-", 1)[0] for d in set(os.listdir(folder)) - before if not d.startswith(".")] == ["components"]
 
 
 def test_components_of_paths_and_stars(spark):
