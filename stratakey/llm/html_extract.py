@@ -5,16 +5,20 @@ A page starts from its blocks of text (more of it outside links than inside) and
 votes for that candidate's generalised path (tags with their classes, numbers replaced) among the pages of its host, in Spark;
 then every page is read again and yields the text below its host's winning path where that holds MOST of the page's text, or
 below its own candidate. Votes are summed before the shuffle, so a hot host is no burden; the winners are one row a host. Up to
-BROADCAST_HOSTS of them, some ten MB, go to the pages; more are joined by a shuffle.
+BROADCAST_HOSTS of them, some ten MB, go to the pages; more are joined by a shuffle. Paths are kept as one tree a page, so the time
+grows with the page's length, however deeply it is nested.
 
 Defined cases: null or empty html gives an empty text; null urls form a host of their own; a page cut off inside a tag
-keeps what came before; repeated rows give repeated results.
+keeps what came before; elements never closed end with the page; repeated rows give repeated results; of paths with as many votes the
+one with more text wins, then the greater; a very long page is read in one task; columns named as the operator's own are kept as they
+are, except main_text, which it replaces; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -24,10 +28,11 @@ from pyspark.sql import functions as F
 from .store import materialise
 from .url_filter import host_and_path
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z|(?=<))", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^<>\"']++|\"[^\"]*\"|'[^']*')*+)(?:>|\Z|(?=<))", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 # What the elements of HTML are.
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "object"}
+TO_THE_END = {"script", "style", "textarea", "title"}  # take the rest of the page if they are not closed
+RAW = TO_THE_END | {"noscript", "template", "svg", "iframe", "object"}
 SKIPPED = {"head", "nav", "footer", "aside", "form", "menu", "dialog", "select", "button", "audio", "video", "canvas", "map"}
 CONTAINERS = {"html", "body", "main", "article", "section", "div", "td", "table", "tr", "ul", "ol", "dl", "blockquote", "header", "center", "details"}
 CANDIDATES = {"html", "body", "main", "article", "section", "div"}
@@ -44,31 +49,90 @@ PLACE = "left|right|top|bottom|main|page|site|user|users|box|block|list|area|sec
 WORD = re.compile(rf"(?:{PLACE}|[a-z]|\d+)?(?P<noise>{NOISE})?(?:{PLACE}|\d+)?")
 #: Containers of the text itself are never noise, whatever their classes say of the page.
 WHOLE = {"html", "body", "main", "article"}
+NAMED = (CONTAINERS - WHOLE) | {"p", "li", "span"}
 
 
 class Block:
-    __slots__ = ("path", "parts", "linked", "doubts")
-
-    def __init__(self, path: tuple[str, ...]):
-        self.path, self.parts, self.linked, self.doubts = path, [], 0, ()
+    """A block of text: its place in the tree of paths, its pieces, how much of it is linked, and the innermost doubt about it."""
+
+    __slots__ = ("node", "parts", "linked", "doubt")
+
+    def __init__(self) -> None:
+        self.node, self.parts, self.linked, self.doubt = 0, [], 0, -1
+
+
+class Paths:
+    """The generalised paths of a page's candidates as a tree; node 0 is the root, and parents come before their children."""
+
+    def __init__(self) -> None:
+        self.parents, self.names, self.children = [0], [""], {}
+
+    def child(self, node: int, name: str) -> int:
+        found = self.children.get((node, name))
+        if found is None:
+            found = self.children[node, name] = len(self.parents)
+            self.parents.append(node)
+            self.names.append(name)
+        return found
+
+    def find(self, path: str) -> int | None:
+        node = 0
+        for name in path.split(">") if path else ():
+            node = self.children.get((node, name))
+            if node is None:
+                return None
+        return node
+
+    def path(self, node: int) -> str:
+        out = []
+        while node:
+            out.append(self.names[node])
+            node = self.parents[node]
+        return ">".join(reversed(out))
+
+    def sums(self, own: list[int]) -> list[int]:
+        """own, with what is below each node added."""
+        total = own[:]
+        for node in range(len(total) - 1, 0, -1):
+            total[self.parents[node]] += total[node]
+        return total
+
+    def below(self, node: int) -> list[bool]:
+        """Whether each node is node or below it."""
+        out = [node == 0] * len(self.parents)
+        for i in range(1, len(out)):
+            out[i] = i == node or out[self.parents[i]]
+        return out
 
 
 class Doubt:
     """An element inside an article whose name alone doesn't tell whether it is noise; its contents do."""
 
-    __slots__ = ("size", "linked", "items", "form", "comments")
+    __slots__ = ("parent", "size", "linked", "items", "form", "comments")
 
-    def __init__(self, comments: bool):
-        self.size, self.linked, self.items, self.form, self.comments = 0, 0, 0, False, comments
+    def __init__(self, parent: int, comments: bool):
+        self.parent, self.size, self.linked, self.items, self.form, self.comments = parent, 0, 0, 0, False, comments
 
     def noise(self) -> bool:
         """Mostly links, a form, or a list of comments."""
         return self.form or 2 * self.linked > self.size or (self.comments and self.items > 1)
 
 
+def rejected(doubts: list[Doubt]) -> list[bool]:
+    """Whether each doubt, or one around it, is noise. What lies inside counts for those around."""
+    for d in reversed(doubts):
+        if d.parent >= 0:
+            outer = doubts[d.parent]
+            outer.size, outer.linked, outer.items, outer.form = outer.size + d.size, outer.linked + d.linked, outer.items + d.items, outer.form or d.form
+    out: list[bool] = []
+    for d in doubts:
+        out.append(d.noise() or (d.parent >= 0 and out[d.parent]))
+    return out
+
+
 def generalised(tag: str, attributes: str) -> str:
     named = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
-    classes = sorted(re.sub(r"\d+", "0", c.lower()) for c in named.get("class", "").split())[:2]
+    classes = sorted(re.sub(r"\d+", "0", c.lower()).replace(">", "") for c in named.get("class", "").split())[:2]
     return ".".join([tag, *classes])
 
 
@@ -80,43 +144,42 @@ def noise_name(value: str) -> bool:
     return False
 
 
-def noisy(tag: str, attributes: str, stack: list[tuple[str, str, bool, Doubt | None]]) -> bool:
-    """Whether an element is noise, or inside an article may be."""
+def noisy(tag: str, attributes: str, inside: bool) -> bool:
+    """Whether an element is noise, or, inside an article, may be."""
     if tag in SKIPPED:
         return True
-    if tag == "header" and not within(stack):
+    if tag == "header" and not inside:
         return True
-    return tag in (CONTAINERS - WHOLE) | {"p", "li", "span"} and any(noise_name(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes))
+    return tag in NAMED and any(noise_name(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes))
 
 
-def within(stack: list[tuple[str, str, bool, Doubt | None]]) -> bool:
-    return any(x[0] in ("article", "main") for x in stack)
+class Open:
+    """An open element: its tag, whether its text is skipped, and the path and doubt that hold inside it."""
 
+    __slots__ = ("tag", "skipped", "node", "doubt")
 
-def blocks(page: str) -> list[Block]:
-    """The page's text blocks outside menus, adverts and the like, in page order."""
-    stack: list[tuple[str, str, bool, Doubt | None]] = []  # tag, generalised name, whether its text is skipped, or may be
-    out, links, at, skip = [Block(())], 0, 0, 0
-    doubts: tuple[Doubt, ...] = ()
+    def __init__(self, tag: str, skipped: bool, node: int, doubt: int):
+        self.tag, self.skipped, self.node, self.doubt = tag, skipped, node, doubt
+
+
+def blocks(page: str) -> tuple[list[Block], Paths]:
+    """The page's text blocks outside menus, adverts and the like, in page order, and their paths."""
+    stack, opened, paths, doubts = [Open("", False, 0, -1)], Counter(), Paths(), []
+    out, links, at, skip, endless = [Block()], 0, 0, 0, set()
 
     def text(s: str) -> None:
         if s and not skip:
             out[-1].parts.append(s)
             out[-1].linked += len(s) if links else 0
-            for d in doubts:
-                d.size += len(s.strip())
-                d.linked += len(s.strip()) if links else 0
-
-    def fresh() -> None:
-        path = tuple(x[1] for x in stack if x[0] in CANDIDATES)
-        if out[-1].parts:
-            out.append(Block(path))
-        else:
-            out[-1].path = path
-        out[-1].doubts = doubts
+            if stack[-1].doubt >= 0:
+                d, size = doubts[stack[-1].doubt], len(s.strip())
+                d.size += size
+                d.linked += size if links else 0
 
-    def doubted() -> tuple[Doubt, ...]:
-        return tuple(x[3] for x in stack if x[3])
+    def close() -> int:
+        top = stack.pop()
+        opened[top.tag] -= 1
+        return top.skipped
 
     n = len(page)
     while at < n:
@@ -128,41 +191,53 @@ def blocks(page: str) -> list[Block]:
         at, tag = m.end(), (m[2] or "").lower()
         if not tag:
             continue
-        before = doubts
+        before = stack[-1].doubt
         if m[1]:
             if tag == "a":
                 links = max(0, links - 1)
-            if any(x[0] == tag for x in stack) and (tag in CONTAINERS or tag in SKIPPED or stack[-1][0] == tag):
-                while stack:
-                    t, _, s, _ = stack.pop()
-                    skip -= s
-                    if t == tag:
-                        break
-                doubts = doubted()
+            if opened[tag] and (tag in CONTAINERS or tag in SKIPPED or stack[-1].tag == tag):
+                while stack[-1].tag != tag:
+                    skip -= close()
+                skip -= close()
         else:
-            for d in doubts:
-                d.items += tag in ("li", "article")
-                d.form |= tag in ("form", "textarea", "input", "select", "button")
+            if before >= 0:
+                doubts[before].items += tag in ("li", "article")
+                doubts[before].form |= tag in ("form", "textarea", "input", "select", "button")
             if tag in RAW:
-                end = re.compile(rf"</{tag}\s*>?", re.I).search(page, at)
-                at = end.end() if end else n
+                end = None if tag in endless else re.compile(rf"</{tag}\s*>?", re.I).search(page, at)
+                if end is None:
+                    endless.add(tag)
+                    at = n if tag in TO_THE_END else at
+                else:
+                    at = end.end()
                 continue
             if tag not in VOID:
                 links += tag == "a"
-                if stack and stack[-1][0] == tag and tag in ("p", "li"):  # the next one closes it
-                    skip -= stack.pop()[2]
+                if stack[-1].tag == tag and tag in ("p", "li"):  # the next one closes it
+                    skip -= close()
                 if tag == "body":  # closes what the head left open
-                    stack, skip = [x for x in stack if x[0] == "html"], 0
-                s = noisy(tag, m[3], stack)
+                    while len(stack) > 1 and stack[-1].tag != "html":
+                        close()
+                    skip = 0
+                inside = opened["article"] + opened["main"] > 0
+                s = noisy(tag, m[3], inside)
                 if s or tag in CONTAINERS or tag in SKIPPED:
-                    open_ = s and tag not in SKIPPED and within(stack)
-                    doubt = Doubt(re.search("comment|discussion|replies|respond|disqus", m[3], re.I) is not None) if open_ else None
-                    stack.append((tag, generalised(tag, m[3]), s and not open_, doubt))
-                    skip += s and not open_
-                doubts = doubted()
-        if tag in BLOCKS or doubts != before:
-            fresh()
-    return [b for b in out if not any(d.noise() for d in b.doubts)]
+                    doubtful = s and tag not in SKIPPED and inside
+                    node, doubt = stack[-1].node, stack[-1].doubt
+                    if doubtful:
+                        doubts.append(Doubt(doubt, re.search("comment|discussion|replies|respond|disqus", m[3], re.I) is not None))
+                        doubt = len(doubts) - 1
+                    if tag in CANDIDATES:
+                        node = paths.child(node, generalised(tag, m[3]))
+                    stack.append(Open(tag, s and not doubtful, node, doubt))
+                    opened[tag] += 1
+                    skip += s and not doubtful
+        if tag in BLOCKS or stack[-1].doubt != before:
+            if out[-1].parts:
+                out.append(Block())
+            out[-1].node, out[-1].doubt = stack[-1].node, stack[-1].doubt
+    bad = rejected(doubts)
+    return [b for b in out if b.doubt < 0 or not bad[b.doubt]], paths
 
 
 def clean(b: Block) -> str:
@@ -179,26 +254,30 @@ def worth(b: Block) -> int:
     return size if size > 2 * b.linked else 0
 
 
-def best_path(found: list[Block]) -> tuple[str, ...]:
-    """The innermost candidate that holds all blocks of text; of a page of links only, all blocks."""
-    paths = [b.path for b in found if worth(b)] or [b.path for b in found if b.parts]
-    if not paths:
-        return ()
-    low, high = min(paths), max(paths)
-    same = next((i for i, (x, y) in enumerate(zip(low, high)) if x != y), min(len(low), len(high)))
-    return low[:same]
+def worths(found: list[Block], paths: Paths) -> list[int]:
+    """The worth of all blocks below each node; of a page of links only, their sizes."""
+    own = [0] * len(paths.parents)
+    for b in found:
+        own[b.node] += worth(b)
+    if not any(own):
+        for b in found:
+            own[b.node] += sum(map(len, b.parts))
+    return paths.sums(own)
 
 
-def text_below(found: list[Block], path: tuple[str, ...]) -> int:
-    return sum(worth(b) for b in found if b.path[: len(path)] == path)
+def best_node(total: list[int]) -> int:
+    """The innermost candidate that holds all blocks of text: those that do lie inside each other, and parents come first."""
+    return max(i for i, t in enumerate(total) if t == total[0]) if total[0] else 0
 
 
 def extract(page: str | None, winner: str | None) -> str:
-    found = blocks(page or "")
-    path = tuple((winner or "").split(">")) if winner else ()
-    if not path or text_below(found, path) < max(1, MOST * text_below(found, ())):
-        path = best_path(found)
-    return " ".join(t for b in found if b.path[: len(path)] == path and (t := clean(b)))
+    found, paths = blocks(page or "")
+    total = worths(found, paths)
+    node = paths.find(winner) if winner else None
+    if node is None or total[node] < max(1, MOST * total[0]):
+        node = best_node(total)
+    below = paths.below(node)
+    return " ".join(t for b in found if below[b.node] and (t := clean(b)))
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
@@ -209,9 +288,9 @@ def host_paths(pages: DataFrame) -> DataFrame:
         for s in parts:
             rows = []
             for page in s:
-                found = blocks(page or "")
-                p, score = best_path(found), text_below(found, ())
-                rows.append((">".join(p) if score else None, float(score)))  # "" is the root
+                found, paths = blocks(page or "")
+                total, score = worths(found, paths), float(sum(map(worth, found)))
+                rows.append((paths.path(best_node(total)) if score else None, score))  # "" is the root
             yield pd.DataFrame(rows, columns=["path", "score"])
 
     votes = pages.select(F.col("host").alias("voted_host"), vote("html").alias("v")).select("voted_host", "v.path", "v.score").where("path is not null")
@@ -233,8 +312,9 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     host = host_and_path(F.col("url"))[0]
     winners = materialise(host_paths(pages.select(host.alias("host"), "html")), "host-paths")
     winners = F.broadcast(winners) if winners.count() <= BROADCAST_HOSTS else winners
-    joined = pages.withColumn("page_host", host).join(winners, F.col("page_host") == F.col("voted_host"), "left")
-    return joined.withColumn("main_text", main_text("html", "winner")).select(*pages.columns, "main_text")
+    winners = winners.withColumnsRenamed({"voted_host": "__voted_host", "winner": "__winner"})
+    joined = pages.join(winners, host == F.col("__voted_host"), "left")
+    return joined.select(*[c for c in pages.columns if c != "main_text"], main_text("html", "__winner").alias("main_text"))
 
 
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import os
 import re
 import string
+import time
 from collections import defaultdict
 from zlib import crc32
 
@@ -535,6 +536,41 @@ def test_extraction(page, text):
     assert html_extract.extract(page, None) == text
 
 
+@pytest.mark.parametrize("unit", ["<div>", "<div class=ad>", "<article><div class=comments>", "<svg>", "<li class=menu>"])
+def test_deep_nesting_takes_linear_time(unit):
+    page = unit * (1_000_000 // len(unit)) + "the end"
+    start = time.process_time()
+    assert html_extract.extract(page, ">".join(["div"] * 1000)) in ("the end", "")
+    assert time.process_time() - start < 20
+    mixed = "".join(f"<div>part {i} " for i in range(2000))
+    assert html_extract.extract(mixed, None) == " ".join(f"part {i}" for i in range(2000))
+
+
+def test_no_text_is_lost_against_a_tree_walk():
+    """Pages without noise yield all their text, whatever closes, nests or is left open."""
+    rng = np.random.default_rng(2)
+    tags = ["div", "section", "p", "ul", "li", "table", "tr", "td", "article", "main", "blockquote", "b", "i", "h2", "figure", "figcaption"]
+    for _ in range(150):
+        parts, words = [], []
+        for i in range(int(rng.integers(1, 60))):
+            what = rng.random()
+            tag = tags[int(rng.integers(0, len(tags)))]
+            if what < 0.4:
+                words.append(f"w{i}")
+                parts.append(f" w{i} ")
+            else:
+                parts.append(f"<{tag} class='c{i}'>" if what < 0.75 else f"</{tag}>")
+        assert html_extract.extract("".join(parts), None) == " ".join(words)
+
+
+def test_ties_of_votes_and_clashing_columns(spark):
+    page = "<div class={}><p>some text of it</p></div>"
+    df = spark.createDataFrame([(1, "x://h/", page.format("a"), "w", "m"), (2, "x://h/", page.format("b"), "w", "m")], "page_id long, url string, html string, winner string, path string")
+    assert html_extract.host_paths(df.withColumn("host", F.lit("h"))).first()["winner"] == "div.b"
+    out = html_extract.extract_pages(df)
+    assert out.columns == [*df.columns, "main_text"] and {(r["winner"], r["main_text"]) for r in out.collect()} == {("w", "some text of it")}
+
+
 def test_hosts_agree_on_a_path(spark):
     page = "<body><div class='post-{0}'><p>{1}</p></div><div class='promo-x'><p>{2}</p></div></body>"
     odd = page.format(9, "short", "words " * 50)
