@@ -224,11 +224,70 @@ def test_classifier_sees_whole_texts_in_any_blocks(monkeypatch):
     assert min(map(net.score, good)) > 0.5 > max(map(net.score, bad))
     late = " ".join([*rng.choice(words, 60_000), *[f"{w}$$$" for w in rng.choice(words, 400)]])
     whole = net.features(late.encode())
-    monkeypatch.setattr(quality_classifier, "BLOCK", 1 << 14)
-    assert np.allclose(net.features(late.encode())[:24], whole[:24], atol=0.3)
     clean = net.features(" ".join(rng.choice(words, 60_400)).encode())
     assert np.abs(whole[:24] - clean[:24]).max() > 0.5
     assert 0 <= net.score(None) == net.score("") <= 1
+    repeated = (" ".join(["again"] * 300) + " " + " ".join(rng.choice(words, 300))) * 20
+    for text in (late, repeated, "ab", ""):
+        data = quality_classifier.padded(text.encode())
+        marks, whole = quality_classifier.repeats(data, 0, len(data)), net.features(text.encode())
+        for block in (256, 1 << 12, 1 << 14):
+            cut = [quality_classifier.repeats(data, i, min(len(data), i + block - 3)) for i in range(0, len(data), block - 3)]
+            assert (np.concatenate(cut) == marks).all()
+            monkeypatch.setattr(quality_classifier, "BLOCK", block)
+            assert np.allclose(net.features(text.encode()), whole, rtol=1e-5, atol=1e-6)
+        monkeypatch.undo()
+
+
+def naive_features(net, text):
+    """Filter by filter and byte by byte."""
+    n, w, s = max(1, -(-len(text) // quality_classifier.STRIDE)), quality_classifier.WIDTH, quality_classifier.STRIDE
+    data = text + bytes(n * s + w - s - len(text))
+    marks = [0] * len(data)
+    for j in range(len(data) - 7):
+        if data[j : j + 8] != bytes(8) and any(j >= lag and data[j : j + 8] == data[j - lag : j - lag + 8] for lag in range(2, 30)):
+            marks[j] = marks[j + 7] = 1
+    z = []
+    for i in range(n):
+        x = [v for b in range(i * s, i * s + w) for v in (*net.emb[data[b]], marks[b])]
+        z.append(np.maximum(np.array(x) @ net.filt + net.bias, 0))
+    cell = quality_classifier.CELL
+    cells = [np.max(z[i : i + cell], 0) for i in range(0, n, cell)]
+    pooled = [np.max(cells[i : i + quality_classifier.CHUNK], 0) for i in range(0, max(1, len(cells) - 1), quality_classifier.HOP)]
+    return np.concatenate([np.max(pooled, 0), np.mean(pooled, 0)])
+
+
+def test_network_against_naive_convolution_and_numerical_gradients():
+    rng = np.random.default_rng(8)
+    net = quality_classifier.fit(["some text that is good " * 9, "bad !! " * 40, "x"], [1, 0, 1], filters=5, dims=3, min_steps=3)
+    for text in (b"", b"a", bytes(rng.integers(0, 256, 1501).astype(np.uint8)), b"again and " * 130):
+        assert np.allclose(net.features(text), naive_features(net, text), rtol=1e-4, atol=1e-5)
+    text, y = b"some words, some words, and others " * 30, 1.0
+    net.emb, net.filt, net.bias = (p.astype(np.float64) for p in (net.emb, net.filt, net.bias))
+    wide = lambda e: np.lib.stride_tricks.sliding_window_view(e, (quality_classifier.WIDTH, e.shape[1]))[:: quality_classifier.STRIDE, 0].reshape(-1, quality_classifier.WIDTH * e.shape[1])
+    net.convolve = lambda e: wide(e) @ net.filt + net.bias
+    grads = [np.zeros_like(p, dtype=np.float64) for p in (net.emb, net.filt, net.bias, net.out)] + [0.0]
+    quality_classifier.accumulate(net, text, y, 1.0, grads)
+    loss = lambda: -np.log(1 / (1 + np.exp(-(net.features(text) @ net.out + net.out_bias))))
+    for param, grad in zip((net.emb, net.filt, net.bias, net.out), grads):
+        for at in map(tuple, np.argwhere(np.abs(grad) > np.abs(grad).max() / 3)[:5]):
+            old = param[at]
+            param[at] = old + 1e-6
+            up = loss()
+            param[at] = old - 1e-6
+            down = loss()
+            param[at] = old
+            assert (up - down) / 2e-6 == pytest.approx(grad[at], rel=2e-2, abs=1e-6)
+
+
+def test_long_texts_are_in_the_training_sample(spark):
+    docs = made(spark, ["short", "long " * 9_000, "medium " * 10, None])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    held = {i for i in range(4) if crc32(str(i).encode()) % 3 == 1}
+    texts, _ = quality_classifier.training_sample(docs, labels, 10, 1_000_000)
+    assert len(texts) == len({0, 1, 2} - held)
+    few, _ = quality_classifier.training_sample(docs, labels, 10, 100)
+    assert sum(map(len, few)) <= 100
 
 
 def test_classifier_without_labels_passes_everything():
