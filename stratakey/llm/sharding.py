@@ -4,12 +4,12 @@ An arrival becomes a run: a folder of small immutable Parquet shards. Runs of si
 when a tier holds `fanout` runs they are merged into one run of files of about `target_bytes`, so each row is rewritten once a
 tier. Merging reads whole runs and writes as many files as the target asks for, without a shuffle: tasks take neighbouring
 scan partitions. A change becomes visible only when its manifest, the list of runs with their files, is renamed to the next
-version, which fails if another writer has taken that version. Readers name a version and see exactly its runs; runs
-that no kept version names are deleted after the commit.
+version, which fails if another writer has taken that version; the loser tries again on top of it, without writing its data
+again. Readers name a version and see exactly its runs. Data are deleted by vacuum() only, which keeps what the last versions name.
 
 The driver holds the manifest only: an entry a shard. Defined cases: an empty arrival adds no run and no version; repeated
-rows are kept; null ids arrive first; any columns are stored as they are, but reading adds `shard` and `manifest_version`, so
-columns of these names are refused.
+rows are kept; null ids arrive first; ids that tie arrive together; a text longer than a shard is one row of one shard; any columns
+are stored as they are, but reading adds `shard` and `manifest_version`, so columns of these names are refused.
 """
 
 from __future__ import annotations
@@ -96,29 +96,37 @@ class ShardStore:
 
     # writing
 
-    def _describe(self, name: str, path: str) -> Run:
+    def _describe(self, path: str) -> Run:
+        name = path.removeprefix(f"{self.root}/data/")
         m = F.col("_metadata")
         files = self.spark.read.parquet(path).groupBy(m["file_name"].alias("file"), m["file_size"].alias("size")).agg(F.count(F.lit(1)).alias("n"))
-        shards = [Shard(f"{name}/{r['file'].split('-c000')[0][:10]}", r["n"], r["size"]) for r in files.orderBy("file").collect()]
-        return Run(name, path, shards)
+        return Run(name, path, [Shard(f"{name}/{r['file']}", r["n"], r["size"]) for r in files.orderBy("file").collect()])
 
-    def append(self, arrivals: DataFrame, arrival: Column | None = None) -> int:
+    def append(self, arrivals: DataFrame, arrival: Column | None = None, retries: int = 20) -> int:
         """Adds each arrival as a run, all in one job and one commit; without `arrival` the rows are one arrival."""
         if taken := {"shard", "manifest_version", ARRIVAL} & set(arrivals.columns):
             raise ValueError(f"columns with reserved names: {', '.join(sorted(taken))}")
-        version, runs = self.manifest()
-        path = fresh_name(f"{self.root}/data/a{version + 1:09d}")
+        path = fresh_name(f"{self.root}/data/a")
         if arrival is None:
             arrivals.write.parquet(path)
-            new = [self._describe(f"a{version + 1:06d}", path)]
+            new = [self._describe(path)]
         else:
-            rows = arrivals.withColumn(ARRIVAL, arrival)
-            rows.write.partitionBy(ARRIVAL).parquet(path)
+            arrivals.withColumn(ARRIVAL, arrival).write.partitionBy(ARRIVAL).parquet(path)
             parts = self._hadoop.Path(path)
             folders = sorted((s.getPath().getName() for s in self._fs().listStatus(parts) if s.isDirectory()), key=lambda n: int(n.split("=")[1]))
-            new = [self._describe(f"a{version + 1:06d}-{f.split('=')[1]}", f"{path}/{f}") for f in folders]
+            new = [self._describe(f"{path}/{f}") for f in folders]
         new = [r for r in new if r.shards]
-        return self.commit(version, runs + new) if new else version
+        for attempt in range(retries + 1):
+            version, runs = self.manifest()
+            if not new:
+                return version
+            try:
+                return self.commit(version, runs + new)
+            except Conflict:
+                if attempt == retries:
+                    remove(self.spark, path)
+                    raise
+        raise AssertionError
 
     def tier(self, run: Run) -> int:
         return max(0, int(math.log(max(run.bytes, 1) / self.base_bytes, self.fanout))) if run.bytes > self.base_bytes else 0
@@ -133,17 +141,27 @@ class ShardStore:
             full = next((t for t in sorted(tiers) if len(tiers[t]) >= self.fanout), None)
             if full is None:
                 return version
-            old = tiers[full][: self.fanout]
-            name, path = f"m{version + 1:06d}", fresh_name(f"{self.root}/data/m{version + 1:09d}")
-            n = max(1, math.ceil(sum(r.bytes for r in old) / self.target_bytes))
-            merged = self.spark.read.parquet(*[r.path for r in old])
-            merged.coalesce(n).write.parquet(path)
-            gone = {r.name for r in old}
-            self.commit(version, [r for r in runs if r.name not in gone] + [self._describe(name, path)])
-            self.vacuum()
+            self._merge(tiers[full][: self.fanout])
+
+    def _merge(self, old: list[Run]) -> None:
+        """Puts one run in the place of old ones; gives up if another writer has taken one of them out."""
+        path = fresh_name(f"{self.root}/data/m")
+        n = max(1, math.ceil(sum(r.bytes for r in old) / self.target_bytes))
+        self.spark.read.parquet(*[r.path for r in old]).coalesce(n).write.parquet(path)
+        merged, gone = self._describe(path), {r.name for r in old}
+        while True:
+            version, runs = self.manifest()
+            if not gone <= {r.name for r in runs}:
+                remove(self.spark, path)
+                return
+            try:
+                self.commit(version, [r for r in runs if r.name not in gone] + [merged])
+                return
+            except Conflict:
+                continue
 
     def vacuum(self, keep: int = 1) -> None:
-        """Deletes the manifests before the last `keep` ones, and the runs that only they name."""
+        """Deletes the manifests before the last `keep` ones, and the runs that only they name. Call it when nobody reads older ones."""
         versions = self.versions()
         named = {r.path for v in versions[-keep:] for r in self.manifest(v)[1]}
         for v in versions[:-keep]:
@@ -161,8 +179,7 @@ class ShardStore:
             raise ValueError("the store is empty")
         parts = []
         for r in runs:
-            part = F.substring(F.element_at(F.split(F.col("_metadata.file_name"), "-c000"), 1), 1, 10)
-            parts.append(self.spark.read.parquet(r.path).select("*", F.concat(F.lit(r.name + "/"), part).alias("shard")))
+            parts.append(self.spark.read.parquet(r.path).select("*", F.concat(F.lit(r.name + "/"), F.col("_metadata.file_name")).alias("shard")))
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
@@ -190,6 +207,8 @@ def shard_documents(docs: DataFrame, n_arrivals: int = 8, root: str | None = Non
     store = ShardStore(spark, root or fresh_path(spark, "shards"), **options)
     store.append(docs, arrival_by_range(docs, n_arrivals))
     store.compact()
+    if root is None:  # nobody else can know this store
+        store.vacuum()
     if not store.manifest()[1]:
         return docs.limit(0).withColumns({"shard": F.lit(""), "manifest_version": F.lit(0)})
     return store.read()

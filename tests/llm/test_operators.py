@@ -199,7 +199,34 @@ def test_shards_hold_every_row_once(spark):
     with pytest.raises(sharding.Conflict):
         store.commit(version - 1, runs)
     assert store.append(docs.limit(0)) == version
-    assert store.versions() == [version]
+    assert len(store.versions()) > 1 and store.read(1).count() == docs.where("doc_id % 5 = 4").count()
+    store.vacuum()
+    assert store.versions() == [version] and store.read().count() == docs.count()
+
+
+def test_writers_that_meet_lose_nothing(spark, monkeypatch):
+    store = sharding.ShardStore(spark, fresh_path(spark, "s"), fanout=2, base_bytes=1 << 30)
+    real, others = sharding.ShardStore.commit, [1, 2, 3]
+
+    def interrupted(self, version, runs):
+        if others:
+            other = sharding.ShardStore(spark, self.root)
+            rows = spark.createDataFrame([(others.pop(), "other")], "doc_id long, text string")
+            rows.write.parquet(path := sharding.fresh_name(f"{self.root}/data/o"))
+            real(other, version, runs[:-1] + [other._describe(path)] if version == 0 else other.manifest(version)[1] + [other._describe(path)])
+        return real(self, version, runs)
+
+    monkeypatch.setattr(sharding.ShardStore, "commit", interrupted)
+    store.append(spark.createDataFrame([(10, "mine")], "doc_id long, text string"))
+    store.compact()
+    assert sorted(r["doc_id"] for r in store.read().collect()) == [1, 2, 3, 10]
+
+
+def test_shard_names_are_whole_file_names(spark):
+    store = sharding.ShardStore(spark, fresh_path(spark, "s"))
+    store.append(spark.createDataFrame([(i, "x") for i in range(4)], "doc_id long, text string").repartition(2))
+    names = {r["shard"] for r in store.read().collect()}
+    assert names == {s.name for r in store.manifest()[1] for s in r.shards} and all(n.endswith(".parquet") and len(n.rsplit("/", 1)[-1]) > 40 for n in names)
 
 
 # 4
