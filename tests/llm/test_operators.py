@@ -173,6 +173,21 @@ def test_line_runs_are_levelled_and_new_lines_are_told_apart(spark):
     assert {r["h"].decode(): r["n_docs"] for r in runs.folded().collect()} == {"a": 5, **{f"b{i}": 1 for i in range(5)}}
 
 
+def test_batches_meet_runs_without_a_shuffle(spark):
+    before, tables = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), {t.name for t in spark.catalog.listTables()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        runs = line_dedup.LineRuns(spark, fanout=9)
+        for i in range(3):
+            runs.add(spark.range(50).select(F.col("id").alias("doc_id"), F.unhex(F.md5((F.col("id") + 20 * i).cast("string"))).alias("h")))
+        plan = runs.unseen(spark.table(runs.runs()[-1].fresh))._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        runs.clear()
+    assert {t.name for t in spark.catalog.listTables()} == tables
+
+
 @pytest.mark.parametrize("n", [1, 2, 7])
 def test_line_dedup_does_not_depend_on_the_batches(spark, n):
     out = lambda k: sorted(map(str, line_dedup.dedup_lines(documents(spark), min_docs=3, n_batches=k).select("doc_id", "kept").collect()))
