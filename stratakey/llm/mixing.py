@@ -4,16 +4,17 @@ Targets: each source gets its weight's share of the mix, at most `max_repeats` t
 shared out again by weight, which is a water level found in one pass over the sources sorted by size per weight.
 Quotas: the mix is N blocks of B words; block after block goes to the source with the highest quotient
 target / (2k + 1). The method is house monotone, so shard j's quotas are the seats of the first j shards less those of
-the first j - 1. A source's quota lies within half the number of sources of target / B, so only the quotients in that band
-are ranked.
-Selection: a source's documents, ordered by a seeded hash, are one stream of words cut into blocks; its quota takes
-whole passes and then a run of blocks from a seeded start, around the end to the front. A document's share follows from
-its place in the stream by arithmetic, so no block is ever a row.
+the first j - 1. The quotient that wins the last seat is searched for by counting how many quotients lie above each of a row of
+values, a few times, each time between closer values; only the few quotients left between the last two are ranked.
+Selection: a source's documents, ordered by a seeded hash, are one stream of words cut into blocks, read lap after lap from
+a seeded block on. Shard after shard takes its quota of blocks from there. A document's spans for each shard follow from its place in
+the stream by arithmetic, so no block is ever a row.
 
 Places in the stream are prefix sums in two levels (hash buckets within a source, then rows within a bucket); the number of
 buckets grows with the rows, so a hot source is spread over many tasks. Only tables of sources and of buckets go through
 one window. Defined cases: a null text has no words, a null source is a source of its own and last; a document without
-words takes nothing; repeated rows are separate documents; empty input gives no rows; other columns are passed over.
+words takes nothing; repeated rows are separate documents; a very long document may be cut into spans for several shards; equal
+quotients go to the source that comes first; empty input gives no rows; other columns, whatever their names, are passed over.
 """
 
 from __future__ import annotations
@@ -24,10 +25,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .store import WS, documents, materialise, row_key
+from .store import WS, WS_CHARS, documents, materialise, row_key
 
 WEIGHTS = (5, 2, 1)
 D = "decimal(38,0)"
+PIECES = "array<struct<shard:int,lap:bigint,a:bigint,b:bigint>>"
 
 
 def word_count(text: Column) -> Column:
@@ -55,21 +57,33 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_repea
     return s.select("source", "source_size", "rank", "weight", F.when(F.col("full"), F.col("cap").cast("double")).otherwise(level).alias("target"))
 
 
-def block_quotas(targets: DataFrame, n_shards: int = 8, max_block: int = 512, max_repeats: int = 2) -> DataFrame:
-    """(source, rank, shard, block, quota): blocks of `block` words that each shard takes of each source."""
+def quotients_from(x: Column) -> Column:
+    """How many of a source's quotients, of which it can use `most`, are at least x."""
+    return F.least(F.col("most"), F.greatest(F.lit(0), F.floor((F.col("target") / x - 1) / 2) + 1)).cast("long")
+
+
+def block_quotas(targets: DataFrame, n_shards: int = 8, max_block: int = 512, max_repeats: int = 2, points: int = 64, rounds: int = 4) -> DataFrame:
+    """(source, rank, shard, block, upto, quota): blocks of `block` words that each shard takes of each source."""
     everything = Window.partitionBy()
     block = F.greatest(F.lit(1), F.least(F.lit(max_block), F.floor(F.min(F.when(F.col("target") > 0, F.col("target"))).over(everything) / 256))).cast("long")
-    t = targets.where("target > 0").select("source", "rank", "source_size", "target", block.alias("block"), F.count(F.lit(1)).over(everything).alias("n"), F.sum("target").over(everything).alias("all"))
+    t = targets.where("target > 0").select("source", "rank", "source_size", "target", block.alias("block"), F.sum("target").over(everything).alias("all"))
     shard = F.explode(F.sequence(F.lit(1), F.lit(n_shards))).alias("shard")
     t = t.select("*", F.floor(F.col("all") / F.col("block") + 0.5).cast("long").alias("house"), shard)
     seats = F.floor(F.col("house") * F.col("shard") / F.lit(n_shards)).cast("long")
-    t = t.select("*", seats.alias("seats"), (F.col("target") / F.col("all") * seats).alias("fair"))
-    most = (F.ceil(F.col("source_size") / F.col("block")) * max_repeats).cast("long")
-    low = F.least(most, F.greatest(F.lit(0), F.floor(F.col("fair") - F.col("n") / 2 - 1))).cast("long")
-    high = F.least(most - 1, F.ceil(F.col("fair") + F.col("n") / 2 + 1)).cast("long")
-    t = t.select("*", low.alias("low"), high.alias("high"))
+    t = t.select("*", seats.alias("seats"), (F.ceil(F.col("source_size") / F.col("block")) * max_repeats).cast("long").alias("most"))
+    # the last winning quotient lies between low and high: from low on there are as many quotients as seats, from high on fewer
+    edges = t.groupBy("shard", "seats").agg((F.min(F.col("target") / (2 * F.col("most") + 1)) / 2).alias("low"), (F.max("target") * 2).alias("high"))
+    for _ in range(rounds):
+        grid = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(points)), lambda i: F.col("low") * F.pow(F.col("high") / F.col("low"), i / points))).alias("i", "x")
+        counted = t.join(F.broadcast(edges.select("shard", "low", "high", grid)), "shard").groupBy("shard", "seats", "low", "high", "x").agg(F.sum(quotients_from(F.col("x"))).alias("n"))
+        enough = F.col("n") >= F.col("seats")
+        low, high = F.coalesce(F.max(F.when(enough, F.col("x"))), F.min("low")), F.coalesce(F.min(F.when(~enough, F.col("x"))), F.max("high"))
+        edges = counted.groupBy("shard", "seats").agg(low.alias("low"), high.alias("high"))
+    slack = 1e-9  # far more than rounding moves a quotient
+    t = t.join(F.broadcast(edges.select("shard", (F.col("low") * (1 - slack)).alias("x_low"), (F.col("high") * (1 + slack)).alias("x_high"))), "shard")
+    t = t.select("*", quotients_from(F.col("x_high")).alias("low"), F.least(F.col("most"), quotients_from(F.col("x_low")) + 1).alias("high"))
     t = t.select("*", (F.col("seats") - F.sum("low").over(Window.partitionBy("shard"))).alias("open"))
-    band = t.select("*", F.explode_outer(F.when(F.col("low") <= F.col("high"), F.sequence("low", "high"))).alias("k"))
+    band = t.select("*", F.explode_outer(F.when(F.col("low") < F.col("high"), F.sequence(F.col("low"), F.col("high") - 1))).alias("k"))
     quotient = (F.col("target") / (2 * F.col("k") + 1)).desc_nulls_last()
     place = F.row_number().over(Window.partitionBy("shard").orderBy(quotient, "rank", "k"))
     won = F.sum(F.when(F.col("k").isNotNull() & (F.col("place") <= F.col("open")), 1).otherwise(0))
@@ -94,32 +108,44 @@ def stream_places(sizes: DataFrame, seed: int, digits: int, also: Sequence[str]
     return rows.join(sums, ["rank", "bucket"]).withColumn("start", F.col("bucket_start") + F.col("inside"))
 
 
+def shard_pieces(targets: DataFrame, quotas: DataFrame, seed: int) -> DataFrame:
+    """(rank, pieces): what of a source's stream each shard takes, as (shard, lap, a, b) with words [a, b); a few for each shard."""
+    q = quotas.where("quota > 0").join(targets.select("rank", F.col("source").alias("of"), F.col("source_size").alias("words")), "rank")
+    nb = F.greatest(F.lit(1), F.ceil(F.col("words") / F.col("block"))).cast("long")
+    offset = F.conv(F.substring(seeded(seed, F.col("of")), 1, 12), 16, 10).cast("long") % nb
+    # blocks are numbered over all laps; the first lap begins at the seeded block
+    q = q.select("rank", "shard", "words", "block", nb.alias("nb"), (offset + F.col("upto") - F.col("quota")).alias("from"), (offset + F.col("upto")).alias("to"))
+    whole = lambda x: F.floor(x / F.col("nb")).cast("long")
+    laps = q.select("*", F.explode(F.sequence(whole(F.col("from")), whole(F.col("to") - 1))).alias("lap"))
+    a = (F.greatest(F.col("from"), F.col("lap") * F.col("nb")) - F.col("lap") * F.col("nb")) * F.col("block")
+    b = F.least((F.least(F.col("to"), (F.col("lap") + 1) * F.col("nb")) - F.col("lap") * F.col("nb")) * F.col("block"), F.col("words"))
+    return laps.groupBy("rank").agg(F.sort_array(F.collect_list(F.struct("shard", "lap", a.alias("a"), b.alias("b")))).alias("pieces"))
+
+
 def mix(docs: DataFrame, seed: int = 7, weights: Sequence[int] = WEIGHTS, max_repeats: int = 2, share_percent: int = 150, n_shards: int = 8, rows_per_bucket: int = 20_000, also: Sequence[str] = ()) -> DataFrame:
-    """(doc_id, size, source_size, target, passes, run_from, run_to, wrap_to, taken).
+    """(doc_id, size, source_size, target, spans, taken). A span (shard, lap, a, b) gives the words [a, b) of the document to a shard.
 
-    Columns of docs named in `also` come with it. A document is taken `passes` times whole and then its words [run_from, run_to) and [0, wrap_to).
+    Columns of docs named in `also` come with it.
     """
     sizes = materialise(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *also), "mix-sizes")
     targets = materialise(source_targets(sizes, weights, max_repeats, share_percent), "mix-targets")
-    quotas = block_quotas(targets, n_shards, max_repeats=max_repeats).groupBy("rank").agg(F.sum("quota").alias("q"), F.max("block").alias("block"))
-    plan = targets.join(quotas, "rank", "left").select(F.col("source").alias("of"), "rank", "source_size", "target", F.coalesce("q", F.lit(0)).alias("q"), F.coalesce("block", F.lit(1)).alias("block"))
-    nb = F.greatest(F.lit(1), F.ceil(F.col("source_size") / F.col("block"))).cast("long")
-    offset = F.conv(F.substring(seeded(seed, F.col("of")), 1, 12), 16, 10).cast("long") % nb
-    plan = plan.select("*", nb.alias("nb"), F.floor(F.col("q") / nb).cast("long").alias("passes"), (F.col("q") % nb).alias("r"), offset.alias("first"))
+    quotas = materialise(block_quotas(targets, n_shards, max_repeats=max_repeats), "mix-quotas")
+    plan = targets.join(shard_pieces(targets, quotas, seed), "rank", "left").select(F.col("source").alias("of"), "rank", "source_size", "target", "pieces")
     known = sizes.join(plan.select("of", "rank"), sizes["source"].eqNullSafe(plan["of"])).select("doc_id", "size", "rank", *also)
     digits = max(1, min(6, math.ceil(math.log(max(1, sizes.count()) / rows_per_bucket + 1, 16))))
     placed = stream_places(known, seed, digits, also).join(plan, "rank")
-    # the run covers blocks [first, first + r), what goes past the last block continues at the front
-    b, first, r = F.col("block"), F.col("first"), F.col("r")
-    a0, a1 = first * b, F.least((first + r) * b, F.col("source_size"))
-    z1 = F.greatest(F.lit(0), first + r - F.col("nb")) * b
-    rel = lambda x: F.least(F.greatest(x - F.col("start"), F.lit(0)), F.col("size")).cast("long")
-    out = placed.select("doc_id", "size", "source_size", "target", "passes", rel(a0).alias("run_from"), F.greatest(rel(a0), rel(a1)).alias("run_to"), rel(z1).alias("wrap_to"), *also)
-    return out.withColumn("taken", (F.col("passes") * F.col("size") + F.col("run_to") - F.col("run_from") + F.col("wrap_to")).cast("long"))
+    end = F.col("start") + F.col("size")
+    inside = lambda p: F.struct(
+        p["shard"].alias("shard"), p["lap"].alias("lap"), (F.greatest(p["a"], F.col("start")) - F.col("start")).cast("long").alias("a"), (F.least(p["b"], end) - F.col("start")).cast("long").alias("b")
+    )
+    spans = F.filter(F.transform(F.coalesce("pieces", F.array().cast(PIECES)), inside), lambda p: p["b"] > p["a"])
+    out = placed.select("doc_id", "size", "source_size", "target", spans.alias("spans"), *also)
+    taken = F.aggregate("spans", F.lit(0).cast("long"), lambda n, p: n + p["b"] - p["a"])
+    return out.withColumn("taken", taken)
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix as documents: a row for each whole pass and one for each partial span that isn't empty."""
+    """The mix as documents: a row for each span of a document. A document cut into spans keeps the white space inside each."""
     # rows of one doc_id, text and source are alike but for other columns, so they are only numbered, each apart if there are any
     keyed = docs.withColumn("__key", F.struct(row_key(docs).alias("row"), F.col("source")))
     if not keyed.groupBy("__key").count().where("count > 1").isEmpty():
@@ -127,14 +153,12 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         keyed = materialise(keyed.withColumn("__copy", F.row_number().over(Window.partitionBy("__key").orderBy(*others))), "mix-copies")
         keyed = keyed.withColumn("__key", F.struct("__key", "__copy")).drop("__copy")
     plan = mix(keyed, also=["__key"], **options)
-    whole = F.transform(F.sequence(F.lit(1), F.col("passes")), lambda _: F.struct(F.lit(0).cast("long").alias("a"), F.col("size").alias("b")))
-    span = lambda a, b: F.array(F.struct(a.cast("long").alias("a"), b.cast("long").alias("b")))
-    parts = F.concat(F.when(F.col("passes") > 0, whole).otherwise(F.array().cast("array<struct<a:bigint,b:bigint>>")), span(F.col("run_from"), F.col("run_to")), span(F.lit(0), F.col("wrap_to")))
-    spans = plan.withColumn("parts", F.filter(parts, lambda p: p["b"] > p["a"])).where(F.size("parts") > 0)
-    spans = spans.select(F.col("__key").alias("__mixed"), F.col("parts").alias("__parts"))
-    words = F.regexp_extract_all(F.col("text"), F.lit(f"([^{WS}]+)"), F.lit(1))
-    cut = F.when(F.col("p.b") - F.col("p.a") == word_count(F.col("text")), F.col("text")).otherwise(F.array_join(F.slice(words, (F.col("p.a") + 1).cast("int"), (F.col("p.b") - F.col("p.a")).cast("int")), " "))
-    joined = keyed.join(spans, F.col("__key") == F.col("__mixed")).withColumn("p", F.explode("__parts"))
+    spans = plan.where(F.size("spans") > 0).select(F.col("__key").alias("__mixed"), F.col("spans").alias("__spans"))
+    # each word with the white space after it; what stands before the first word is dropped where a document is cut
+    words = F.filter(F.split("text", f"(?<=[{WS}])(?=[^{WS}])"), lambda w: w.rlike(f"[^{WS}]"))
+    piece = F.rtrim(F.array_join(F.slice(words, (F.col("__p.a") + 1).cast("int"), (F.col("__p.b") - F.col("__p.a")).cast("int")), ""), F.lit(WS_CHARS))
+    cut = F.when(F.col("__p.b") - F.col("__p.a") == word_count(F.col("text")), F.col("text")).otherwise(piece)
+    joined = keyed.join(spans, F.col("__key") == F.col("__mixed")).withColumn("__p", F.explode("__spans"))
     length = {"n_chars": F.length(cut).cast("long")} if "n_chars" in docs.columns else {}
     return joined.withColumns({"text": cut, **length}).select(*docs.columns)
 

@@ -366,6 +366,33 @@ def test_quotas_are_highest_quotients_in_every_shard(spark):
     assert all(r["quota"] >= 0 for r in got)
 
 
+def test_each_shard_takes_its_quota_of_each_source(spark):
+    docs = documents(spark, SF2)
+    sizes = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    quotas = {(r["source"], r["shard"]): r["quota"] * r["block"] for r in mixing.block_quotas(mixing.source_targets(sizes)).collect()}
+    block = mixing.block_quotas(mixing.source_targets(sizes)).first()["block"]
+    got = mixing.mix(docs.withColumn("src", F.col("source")), also=["src"]).select(F.col("src").alias("source"), F.explode("spans").alias("s")).groupBy("source", "s.shard").agg(F.sum(F.col("s.b") - F.col("s.a")).alias("n")).collect()
+    assert {(r["source"], r["shard"]) for r in got} == {k for k, v in quotas.items() if v}
+    # a lap's last block may be short
+    assert all(0 <= quotas[r["source"], r["shard"]] - r["n"] < 3 * block for r in got)
+
+
+def test_many_sources_get_the_seats_of_the_highest_quotients(spark):
+    rng = np.random.default_rng(6)
+    sizes = [(f"s{i:03}", int(x)) for i, x in enumerate(np.append(rng.integers(1, 50, 150), rng.integers(1000, 90_000, 150)))]
+    targets = mixing.source_targets(spark.createDataFrame(sizes + sizes[:5], "source string, size long"))
+    t = {r["rank"]: (r["target"], r["source_size"]) for r in targets.collect()}
+    got = mixing.block_quotas(targets, n_shards=3).collect()
+    block, house = got[0]["block"], sum(r["upto"] for r in got if r["shard"] == 3)
+    assert abs(house - sum(x for x, _ in t.values()) / block) < 0.500001
+    quotients = sorted((-x / (2 * k + 1), rank) for rank, (x, size) in t.items() for k in range(min(house, 2 * -(-size // block))))
+    for j in range(1, 4):
+        won = defaultdict(int)
+        for _, rank in quotients[: house * j // 3]:
+            won[rank] += 1
+        assert {r["rank"]: r["upto"] for r in got if r["shard"] == j} == {k: won[k] for k in t}
+
+
 def test_targets_by_repeated_resharing(spark):
     sizes = {"a": 10, "b": 1000, "c": 1000, "d": 5, "e": 800, None: 300}
     df = spark.createDataFrame([(k, v) for k, v in sizes.items()], "source string, size long")
