@@ -158,6 +158,71 @@ def test_surrogates_are_one_to_one_in_a_crowded_space(spark):
     full = spark.range(10).select(F.lit("ssn").alias("kind"), F.col("id").cast("string").alias("canon"))
     with pytest.raises(ValueError):
         pii.surrogates(full, "k", attempts=3)
+    wider = pii.surrogates(full, "k").collect()
+    assert len({r["surrogate"] for r in wider}) == 10 and all(len(r["surrogate"]) > 1 for r in wider)
+
+
+def replaced(spark, texts, key="k"):
+    return [r["text"] for r in pii.replace_pii(made(spark, texts), key).orderBy("doc_id").collect()]
+
+
+def test_pii_digest_is_an_hmac(spark):
+    import hashlib
+    import hmac
+
+    for key in ("k", "x" * 200):
+        got = spark.range(1).select(pii.digest(key, F.lit("ssn"), F.lit("123é"), 4)).first()[0]
+        assert got == hmac.new(key.encode(), "ssn\n4\n123é".encode(), hashlib.sha512).hexdigest()
+
+
+def test_pii_names_corefer_whatever_their_titles(spark):
+    out = replaced(spark, ["Mrs Anna Petrova and Dr Anna Petrova; later Anna Petrova and ANNA came. MR JUAN CARLOS LOPEZ, Mr Juan de la Cruz. г-жа Петрова, г-н Петров.", "Mr Smith However it was. Dr Anna left."])
+    m = re.fullmatch(r"Mrs (\w+) (\w+) and Dr (\w+) (\w+); later (\w+) (\w+) and (\w+) came\. MR (\w+) (\w+) (\w+), Mr (\w+) de la (\w+)\. г-жа (\w+), г-н (\w+)\.", out[0])
+    assert m and m[1] == m[3] == m[5] == m[7].capitalize() and m[2] == m[4] == m[6] and m[7].isupper()
+    assert m[8].isupper() and m[8].capitalize() == m[11] and not {"JUAN", "CARLOS", "LOPEZ"} & {m[8], m[9], m[10]} and m[12] != "Cruz"
+    assert m[13][-1] == "а" and m[14][-1] == "н" and m[13] != "Петрова"
+    n = re.fullmatch(r"Mr (\w+) However it was\. Dr (\w+) left\.", out[1])
+    assert n and n[1] != "Smith" and n[2] == m[1]
+
+
+def test_pii_keeps_scripts_and_check_digits(spark):
+    texts = ["王小明@例子.公司.cn José@exámple.com", "call (503) 555-0199 or 503-555-0199 or 030 1234567", "DE89 3704 0044 0532 0130 00 and GB82WEST12345698765432", "378282246310005 3782 822463 10005", "fe80::1ff:fe23:4567:890a API_KEY=abcdEFGH12345678 Password: hunter2hunter2", "+٩٦٦ ٥٥ ١٢٣ ٤٥٦٧"]
+    out = replaced(spark, texts)
+    a, b = out[0].split()
+    assert re.fullmatch(r"[\u4e00-\u9fff]{3}@[\u4e00-\u9fff]{2}\.[\u4e00-\u9fff]{2}\.cn", a) and re.fullmatch(r"[A-Z][a-z]{2}[à-ý]@[a-z]{2}[à-ý][a-z]{4}\.com", b)
+    p = re.fullmatch(r"call \((\d{3})\) (\d{3})-(\d{4}) or (\d{3})-(\d{3})-(\d{4}) or (0\d\d) (\d{7})", out[1])
+    assert p and p.groups()[:3] == p.groups()[3:6] != ("503", "555", "0199") and p[8] != "1234567"
+    for text in out[2].split(" and "):
+        n = text.replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in n[4:] + n[:4])) % 97 == 1 and n[:2] in ("DE", "GB")
+    c = re.fullmatch(r"(\d{15}) (\d{4}) (\d{6}) (\d{5})", out[3])
+    assert c and c[1] == c[2] + c[3] + c[4] != "378282246310005"
+    assert sum(d * 2 - 9 * (d > 4) if i % 2 else d for i, d in enumerate(map(int, reversed(c[1])))) % 10 == 0
+    assert re.fullmatch(r"[0-9a-f]{4}::[0-9a-f]{3}:[0-9a-f]{4}:[0-9a-f]{4}:[0-9a-f]{4} API_KEY=\w{16} Password: \w{14}", out[4]) and not any(x in out[4] for x in ("fe23", "abcd", "hunter2"))
+    assert re.fullmatch(r"\+[٠-٩]{3} [٠-٩]{2} [٠-٩]{3} [٠-٩]{4}", out[5]) and out[5] != texts[5]
+
+
+def test_pii_replaces_mention_by_mention(spark):
+    """Against a replacement in plain Python with the same table of surrogates."""
+    docs = documents(spark, SF2).select("doc_id", "text")
+    out = {r["doc_id"]: r for r in pii.replace_pii(docs, "k").collect()}
+    mail = re.compile(r"([\w.%+-]*[\w%+-])@([\w-]+(?:\.[\w-]+)+)")
+    table, n = {}, 0
+    for r in docs.collect():
+        old, new = mail.findall(r["text"] or ""), mail.findall(out[r["doc_id"]]["text"] or "")
+        assert len(old) == len(new)
+        for o, w in zip(old, new):
+            n += 1
+            assert table.setdefault(o, w) == w and o[0] != w[0] and o[1] != w[1]
+    assert n > 10 and len(set(table.values())) == len(table)
+    assert len({(a[1], b[1]) for a, b in table.items()}) == len({b[1] for b in table.values()}) == len({a[1] for a in table})
+
+
+def test_pii_with_columns_of_its_own_names(spark):
+    df = spark.createDataFrame([(1, "mail a@b.example.com", 7, 8, "x"), (2, None, 7, 8, "x"), (2, "", 7, 8, "x")], "doc_id long, text string, n_mentions long, pos long, canon string")
+    out = pii.replace_pii(df, "k").orderBy("doc_id", "text").collect()
+    assert [(r["n_mentions"], r["n_entities"], r["pos"], r["canon"]) for r in out] == [(1, 2, 8, "x"), (0, 0, 8, "x"), (0, 0, 8, "x")]
+    assert out[1]["text"] is None and out[2]["text"] == ""
 
 
 # 2
