@@ -3,8 +3,10 @@
 Every measure is a built-in expression over the row's own text, so the operator is a single scan: no shuffle, no user
 function, nothing gathered. Rows are independent; repeated rows give repeated results.
 
-Defined cases: a null text counts as an empty one; an empty text has no words and fails the base rules; columns that
-carry a measure's name are left alone, because measures travel in one struct column until the caller picks them.
+Defined cases: a null text counts as an empty one; an empty text has no words and fails the base rules; a null or other language
+makes the stop-word rule silent; a very long text is measured in one task; a measure that equals a threshold passes; columns that
+carry a measure's name are left alone, because measures travel in one struct column until the caller picks them; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -29,12 +31,14 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class Rule:
-    """A text passes if low <= measure <= high; the rule speaks only about texts of at least min_words words."""
+    """A text passes if low <= measure <= high; the rule speaks only about texts of at least min_words words, and, with by_language, only
+    about those in one of the languages of STOP_WORDS."""
 
     measure: str
     low: float | None = None
     high: float | None = None
     min_words: int = 0
+    by_language: bool = False
 
 
 #: The production table.
@@ -42,7 +46,7 @@ RULES: tuple[Rule, ...] = (
     Rule("n_words", low=10),
     Rule("mean_word_length", low=2, high=15),
     Rule("symbol_ratio", high=0.20),
-    Rule("stop_ratio", low=0.03, min_words=30),
+    Rule("stop_ratio", low=0.03, min_words=30, by_language=True),
     Rule("upper_ratio", high=0.40),
     Rule("dup_line_ratio", high=0.30),
     Rule("bullet_line_ratio", high=0.90),
@@ -113,8 +117,9 @@ def repeated_words(words: Column, n: int) -> Column:
     return F.when(last < 1, zero).otherwise(let(hashes, some))
 
 
-def verdict(m: Column, rules: Sequence[Rule] = RULES) -> Column:
-    """True if the struct of measures passes every rule."""
+def verdict(m: Column, rules: Sequence[Rule] = RULES, lang: Column | None = None) -> Column:
+    """True if the struct of measures passes every rule. lang is the text's language, where it is known."""
+    known = F.lit(False) if lang is None else F.coalesce(lang.isin(list(STOP_WORDS)), F.lit(False))
     ok = F.lit(True)
     for r in rules:
         within = F.lit(True)
@@ -122,17 +127,19 @@ def verdict(m: Column, rules: Sequence[Rule] = RULES) -> Column:
             within = within & (m[r.measure] >= r.low)
         if r.high is not None:
             within = within & (m[r.measure] <= r.high)
-        ok = ok & ((m["n_words"] < r.min_words) | within if r.min_words else within)
+        within = (m["n_words"] < r.min_words) | within if r.min_words else within
+        ok = ok & (~known | within if r.by_language else within)
     return ok
 
 
 def apply_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", out: str = "quality_measures") -> DataFrame:
-    """docs with the struct column `out` and the boolean column `passed`."""
-    return docs.withColumn(out, measures(F.col(text))).withColumn("passed", verdict(F.col(out), rules))
+    """docs with the struct column `out` and the boolean column `passed`; the language is the column lang, if there is one."""
+    lang = F.col("lang") if "lang" in docs.columns else None
+    return docs.withColumn(out, measures(F.col(text))).withColumn("passed", verdict(F.col(out), rules, lang))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = apply_rules(documents(spark, sf_dir).select("doc_id", "text"))
+    scored = apply_rules(documents(spark, sf_dir).select("doc_id", "text", "lang"))
     m = F.col("quality_measures")
     failed = (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -143,7 +150,7 @@ _STOPS = ", ".join(f"'{w}'" for w in sorted({w for ws in STOP_WORDS.values() for
 _WORD = r"[^\x20\x09-\x0D]+"
 OP7_SQL = rf"""
 with d as (
-  select row_number() over () as rid, doc_id, coalesce(text, '') as t,
+  select row_number() over () as rid, doc_id, lang, coalesce(text, '') as t,
          regexp_extract_all(coalesce(text, ''), '{_WORD}') as w,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{_WORD}')) as ls
   from documents),
@@ -151,7 +158,7 @@ win as (select rid, i, list_aggregate(w[i:i+4], 'string_agg', ' ') as g from (se
 rep as (select rid, i from (select rid, i, count(*) over (partition by rid, g) as c from win) where c > 1),
 cov as (select rid, sum(least(5, coalesce(nxt - i, 5)))::bigint as n from (select rid, i, lead(i) over (partition by rid order by i) as nxt from rep) group by rid),
 m as (
-  select d.doc_id, len(w)::bigint as n_words,
+  select d.doc_id, d.lang, len(w)::bigint as n_words,
     length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::bigint as word_chars,
     (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
     (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines,
@@ -166,7 +173,7 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   (not base_failed and n_words >= 10
    and coalesce(word_chars / nullif(n_words, 0), 0) between 2 and 15
    and coalesce(n_symbols / nullif(n_words, 0), 0) <= 0.20
-   and (n_words < 30 or n_stop / n_words >= 0.03)
+   and (n_words < 30 or n_stop / n_words >= 0.03 or coalesce(lang not in ('en', 'de', 'fr', 'es'), true))
    and coalesce(n_upper / nullif(word_chars, 0), 0) <= 0.40
    and coalesce(n_dup_lines / nullif(n_lines, 0), 0) <= 0.30
    and coalesce(n_bullets / nullif(n_lines, 0), 0) <= 0.90
