@@ -7,7 +7,9 @@ distinct host's and a distinct path's tokens meet the weights in another. Only u
 decimals, so that a sum doesn't depend on its order.
 
 Defined cases: a null url, or one without "://", has an empty host and path; it has no tokens and gets the class that is more
-frequent among decided pages, allow if they are equal or there are none. Repeated rows give repeated results.
+frequent among decided pages, allow if they are equal or there are none. Repeated rows give repeated results; of equally cheap splits
+the one whose last word is longest is taken; a very long url's tokens are rows; columns named url_host, url_path, url_rule or url_verdict are
+replaced, others are kept whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -45,13 +47,14 @@ def matching_rule(host: Column, path: Column, rules: Sequence[str]) -> Column:
     return F.coalesce(*fits) if fits else F.lit(None).cast("string")
 
 
-LONGEST = 20
+#: A fixed value of host names: no label is longer, so no longer word can be in one.
+LONGEST = 63
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(w, n): how often each word of 2 to 20 letters occurs."""
+    """(w, n): how often each word that a label can hold occurs."""
     words = docs.select(F.explode(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"(\p{L}+)"), F.lit(1))).alias("w"))
-    return words.where(F.length("w").between(2, LONGEST)).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    return words.where(F.length("w") <= LONGEST).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
 
 
 def word_costs(docs: DataFrame) -> tuple[DataFrame, float]:
@@ -104,8 +107,8 @@ def label_words(labels: DataFrame, costs: DataFrame, highest: float) -> DataFram
         return pd.Series([segment(n, {} if w is None else dict(zip(w, p)), highest=highest) for n, w, p in zip(names, words, prices)], dtype=object)
 
     n = F.length("label")
-    starts = labels.select("label", F.explode(F.sequence(F.lit(1), n - 1)).alias("i"))
-    lengths = F.sequence(F.lit(2), F.least(F.lit(LONGEST), n - F.col("i") + 1))
+    starts = labels.select("label", F.explode(F.sequence(F.lit(1), n)).alias("i"))
+    lengths = F.sequence(F.lit(1), F.least(F.lit(LONGEST), n - F.col("i") + 1))
     parts = starts.select("label", F.explode(F.transform(lengths, lambda k: F.substring(F.col("label"), F.col("i"), k))).alias("w")).distinct()
     found = parts.join(costs, "w").groupBy("label").agg(F.collect_list(F.struct("w", "cost")).alias("found"))
     return labels.join(found, "label", "left").select("label", cut("label", "found.w", "found.cost").alias("words"))
@@ -114,7 +117,7 @@ def label_words(labels: DataFrame, costs: DataFrame, highest: float) -> DataFram
 def host_tokens(hosts: DataFrame, costs: DataFrame, highest: float) -> DataFrame:
     """(host, t): a row for each word of each of the distinct hosts."""
     labels = materialise(hosts.select("host", F.explode(labels_of("host")).alias("label")), "url-labels")
-    split = label_words(labels.where(F.length("label") > 3).select("label").distinct(), costs, highest)
+    split = label_words(labels.select("label").distinct(), costs, highest)
     words = F.transform(F.coalesce("words", F.array("label")), lambda w: F.concat(F.lit("h:"), w))
     return labels.join(split, "label", "left").select("host", F.explode(words).alias("t"))
 

@@ -522,6 +522,40 @@ def test_bayes_follows_its_evidence(spark):
     assert url_filter.bayes_weights(decided.limit(0), {}) == ({}, 0.0)
 
 
+def test_verdicts_against_plain_python(spark):
+    """Segmentation and naive Bayes over all words and tokens, recomputed without Spark."""
+    import math
+
+    out = queries.QUERIES["op6_url_filter"](spark, SF2).collect()
+    words = defaultdict(int)
+    for r in documents(spark, SF2).collect():
+        for w in re.findall(r"[^\W\d_]+", (r["text"] or "").lower()):
+            words[w] += len(w) <= 63
+    total = sum(words.values())
+    costs = {w: math.log(total / n) for w, n in words.items() if n}
+    highest, cut = max(costs.values()), {}
+
+    def tokens(r):
+        labels = re.findall(r"[^\W\d_]+", r["host"])
+        for label in labels:
+            cut[label] = cut.get(label) or url_filter.segment(label, costs, highest=highest)
+        return ["h:" + w for label in labels for w in cut[label]] + ["p:" + re.sub(r"\d+", "0", x) for x in re.findall(r"\w+", r["path"].lower())]
+
+    seen, pages = {"block": defaultdict(int), "allow": defaultdict(int)}, {"block": 0, "allow": 0}
+    for r in out:
+        if r["rule"]:
+            pages[url_filter.RULES[r["rule"]]] += 1
+            for x in tokens(r):
+                seen[url_filter.RULES[r["rule"]]][x] += 1
+    known = set(seen["block"]) | set(seen["allow"])
+    size = {v: sum(seen[v].values()) + len(known) for v in seen}
+    odds = {x: math.log((seen["block"][x] + 1) / size["block"]) - math.log((seen["allow"][x] + 1) / size["allow"]) for x in known}
+    for r in out:
+        if not r["rule"]:
+            score = math.log(pages["block"] / pages["allow"]) + sum(odds.get(x, 0) for x in tokens(r))
+            assert abs(score) < 1e-9 or r["verdict"] == ("block" if score > 0 else "allow")
+
+
 def test_rare_words_and_tokens_count(spark):
     letters = "bcdfghjklm"
     frequent = " ".join("x" + "".join(letters[i // 10**k % 10] for k in range(5)) for i in range(50_001))
@@ -544,6 +578,12 @@ def test_rules_keep_clean_documents_and_reject_junk(spark):
     assert [r["passed"] for r in only] == [True, False]
 
 
+def test_the_stop_word_rule_needs_a_known_language(spark):
+    text = " ".join(f"sana{i}" for i in range(40))
+    out = quality_rules.apply_rules(spark.createDataFrame([(0, text, "fi"), (1, text, None), (2, text, "en")], "doc_id long, text string, lang string")).orderBy("doc_id").collect()
+    assert [r["passed"] for r in out] == [True, True, False]
+
+
 def test_rules_are_one_scan(spark):
     plan = quality_rules.op7_quality_rules(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
