@@ -1,7 +1,8 @@
 """A corpus from raw documents: quality, near copies, benchmark passages, source weights, shards.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next one's
-docs. No SQL can express the first stage, so ORACLE_SQL is None; the tests hold the stages against brute force.
+docs. No SQL can express the first stage, so ORACLE_SQL is None; the tests hold the network, the groups of near copies, the benchmark
+passages and the words of the mix against brute force.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratakey.llm import decontaminate, jaccard_join, mixing, quality_classifier, sharding
-from stratakey.llm.store import documents, materialise
+from stratakey.llm.store import Scratch, documents
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +53,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+    docs, scratch = documents(spark, sf_dir), Scratch(spark)
+    for _, stage in STAGES:
+        docs = scratch.store(stage(spark, docs, sf_dir), "stage")  # in the place of the stage before
     return docs
