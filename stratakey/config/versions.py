@@ -52,12 +52,23 @@ def split_artifact(file_name: str) -> tuple[str, str]:
     raise ValueError(f"{file_name!r} names no version")
 
 
+UNKNOWN = "0.0.0-UNKNOWN"
+
+
+def version_of(text: str) -> Version:
+    """The version, or one below all others where the text is none."""
+    try:
+        return Version(text)
+    except ValueError:
+        return Version(UNKNOWN)
+
+
 def latest(paths: Iterable[str]) -> dict[str, str]:
     """The path with the greatest version of each base name."""
     best: dict[str, tuple[Version, str]] = {}
     for p in paths:
         base, version = split_artifact(p)
-        v = Version(version)
+        v = version_of(version)
         if base not in best or best[base][0] < v:
             best[base] = (v, p)
     return {b: p for b, (_, p) in best.items()}

@@ -63,14 +63,14 @@ def point_select(dim: DataFrame, keys: dict[str, object], columns: Sequence[str]
 
 
 def unique_over_partitions(dim: DataFrame, keys: Sequence[str], partition: str | Column = PARTITION) -> DataFrame:
-    """dim, failing on read if one key lies in several partitions. The keys are counted in one aggregation."""
+    """dim, failing on read if one key lies in several partitions. Keys and partitions are aggregated, rows are only joined with the offenders."""
     p = F.col(partition) if isinstance(partition, str) else partition
-    rest = [c for c in dim.columns if c not in keys]
-    marked = dim.withColumn("__p", p)
-    grouped = marked.groupBy(*keys).agg(F.min("__p").alias("__a"), F.max("__p").alias("__b"), F.collect_list(F.struct(*rest, F.lit(1).alias("__one"))).alias("__rows"))
+    seen = dim.withColumn("__p", p).groupBy(*keys).agg(F.min("__p").alias("__a"), F.max("__p").alias("__b"))
     text = F.concat(F.lit("duplicate key in different partitions: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
-    checked = F.when(F.col("__a").eqNullSafe(F.col("__b")), F.col("__rows")).otherwise(F.raise_error(text))
-    return grouped.select(*keys, F.explode(checked).alias("__r")).select(*[F.col(c) if c in keys else F.col("__r")[c].alias(c) for c in dim.columns])
+    offends = seen.where(~F.col("__a").eqNullSafe(F.col("__b"))).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.lit(True).alias("__twice"))
+    marked = dim.join(offends, [dim[k].eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)], "left")
+    fine = F.when(F.col("__twice"), F.raise_error(text)).otherwise(F.lit(True))
+    return marked.where(fine.cast("boolean")).select(*[dim[c] for c in dim.columns])
 
 
 def partitioned_lookup(left: DataFrame, table: KeyedTable, on: dict[str, str], how: str = "left", columns: Sequence[str] | None = None, method: str = LOOKUP) -> DataFrame:

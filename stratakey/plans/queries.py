@@ -5,6 +5,7 @@ A query is (Spark callable, SQL or None). The SQL is DuckDB's.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 from datetime import timedelta
@@ -43,8 +44,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def workplace(spark: SparkSession, label: str) -> str:
-    """A new folder under spark.checkpoint.dir, or for a session on one machine in the warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A new folder under spark.checkpoint.dir, or, for a session in one process only, in the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

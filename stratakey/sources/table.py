@@ -1,9 +1,10 @@
 """Keyed, time-partitioned tables on shared storage.
 
 A table is a folder: Parquet data in one sub-folder a batch and partition, and a log of versions that says which folders hold
-which partition. A write reads the partitions that it touches, puts the last row of each key in place of the old one, writes
-new folders, and commits one version, so a reader or a failed writer never sees half a batch. A batch named by (writer, number)
-commits once however often it is retried.
+which partition, oldest first. A write adds folders with its own rows only, so its cost follows the batch and not the table; a reader
+takes the last row of each key, without a shuffle where a partition has one folder. When a write finds DELTAS folders in a partition it
+merges them, so a row is rewritten about once in so many writes. Each write commits one version, so a reader or a failed writer never
+sees half a batch. A batch named by (writer, number) commits once however often it is retried.
 
 Keys are unique within a partition: each partition is a table of its own.
 """
@@ -13,6 +14,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,12 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import partition as parts
-from ..functions.shard import key_hash, shard_of
+from ..functions.shard import key_hash, last_partitions_count
 from ..locks import LocksProvider, NoLocks, do_unless
 from ..schema import TableSchema
 from .log import Conflict, VersionLog
 
-PARTITION, SHARD = "__partition", "__shard"
+PARTITION, SHARD, AGE = "__partition", "__shard", "__age"
+DELTAS = 8  # folders of a partition that are merged by the next write
+SHARD_ROWS = 1_000_000  # rows that one task writes at most on average
 WHOLE = "all"
 
 
@@ -74,12 +78,15 @@ class KeyedTable:
     def exists(self) -> bool:
         return bool(self.log.versions())
 
-    def create(self, schema: TableSchema, partitioning: Partitioning | None = None, attributes: dict[str, Any] | None = None, shards: int = 1) -> bool:
-        """Creates the table unless it exists; False if it did. Concurrent creators end with one table."""
+    def create(self, schema: TableSchema, partitioning: Partitioning | None = None, attributes: dict[str, Any] | None = None, shards: int = 1, last_partitions: int | None = None) -> bool:
+        """Creates the table unless it exists; False if it did. Concurrent creators end with one table.
+
+        shards is the least number of shards of a partition; with last_partitions a new one gets as many as the mean of so many before it.
+        """
         if partitioning:
             parts.scale_of(partitioning.scale)
             parts.check_key(schema.struct()[partitioning.key].dataType)
-        state = {"schema": schema.dump(), "partitioning": partitioning and vars(partitioning), "attributes": {"dynamic": True} | (attributes or {}), "shards": shards, "mounted": True, "partitions": {}, "batches": {}}
+        state = {"schema": schema.dump(), "partitioning": partitioning and vars(partitioning), "attributes": {"dynamic": True} | (attributes or {}), "shards": shards, "last_partitions": last_partitions, "partitions": {}, "batches": {}}
 
         def make() -> None:
             try:
@@ -112,7 +119,10 @@ class KeyedTable:
 
     def partition_table(self) -> DataFrame:
         """(partition, shards, expires) of the partitions, for the sharding rules."""
-        rows = [(n, p["shards"], p["expires"]) for n, p in sorted(self.state()[1]["partitions"].items())]
+        return self._partition_table(self.state()[1])
+
+    def _partition_table(self, state: dict[str, Any]) -> DataFrame:
+        rows = [(n, p["shards"], p["expires"]) for n, p in sorted(state["partitions"].items())]
         return self.spark.createDataFrame(rows, "partition string, n int, expires string")
 
     # reading
@@ -130,8 +140,7 @@ class KeyedTable:
         names = sorted(state["partitions"])
         if between and partitioning:
             names = self._overlapping(names, partitioning, between)
-        paths = [state["partitions"][n]["path"] for n in names]
-        df = self.spark.read.schema(struct).parquet(*paths) if paths else self.spark.createDataFrame([], struct)
+        df = self._rows(state, struct, names, columns if not between else None)
         if between and partitioning:
             k = F.col(partitioning.key)
             df = df.where((k >= F.lit(between[0]).cast(struct[partitioning.key].dataType)) & (k < F.lit(between[1]).cast(struct[partitioning.key].dataType)))
@@ -141,6 +150,24 @@ class KeyedTable:
             df = df.select(*columns, *([PARTITION] if with_partition else []))
         return df.limit(limit) if limit >= 0 else df
 
+    def _rows(self, state: dict[str, Any], struct: T.StructType, names: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+        """The rows of some partitions as they are now; of columns at least those named."""
+        keys = TableSchema.parse(state["schema"]).keys
+        partitioning = Partitioning(**state["partitioning"]) if state["partitioning"] else None
+        folders = {n: state["partitions"][n]["paths"] for n in names}
+        plain = [p for paths in folders.values() for p in paths if len(paths) == 1 or not keys]
+        out = self.spark.read.schema(struct).parquet(*plain) if plain else self.spark.createDataFrame([], struct)
+        layered = [paths for paths in folders.values() if len(paths) > 1 and keys]
+        if not layered:
+            return out
+        needed = {*keys, *([partitioning.key] if partitioning else []), *(struct.names if columns is None else columns)}
+        kept = T.StructType([f for f in struct.fields if f.name in needed])
+        by_age = [[paths[-i] for paths in layered if i <= len(paths)] for i in range(1, max(map(len, layered)) + 1)]
+        read = [self.spark.read.schema(kept).parquet(*paths).withColumn(AGE, F.lit(-i)) for i, paths in enumerate(by_age)]
+        rows = reduce(DataFrame.unionByName, read).withColumn(PARTITION, partitioning.name() if partitioning else F.lit(WHOLE))
+        newest = last_rows(rows, [PARTITION, *keys], [AGE]).select(*kept.names)
+        return out.select(*kept.names).unionByName(newest) if plain else newest
+
     def _overlapping(self, names: list[str], p: Partitioning, between: tuple[Any, Any]) -> list[str]:
         if not names:
             return []
@@ -183,28 +210,54 @@ class KeyedTable:
         version, state = self.state()
         if batch and state["batches"].get(batch[0], -1) >= batch[1]:
             return Committed(version, False)
-        touched = sorted(r[0] for r in rows.select(PARTITION).distinct().collect())
-        old = [state["partitions"][n]["path"] for n in touched if n in state["partitions"]]
-        struct, merged = schema.write_schema().struct(), rows
-        if old:
-            had = self.spark.read.schema(struct).parquet(*old).withColumn(PARTITION, partitioning.name() if partitioning else F.lit(WHOLE))
-            if schema.keys:
-                new = rows.select(PARTITION, *schema.keys)
-                same = [had[c].eqNullSafe(new[c]) for c in (PARTITION, *schema.keys)]
-                had = had.join(new, same, "left_anti")
-            merged = had.unionByName(rows)
-        folder = f"{self.path}/data/{uuid.uuid4().hex}"
-        n = state["shards"]
-        placed = merged.withColumn(SHARD, shard_of(key_hash(*[F.col(k) for k in schema.keys or struct.names[:1]]), n))
-        placed.repartition(PARTITION, SHARD).drop(SHARD).sortWithinPartitions(PARTITION, *schema.keys).write.partitionBy(PARTITION).parquet(folder)
-        expires = self._expiry(touched, partitioning, now)
-        for name in touched:
-            was = state["partitions"].get(name, {})
-            state["partitions"][name] = {"path": f"{folder}/{PARTITION}={escaped(name)}", "shards": was.get("shards", n), "expires": was.get("expires", expires.get(name))}
+        counts = {r[0]: r[1] for r in rows.groupBy(PARTITION).count().collect()}
+        touched, known = sorted(counts), state["partitions"]
+        struct = schema.write_schema().struct()
+        folder = self._write(rows, schema, {n: self._shards(state, n, counts[n]) for n in touched})
+        expires = self._expiry([n for n in touched if n not in known], partitioning, now)
+        for n in touched:
+            was = known.get(n, {"paths": [], "rows": 0, "expires": expires.get(n)})
+            known[n] = {**was, "paths": [*was["paths"], place(folder, n)], "rows": was["rows"] + counts[n], "shards": self._shards(state, n, was["rows"] + counts[n])}
+        full = [n for n in touched if len(known[n]["paths"]) > DELTAS]
+        if full:
+            whole = self._rows(state, struct, full).withColumn(PARTITION, partitioning.name() if partitioning else F.lit(WHOLE))
+            merged = self._write(whole, schema, {n: known[n]["shards"] for n in full})
+            for n in full:
+                known[n]["paths"] = [place(merged, n)]
         if batch:
             state["batches"][batch[0]] = batch[1]
         return Committed(self.log.commit(version, state), True, touched)
 
+    def _shards(self, state: dict[str, Any], name: str, rows: int) -> int:
+        """As many shards as the rows need, and no fewer than the partition has or its rule says."""
+        least = state["partitions"].get(name, {}).get("shards")
+        if least is None and state["last_partitions"] and state["partitions"]:
+            least = last_partitions_count(self._partition_table(state), name, state["last_partitions"], state["shards"]).first()[0]
+        return max(least or state["shards"], -(-rows // SHARD_ROWS))
+
+    def _write(self, rows: DataFrame, schema: TableSchema, shards: dict[str, int]) -> str:
+        """Writes rows with their PARTITION, each partition in its number of shards by hash of the key, or of the row where there is none."""
+        folder = f"{self.path}/data/{uuid.uuid4().hex}"
+        sizes = self.spark.createDataFrame([(n, k) for n, k in shards.items()] or [("", 1)], "__name string, __shards int")
+        hashable = [f.name for f in schema.write_schema().struct().fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        shard = F.pmod(key_hash(*[F.col(k) for k in schema.keys or hashable]), F.col("__shards"))
+        placed = rows.join(F.broadcast(sizes), F.col(PARTITION) == F.col("__name")).withColumn(SHARD, shard)
+        placed.repartition(PARTITION, SHARD).drop(SHARD, "__name", "__shards").sortWithinPartitions(PARTITION, *schema.keys).write.partitionBy(PARTITION).parquet(folder)
+        return folder
+
+    def compact(self) -> int:
+        """Merges the folders of each partition that has several, in one commit; the version."""
+        version, state = self.state()
+        several = sorted(n for n, p in state["partitions"].items() if len(p["paths"]) > 1)
+        if not several:
+            return version
+        schema = TableSchema.parse(state["schema"])
+        whole = self._rows(state, schema.write_schema().struct(), several).withColumn(PARTITION, self.partitioning.name() if self.partitioning else F.lit(WHOLE))
+        folder = self._write(whole, schema, {n: state["partitions"][n]["shards"] for n in several})
+        for n in several:
+            state["partitions"][n]["paths"] = [place(folder, n)]
+        return self.log.commit(version, state)
+
     def _expiry(self, names: list[str], p: Partitioning | None, now: str | None) -> dict[str, str | None]:
         if not p or not names:
             return {}
@@ -226,7 +279,7 @@ class KeyedTable:
     def vacuum(self) -> int:
         """Deletes data folders that the last version doesn't name; returns how many. Not while writers run."""
         _, state = self.state()
-        used = {p["path"].rsplit("/", 1)[0].rsplit("/", 1)[1] for p in state["partitions"].values()}
+        used = {path.rsplit("/", 1)[0].rsplit("/", 1)[1] for p in state["partitions"].values() for path in p["paths"]}
         folder = self.log.hadoop.Path(f"{self.path}/data")
         if not self.log.fs().exists(folder):
             return 0
@@ -236,6 +289,10 @@ class KeyedTable:
         return len(old)
 
 
+def place(folder: str, name: str) -> str:
+    return f"{folder}/{PARTITION}={escaped(name)}"
+
+
 def escaped(name: str) -> str:
     """A partition value as Spark writes it in a folder's name."""
     return "".join(f"%{ord(c):02X}" if c in "\"#%'*/:=?\\{[]^" or ord(c) < 32 or ord(c) == 127 else c for c in name)
@@ -257,5 +314,6 @@ def create_from(spark: SparkSession, options: Any, locks: LocksProvider | None =
         p = Partitioning(options["partition-key"], options["partition-scale"], options["partition-ttl-day-cnt"], options["partition-ttl-in-days-from-creation"], options["min-partition-ttl"])
     table = KeyedTable(spark, TablePath(options["path"], None), locks)
     if options["eager-initialization"] or not table.exists():
-        table.create(options.schema, p, options.attributes(), options["reshard.tablet-count"] or 1)
+        last = options["reshard.last-partitions-count"] if options["reshard.strategy"] == "LAST_PARTITIONS" else None
+        table.create(options.schema, p, options.attributes(), options["reshard.tablet-count"] or 1, last)
     return table

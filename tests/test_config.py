@@ -125,3 +125,7 @@ def test_profiles(monkeypatch):
         Profile(preset="HUGE")
     with pytest.raises(ValueError):
         Profile(packages=["g:a:1", "g:a:2"])
+
+
+def test_a_name_without_a_version_is_below_all_others():
+    assert latest(["a/foo-1.2.jar", "b/foo-0.9.1.jar", "c/bar-1.2.jar"]) == {"foo": "b/foo-0.9.1.jar", "bar": "c/bar-1.2.jar"}

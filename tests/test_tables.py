@@ -45,7 +45,42 @@ def test_upsert_replaces_by_key(spark, where):
     assert content(t.scan()) == [(1, "c"), (2, "d"), (3, None)]
     assert content(t.scan(version=2)) == [(1, "c"), (2, "b")]
     assert t.scan(["v"], limit=2).count() == 2 and t.scan(limit=0).count() == 0
-    assert t.vacuum() == 1 and content(t.scan()) == [(1, "c"), (2, "d"), (3, None)]
+    assert t.vacuum() == 0 and len(t.state()[1]["partitions"]["all"]["paths"]) == 2
+    t.compact()
+    assert len(t.state()[1]["partitions"]["all"]["paths"]) == 1
+    assert t.vacuum() == 2 and content(t.scan()) == [(1, "c"), (2, "d"), (3, None)]
+
+
+def test_a_write_adds_its_own_rows_and_merges_now_and_then(spark, where):
+    t = KeyedTable(spark, TablePath(where, "t"))
+    t.create(SCHEMA)
+    for i in range(10):
+        t.upsert(frame(spark, [(i % 3, None, f"v{i}"), (100 + i, None, "own")]))
+        paths = t.state()[1]["partitions"]["all"]["paths"]
+        assert len(paths) == (i + 1 if i < 8 else i - 7)
+        assert i >= 8 or spark.read.parquet(paths[-1]).count() == 2
+    assert content(t.scan()) == [(0, "v9"), (1, "v7"), (2, "v8")] + [(100 + i, "own") for i in range(10)]
+    assert sorted(r["v"] for r in t.scan(["v"]).collect()) == sorted(v for _, v in content(t.scan()))
+
+
+def test_tables_without_keys_only_grow(spark, where):
+    t = KeyedTable(spark, TablePath(where, "t"))
+    t.create(TableSchema.parse("[{name=id;type=int64};{name=ts;type=timestamp};{name=v;type=string}]"))
+    for _ in range(2):
+        t.upsert(frame(spark, [(1, None, "a"), (1, None, "a")]))
+    assert content(t.scan()) == [(1, "a")] * 4 and "Exchange" not in t.scan()._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shards_follow_rows_and_the_last_partitions(spark, where, monkeypatch):
+    monkeypatch.setattr("stratakey.sources.table.SHARD_ROWS", 10)
+    t = KeyedTable(spark, TablePath(where, "t"))
+    t.create(SCHEMA, Partitioning("ts", "DAY"), shards=2, last_partitions=3)
+    day = lambda d, n: frame(spark, [(i, f"2024-01-0{d}T00:00:00", "x") for i in range(n)])
+    for d, n in ((1, 65), (2, 5), (3, 200)):
+        t.upsert(day(d, n))
+    shards = {r.partition: r.n for r in t.partition_table().collect()}
+    assert shards == {"2024-01-01": 7, "2024-01-02": 7, "2024-01-03": 20}
+    assert t.scan().count() == 270
 
 
 def test_partitioned_upsert_and_pruned_scan(spark, where):
@@ -59,9 +94,9 @@ def test_partitioned_upsert_and_pruned_scan(spark, where):
     assert len(part.inputFiles()) == 1
     with pytest.raises(NotImplementedError):
         t.scan(strict=True)
-    before = {n: p["path"] for n, p in t.state()[1]["partitions"].items()}
+    before = {n: p["paths"] for n, p in t.state()[1]["partitions"].items()}
     t.upsert(frame(spark, [(2, "2024-01-02T00:10:00", "d")]))
-    after = {n: p["path"] for n, p in t.state()[1]["partitions"].items()}
+    after = {n: p["paths"] for n, p in t.state()[1]["partitions"].items()}
     assert content(t.scan()) == [(1, "a"), (1, "b"), (2, "d")]
     assert [n for n in before if before[n] != after[n]] == ["2024-01-02 00:00:00"]
 
