@@ -19,6 +19,7 @@ from ..functions import codecs, partition, rowtext, scalar, shard
 from ..operators import batches, lookup, metrics
 from ..schema import TableSchema
 from ..sources import generate
+from ..sources.configured import ConfiguredTable
 from ..sources.roots import FirstAvailable, path_exists
 from ..sources.table import KeyedTable, Partitioning, TablePath, last_rows
 from ..streaming import sink
@@ -198,6 +199,44 @@ def lookup_stream_static(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/data").select("event_id", "user_id", "c_name")
 
 
+def configured(spark: SparkSession, rows: DataFrame, keys: list[str], **options: object) -> ConfiguredTable:
+    raw = {"proxy": "local", "path": workplace(spark, "configured"), "schema": TableSchema.from_struct(rows.schema, keys).dump()}
+    raw |= {k.replace("__", ".").replace("_", "-"): v for k, v in options.items()}
+    if "path-map" in raw:
+        del raw["proxy"], raw["path"]
+    return ConfiguredTable(spark, TableOptions.parse(raw, rows.schema), registry=metrics.Registry())
+
+
+@query(_ORDERS_CUSTOMER.format("left"))
+def configured_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table made, sharded, written and looked up as its options say."""
+    customers = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    table = configured(spark, customers, ["c_custkey"], reshard__strategy="FIXED", reshard__tablet_count=4, reshard__uniform=True, lookup__cache="FULL", lookup__full_cache__reload_strategy="PERIODIC", retry_strategy="EXPONENTIAL")
+    table.write(customers, batch=("load", 0))
+    return table.lookup(orders(spark, sf_dir), {"o_custkey": "c_custkey"}, "left", ["c_name", "c_acctbal"])
+
+
+@query("select event_id, user_id, value from events")
+def scan_first_available_root(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written to two roots; one goes, and the other is read."""
+    rows = read(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    near, far = workplace(spark, "near"), workplace(spark, "far")
+    table = configured(spark, rows, ["event_id"], path_map=f"near:{near},far:{far}")
+    table.write(rows)
+    gone = spark._jvm.org.apache.hadoop.fs.Path(near)
+    gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+    return table.scan()
+
+
+@query("select user_id, event_id, value from (select *, row_number() over (partition by user_id, strftime(ts, '%Y-%m-%d') order by ts desc, event_id desc) as r from events) where r = 1")
+def configured_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream into a table partitioned as its options say, shards after the last partitions."""
+    rows = streamed(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
+    table = configured(spark, rows, ["user_id"], partition_key="ts", partition_scale="DAY", reshard__strategy="LAST_PARTITIONS", reshard__tablet_count=2, reshard__uniform=True, trackable_field="ts")
+    table.start(rows, workplace(spark, "checkpoint"), "w", ["ts", "event_id"], drain=True).awaitTermination()
+    return table.scan(["user_id", "event_id", "value"])
+
+
 # upserts
 
 _LAST = "select user_id, event_id, value from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as r from events) where r = 1"

@@ -307,12 +307,12 @@ def last_rows(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> Da
     return best.select(*keys, *[F.col("__row")[c].alias(c) for c in rest])
 
 
-def create_from(spark: SparkSession, options: Any, locks: LocksProvider | None = None) -> KeyedTable:
-    """The table of parsed options, created if it is missing."""
+def create_from(spark: SparkSession, options: Any, locks: LocksProvider | None = None, path: str | None = None) -> KeyedTable:
+    """The table of parsed options at their path or another, created if it is missing."""
     p = None
     if options["partition-key"]:
         p = Partitioning(options["partition-key"], options["partition-scale"], options["partition-ttl-day-cnt"], options["partition-ttl-in-days-from-creation"], options["min-partition-ttl"])
-    table = KeyedTable(spark, TablePath(options["path"], None), locks)
+    table = KeyedTable(spark, TablePath(path or options["path"], None), locks)
     if options["eager-initialization"] or not table.exists():
         last = options["reshard.last-partitions-count"] if options["reshard.strategy"] == "LAST_PARTITIONS" else None
         table.create(options.schema, p, options.attributes(), options["reshard.tablet-count"] or 1, last)

@@ -6,10 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratakey.config.options import TableOptions
 from stratakey.locks import FileLocks, LockError, Mode, NoLocks, choose, do_unless, locked
 from stratakey.operators import batches, lookup, metrics
 from stratakey.schema import TableSchema
 from stratakey.sources import generate
+from stratakey.sources.configured import ConfiguredTable
 from stratakey.sources.log import Conflict, VersionLog
 from stratakey.sources.roots import FirstAvailable, NoRoot
 from stratakey.sources.table import KeyedTable, Partitioning, TablePath, escaped, last_rows
@@ -284,6 +286,55 @@ def test_roots():
             FirstAvailable({"a": "", "b": ""}, lambda r: True, priorities)
 
 
+def options_of(**raw):
+    return TableOptions.parse({"schema": SCHEMA.dump(), **{k.replace("__", ".").replace("_", "-"): v for k, v in raw.items()}})
+
+
+def test_options_reach_the_table(spark, where):
+    own, locks = metrics.Registry(), FileLocks(spark, f"{where}/locks")
+    raw = dict(proxy="x", path=f"{where}/t", partition_key="ts", partition_scale="DAY", partition_ttl_day_cnt=100, reshard__strategy="FIXED", reshard__tablet_count=3, reshard__uniform=True, trackable_field="ts", optimize_for="scan")
+    table = ConfiguredTable(spark, options_of(**raw), locks, own)
+    (done,) = table.write(frame(spark, [(1, "2024-01-01T00:00:00", "a"), (2, "2024-01-02T00:00:00", "b")]), batch=("w", 0))
+    assert done.fresh and not table.write(frame(spark, [(1, "2024-01-01T00:00:00", "z")]), batch=("w", 0))[0].fresh
+    stored = KeyedTable(spark, TablePath(f"{where}/t"))
+    assert content(table.scan()) == content(stored.scan()) == [(1, "a"), (2, "b")]
+    assert {(r.n, r.expires[:4]) for r in stored.partition_table().collect()} <= {(3, str(y)) for y in range(2024, 2100)}
+    assert stored.attributes()["optimize_for"] == "scan" and not locks.is_locked(stored.path)
+    assert (own.table(stored.path).committed_rows, own.table(stored.path).max_tracked) == (2, 1704153600000)
+    assert [r.v for r in table.lookup(spark.createDataFrame([(2,), (5,)], "k long"), {"k": "id"}, "inner", ["v"]).collect()] == ["b"]
+    with pytest.raises(ValueError, match="SELECT"):
+        table.lookup(spark.createDataFrame([("b",)], "k string"), {"k": "v"})
+
+
+def test_retries_are_those_of_the_options(spark, where, monkeypatch):
+    waits, calls = [], []
+
+    def shaky(self, *args, **kwargs):
+        calls.append(1)
+        if len(calls) < 3:
+            raise OSError("not now")
+        return real(self, *args, **kwargs)
+
+    real = KeyedTable.upsert
+    monkeypatch.setattr(KeyedTable, "upsert", shaky)
+    patient = ConfiguredTable(spark, options_of(proxy="x", path=f"{where}/a"), registry=metrics.Registry(), sleep=waits.append)
+    patient.write(frame(spark, [(1, None, "a")]))
+    assert waits == [10.0, 20.0] and content(patient.scan()) == [(1, "a")]
+    calls.clear()
+    with pytest.raises(OSError):
+        ConfiguredTable(spark, options_of(proxy="x", path=f"{where}/b", retry_strategy="NO_RETRY"), registry=metrics.Registry()).write(frame(spark, [(1, None, "a")]))
+
+
+def test_a_root_that_goes_is_left(spark, where):
+    table = ConfiguredTable(spark, options_of(path_map=f"a:{where}/a,b:{where}/b", **{"cluster-pick-strategy.firstAvailable.priorities": "B;A"}), registry=metrics.Registry())
+    table.write(frame(spark, [(1, None, "a")]))
+    assert table.pick.pick() == "B" and "/b/" in table.scan().inputFiles()[0]
+    gone = spark._jvm.org.apache.hadoop.fs.Path(f"{where}/b")
+    gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+    table.pick.refresh()
+    assert content(table.scan()) == [(1, "a")] and table.pick.pick() == "A"
+
+
 # metrics, batches, locks, generators
 
 
