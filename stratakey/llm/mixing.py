@@ -11,7 +11,8 @@ a seeded block on. Shard after shard takes its quota of blocks from there. A doc
 the stream by arithmetic, so no block is ever a row.
 
 Places in the stream are prefix sums in two levels (hash buckets within a source, then rows within a bucket); the number of
-buckets grows with the rows, so a hot source is spread over many tasks. Only tables of sources and of buckets go through
+buckets grows with the rows, so a hot source is spread over many tasks; what a source is due reaches its documents by broadcast, up to
+`BROADCAST_SOURCES` sources, and by a join beyond. Only tables of sources and of buckets go through
 one window. Defined cases: a null text has no words, a null source is a source of its own and last; a document without
 words takes nothing; repeated rows are separate documents; a very long document may be cut into spans for several shards; equal
 quotients go to the source that comes first; empty input gives no rows; other columns, whatever their names, are passed over.
@@ -30,6 +31,8 @@ from .store import WS, WS_CHARS, documents, materialise, row_key
 WEIGHTS = (5, 2, 1)
 D = "decimal(38,0)"
 PIECES = "array<struct<shard:int,lap:bigint,a:bigint,b:bigint>>"
+#: Sources whose plans, of some hundred bytes each, are broadcast at most. More are joined by a shuffle.
+BROADCAST_SOURCES = 10_000
 
 
 def word_count(text: Column) -> Column:
@@ -131,6 +134,8 @@ def mix(docs: DataFrame, seed: int = 7, weights: Sequence[int] = WEIGHTS, max_re
     targets = materialise(source_targets(sizes, weights, max_repeats, share_percent), "mix-targets")
     quotas = materialise(block_quotas(targets, n_shards, max_repeats=max_repeats), "mix-quotas")
     plan = targets.join(shard_pieces(targets, quotas, seed), "rank", "left").select(F.col("source").alias("of"), "rank", "source_size", "target", "pieces")
+    # the documents of a hot source stay where they are
+    plan = F.broadcast(plan) if targets.count() <= BROADCAST_SOURCES else plan
     known = sizes.join(plan.select("of", "rank"), sizes["source"].eqNullSafe(plan["of"])).select("doc_id", "size", "rank", *also)
     digits = max(1, min(6, math.ceil(math.log(max(1, sizes.count()) / rows_per_bucket + 1, 16))))
     placed = stream_places(known, seed, digits, also).join(plan, "rank")
