@@ -488,13 +488,13 @@ def rowtext_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(rowtext.decode(_part_text(df), struct).alias("r")).select("r.*")
 
 
-@query("select vec_id, len(embedding)::integer as n, embedding[1] as x, label from embeddings")
+@query("select vec_id, len(embedding)::integer as n, unnest(range(len(embedding)))::integer as i, unnest(embedding) as x, label from embeddings")
 def rowtext_roundtrip_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S10, S11 with a list and a nested row."""
+    """S10, S11 with a list and a nested row: every element comes back."""
     df = read(spark, sf_dir, "embeddings").select("vec_id", F.struct("embedding", "label").alias("body"))
     text = rowtext.encode(F.col("body"), df.schema["body"].dataType)
     back = df.select("vec_id", rowtext.decode(text, df.schema["body"].dataType).alias("b"))
-    return back.select("vec_id", F.size("b.embedding").alias("n"), F.element_at("b.embedding", 1).alias("x"), F.col("b.label").alias("label"))
+    return back.select("vec_id", F.size("b.embedding").alias("n"), F.posexplode("b.embedding").alias("i", "x"), F.col("b.label").alias("label"))
 
 
 # the rest
