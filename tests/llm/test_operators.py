@@ -50,6 +50,8 @@ EDGE_PAGES = [
     (6, "x://#frag", "<body><nav>menu</nav><div>one<br>two</div><aside>side</aside><form>f</form><footer>foot</footer>"),
     (7, "x://h?://y/z", "<p>" + "long " * 20_000 + "</p>"),
 ]
+VECTOR = [i / 64 for i in range(64)]
+EDGE_VECTORS = [(0, None), (1, []), (2, VECTOR[:63]), (3, [*VECTOR, 1.0]), (4, [None, *VECTOR[1:]]), (5, [float("nan"), *VECTOR[1:]]), (6, [float("-inf"), *VECTOR[1:]]), (7, VECTOR), (7, VECTOR), (8, [-x for x in VECTOR]), (None, VECTOR[::-1]), (9, [0.001, *[-0.001] * 63])]
 
 
 def write(path, docs, bench, pages, labels):
@@ -60,6 +62,8 @@ def write(path, docs, bench, pages, labels):
     pq.write_table(pa.table(d | extra(len(docs))), f"{path}/documents.parquet")
     pq.write_table(pa.table({"item_id": cols(bench, 0, pa.int64()), "text": cols(bench, 1, pa.string())} | extra(len(bench))), f"{path}/benchmark.parquet")
     pq.write_table(pa.table({"page_id": cols(pages, 0, pa.int64()), "url": cols(pages, 1, pa.string()), "html": cols(pages, 2, pa.string())} | extra(len(pages))), f"{path}/pages.parquet")
+    vectors = [(i, v) for i, v in EDGE_VECTORS if docs]
+    pq.write_table(pa.table({"vec_id": cols(vectors, 0, pa.int64()), "embedding": cols(vectors, 1, pa.list_(pa.float32()))} | extra(len(vectors))), f"{path}/embeddings.parquet")
     pq.write_table(pa.table({"doc_id": cols(labels, 0, pa.int64()), "quality": cols(labels, 1, pa.int32()), "toxic": cols(labels, 1, pa.int32())}), f"{path}/labels.parquet")
 
 
@@ -93,7 +97,7 @@ def test_sql(name, same):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql_on_edge_cases(name, spark, edge):
     c = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         c.execute(f"create view {t} as select * from '{edge}/{t}.parquet'")
     got, want = rows(queries.QUERIES[name](spark, edge)), rows(c.execute(queries.SQL[name]).to_arrow_table())
     assert got == want
@@ -101,7 +105,7 @@ def test_sql_on_edge_cases(name, spark, edge):
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_every_row_of_edge_cases_gets_one_result(name, spark, edge):
-    n = len(EDGE_PAGES) if name.split("_")[0] in ("op6", "op10") else len(EDGE_DOCS)
+    n = {"op6": len(EDGE_PAGES), "op10": len(EDGE_PAGES), "op13": 5}.get(name.split("_")[0], len(EDGE_DOCS))
     assert queries.QUERIES[name](spark, edge).count() == n
 
 
