@@ -1,38 +1,27 @@
-"""Which modification and which transaction each row of an ordered table belongs to."""
+"""Numbering the rows of a large table, from which commits of so many rows are cut."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MODIFICATION, TRANSACTION = 1_000, 99_000
 
-
-def numbered(df: DataFrame, order_by: Sequence[str], name: str = "n") -> DataFrame:
-    """df with 0, 1, 2.. in the order, without bringing all rows to one task.
+@contextmanager
+def numbered(df: DataFrame, order_by: Sequence[str], name: str = "n") -> Iterator[DataFrame]:
+    """df with 0, 1, 2.. in the order, without bringing all rows to one task, for use inside the block.
 
     Rows are range-partitioned and numbered within their partition; the partitions' sizes, a row each, give the offsets. The
-    partitioned rows are cached, because a second evaluation could draw other ranges; they stay cached for the caller.
+    partitioned rows are cached until the block ends, because a second evaluation could draw other ranges.
     """
     parts = df.repartitionByRange(*order_by).withColumn("__part", F.spark_partition_id()).persist()
-    sizes = parts.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
-    before = F.coalesce(F.sum("__size").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = sizes.select("__part", before.alias("__before"))
-    own = F.row_number().over(Window.partitionBy("__part").orderBy(*order_by)) - 1
-    return parts.withColumn("__own", own).join(offsets, "__part").withColumn(name, (F.col("__own") + F.col("__before")).cast("bigint")).drop("__part", "__own", "__before")
-
-
-def batch_numbers(n: Column, in_modification: int = MODIFICATION, in_transaction: int = TRANSACTION) -> tuple[Column, Column]:
-    """(modification, transaction) of the n-th row, from 0: a transaction ends after its limit of rows, a modification after its own."""
-    t = F.floor(n / in_transaction)
-    m = F.floor((n - t * in_transaction) / in_modification) + t * -(-in_transaction // in_modification)
-    return m.cast("bigint"), t.cast("bigint")
-
-
-def commit_batches(df: DataFrame, order_by: Sequence[str], in_modification: int = MODIFICATION, in_transaction: int = TRANSACTION) -> DataFrame:
-    """(transaction, modification, n_rows)."""
-    m, t = batch_numbers(F.col("__n"), in_modification, in_transaction)
-    rows = numbered(df.select(*order_by), order_by, "__n").select(t.alias("transaction"), m.alias("modification"))
-    return rows.groupBy("transaction", "modification").agg(F.count(F.lit(1)).alias("n_rows"))
+    try:
+        sizes = parts.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
+        before = F.coalesce(F.sum("__size").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        offsets = sizes.select("__part", before.alias("__before"))
+        own = F.row_number().over(Window.partitionBy("__part").orderBy(*order_by)) - 1
+        yield parts.withColumn("__own", own).join(offsets, "__part").withColumn(name, (F.col("__own") + F.col("__before")).cast("bigint")).drop("__part", "__own", "__before")
+    finally:
+        parts.unpersist()

@@ -1,18 +1,23 @@
 """Keyed, time-partitioned tables on shared storage.
 
-A table is a folder: Parquet data in one sub-folder a batch and partition, and a log of versions that says which folders hold
+A table is a folder: Parquet data in one sub-folder a batch, partition and shard, and a log of versions that says which folders hold
 which partition, oldest first. A write adds folders with its own rows only, so its cost follows the batch and not the table; a reader
 takes the last row of each key, without a shuffle where a partition has one folder. When a write finds DELTAS folders in a partition it
-merges them, so a row is rewritten about once in so many writes. Each write commits one version, so a reader or a failed writer never
-sees half a batch. A batch named by (writer, number) commits once however often it is retried.
+merges them, so a row is rewritten about once in so many writes. Each write commits one version, or one for so many rows, so a reader or
+a failed writer never sees half of one. A batch named by (writer, number) commits once however often it is retried.
 
-Keys are unique within a partition: each partition is a table of its own.
+Keys are unique within a partition: each partition is a table of its own. A row's shard is its key's hash modulo the partition's number
+of shards, which all its folders share: a write that makes a partition outgrow its shards doubles them and merges it. So a key is in one
+file of each folder, and point() reads no other. Folders written through Spark's format may be "loose": a key may stand in one more than once.
 """
 
 from __future__ import annotations
 
+import logging
+import re
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
@@ -22,15 +27,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import partition as parts
-from ..functions.shard import key_hash, last_partitions_count
-from ..locks import LocksProvider, NoLocks, do_unless
-from ..schema import TableSchema
+from ..functions.shard import key_hash, last_partitions_count, to_unsigned
+from ..locks import LocksProvider, Mode, NoLocks, do_unless, locked
+from ..operators.batches import numbered
+from ..schema import STORE_TYPES, ColumnSpec, TableSchema
+from .files import JvmFiles
 from .log import Conflict, VersionLog
 
-PARTITION, SHARD, AGE = "__partition", "__shard", "__age"
+PARTITION, SHARD, AGE, PIECE = "__partition", "__shard", "__age", "__piece"
 DELTAS = 8  # folders of a partition that are merged by the next write
 SHARD_ROWS = 1_000_000  # rows that one task writes at most on average
 WHOLE = "all"
+MOUNTED, UNMOUNTED = "mounted", "unmounted"
+logger = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
@@ -66,27 +75,30 @@ class Committed:
     version: int
     fresh: bool
     partitions: list[str] = field(default_factory=list)
+    rows: int = 0
 
 
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: TablePath | str, locks: LocksProvider | None = None):
         self.spark, self.path, self.locks = spark, (path.full if isinstance(path, TablePath) else path).rstrip("/"), locks or NoLocks()
-        self.log = VersionLog(spark, f"{self.path}/_versions")
+        self.files = JvmFiles(spark)
+        self.log = VersionLog(self.files, f"{self.path}/_versions")
 
     # metadata
 
     def exists(self) -> bool:
         return bool(self.log.versions())
 
-    def create(self, schema: TableSchema, partitioning: Partitioning | None = None, attributes: dict[str, Any] | None = None, shards: int = 1, last_partitions: int | None = None) -> bool:
+    def create(self, schema: TableSchema, partitioning: Partitioning | None = None, attributes: dict[str, Any] | None = None, shards: int = 1, last_partitions: int | None = None, mounted: bool = True) -> bool:
         """Creates the table unless it exists; False if it did. Concurrent creators end with one table.
 
         shards is the least number of shards of a partition; with last_partitions a new one gets as many as the mean of so many before it.
+        A table made without being mounted takes writes only after mount().
         """
         if partitioning:
             parts.scale_of(partitioning.scale)
             parts.check_key(schema.struct()[partitioning.key].dataType)
-        state = {"schema": schema.dump(), "partitioning": partitioning and vars(partitioning), "attributes": {"dynamic": True} | (attributes or {}), "shards": shards, "last_partitions": last_partitions, "partitions": {}, "batches": {}}
+        state = {"schema": schema.dump(), "partitioning": partitioning and vars(partitioning), "attributes": {"dynamic": True} | (attributes or {}), "shards": shards, "last_partitions": last_partitions, "partitions": {}, "batches": {}, "open": {}, "mounted": MOUNTED if mounted else UNMOUNTED}
 
         def make() -> None:
             try:
@@ -136,36 +148,71 @@ class KeyedTable:
         partitioning = Partitioning(**state["partitioning"]) if state["partitioning"] else None
         if strict and partitioning:
             raise NotImplementedError("partitioned tables are not scanned in strict mode")
-        struct = TableSchema.parse(state["schema"]).write_schema().struct()
+        struct = stored(state)
         names = sorted(state["partitions"])
         if between and partitioning:
             names = self._overlapping(names, partitioning, between)
-        df = self._rows(state, struct, names, columns if not between else None)
+        df = self._rows(state, names, columns if not between else None)
         if between and partitioning:
             k = F.col(partitioning.key)
             df = df.where((k >= F.lit(between[0]).cast(struct[partitioning.key].dataType)) & (k < F.lit(between[1]).cast(struct[partitioning.key].dataType)))
         if with_partition:
             df = df.withColumn(PARTITION, partitioning.name() if partitioning else F.lit(WHOLE))
-        if columns is not None:
-            df = df.select(*columns, *([PARTITION] if with_partition else []))
+        df = df.select(*(visible(state).names if columns is None else columns), *([PARTITION] if with_partition else []))
         return df.limit(limit) if limit >= 0 else df
 
-    def _rows(self, state: dict[str, Any], struct: T.StructType, names: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
-        """The rows of some partitions as they are now; of columns at least those named."""
+    def point(self, keys: Mapping[str, Any], columns: Sequence[str] | None = None, between: tuple[Any, Any] | None = None) -> DataFrame:
+        """The rows of one key: in each folder only the file of the key's shard is read, and of partitions those that between allows."""
+        _, state = self.state()
+        schema = TableSchema.parse(state["schema"])
+        if set(keys) != set(schema.keys) or not keys:
+            raise ValueError(f"a point lookup takes the key columns {', '.join(schema.keys)}, not {', '.join(keys)}")
+        struct, names = stored(state), sorted(state["partitions"])
+        if between and state["partitioning"]:
+            names = self._overlapping(names, Partitioning(**state["partitioning"]), between)
+        values = {k: F.lit(keys[k]).cast(struct[k].dataType) for k in schema.keys}
+        by_shards: dict[int, list[str]] = {}
+        for n in names:
+            by_shards.setdefault(state["partitions"][n]["shards"], []).append(n)
+        counts = sorted(by_shards)
+        at = self.spark.range(1).select(F.array(*[F.pmod(key_hash(*values.values()), F.lit(n)) for n in counts]) if counts else F.array()).first()[0]
+        found = [self._rows(state, by_shards[n], None, shard) for n, shard in zip(counts, at)]
+        df = reduce(DataFrame.unionByName, found) if found else self.spark.createDataFrame([], struct)
+        # computed sort columns come first in each file, so their value skips the row groups of other keys
+        sorted_by = [c for c in schema.columns if c.expression and c.sort_order]
+        if sorted_by:
+            row = self.spark.range(1).select(*[v.alias(k) for k, v in values.items()]).select(*[computed(c).alias(c.name) for c in sorted_by]).first()
+            values = {c.name: F.lit(row[c.name]).cast(struct[c.name].dataType) for c in sorted_by} | values
+        for k, v in values.items():
+            df = df.where(F.col(k) == v)
+        return df.select(*(visible(state).names if columns is None else columns))
+
+    def _read(self, struct: T.StructType, paths: Sequence[str]) -> DataFrame:
+        # the folders' own columns are not wanted, so they are not looked for
+        return self.spark.read.schema(struct).option("recursiveFileLookup", True).parquet(*paths) if paths else self.spark.createDataFrame([], struct)
+
+    def _rows(self, state: Mapping[str, Any], names: Sequence[str], columns: Sequence[str] | None = None, shard: int | None = None) -> DataFrame:
+        """The rows of some partitions as they are now, or of one shard of each; of columns at least those named."""
+        struct = stored(state)
         keys = TableSchema.parse(state["schema"]).keys
         partitioning = Partitioning(**state["partitioning"]) if state["partitioning"] else None
-        folders = {n: state["partitions"][n]["paths"] for n in names}
-        plain = [p for paths in folders.values() for p in paths if len(paths) == 1 or not keys]
-        out = self.spark.read.schema(struct).parquet(*plain) if plain else self.spark.createDataFrame([], struct)
-        layered = [paths for paths in folders.values() if len(paths) > 1 and keys]
+        order = state.get("order") or []
+        layered, plain = [], []
+        for p in (state["partitions"][n] for n in names):
+            paths = p["paths"] if shard is None else shard_paths(p, shard)
+            if keys and (len(paths) > 1 or p.get("loose")):
+                layered += [paths] if paths else []
+            else:
+                plain += paths
+        out = self._read(struct, plain)
         if not layered:
             return out
-        needed = {*keys, *([partitioning.key] if partitioning else []), *(struct.names if columns is None else columns)}
+        needed = {*keys, *order, *([partitioning.key] if partitioning else []), *(struct.names if columns is None else columns)}
         kept = T.StructType([f for f in struct.fields if f.name in needed])
         by_age = [[paths[-i] for paths in layered if i <= len(paths)] for i in range(1, max(map(len, layered)) + 1)]
-        read = [self.spark.read.schema(kept).parquet(*paths).withColumn(AGE, F.lit(-i)) for i, paths in enumerate(by_age)]
+        read = [self._read(kept, paths).withColumn(AGE, F.lit(-i)) for i, paths in enumerate(by_age)]
         rows = reduce(DataFrame.unionByName, read).withColumn(PARTITION, partitioning.name() if partitioning else F.lit(WHOLE))
-        newest = last_rows(rows, [PARTITION, *keys], [AGE]).select(*kept.names)
+        newest = last_rows(rows, [PARTITION, *keys], [AGE, *order]).select(*kept.names)
         return out.select(*kept.names).unionByName(newest) if plain else newest
 
     def _overlapping(self, names: list[str], p: Partitioning, between: tuple[Any, Any]) -> list[str]:
@@ -176,87 +223,186 @@ class KeyedTable:
         low, high = (F.lit(x).cast("timestamp_ntz") for x in between)
         return [r[0] for r in n.where((begin < high) & (parts.end(begin, p.scale) > low)).orderBy("name").collect()]
 
+    def history(self) -> DataFrame:
+        """(version, rows, partitions, writer, batch, piece, pieces): what each version in the log added; merges and the like add no rows."""
+        rows = []
+        for v in self.log.versions():
+            c = self.log.change(v).get("commit")
+            if c:
+                rows.append((v, c["rows"], c["partitions"], *c["batch"], c["piece"], c["pieces"]))
+        return self.spark.createDataFrame(rows, "version long, rows long, partitions long, writer string, batch long, piece long, pieces long")
+
     # writing
 
-    def upsert(self, rows: DataFrame, order_by: Sequence[str] = (), batch: tuple[str, int] | None = None, retries: int = 5, now: str | None = None) -> Committed:
-        """Writes rows; of rows with one key the last by order_by stays, and it replaces the row that the table has.
+    def prepared(self, rows: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+        """rows with the table's columns, each key once, and their PARTITION."""
+        _, state = self.state()
+        schema = TableSchema.parse(state["schema"])
+        full = self._typed(rows, schema, order_by)
+        partitioning = Partitioning(**state["partitioning"]) if state["partitioning"] else None
+        full = full.withColumn(PARTITION, partitioning.name() if partitioning else F.lit(WHOLE))
+        last = last_rows(full, [PARTITION, *schema.keys], [f"__o{i}" for i in range(len(order_by))]) if schema.keys else full
+        return last.select(*stored(state).names, PARTITION)
 
-        Without keys the rows are added. A conflicting commit is retried against the new state.
-        """
+    def arranged(self, rows: DataFrame) -> DataFrame:
+        """rows for a write through Spark's format: with the computed columns, and each shard in one task, so that it becomes one file."""
         _, state = self.state()
         schema = TableSchema.parse(state["schema"])
+        partitioning = Partitioning(**state["partitioning"]) if state["partitioning"] else None
+        out = self._typed(rows, schema, ()).withColumn(PARTITION, partitioning.name() if partitioning else F.lit(WHOLE))
+        keys = [F.col(k) for k in schema.keys]
+        # shards of a partition that exists; a new one gets the least number
+        sizes = F.create_map(*[F.lit(x) for n, p in state["partitions"].items() for x in (n, p["shards"])]) if state["partitions"] else None
+        size = F.coalesce(sizes[F.col(PARTITION)], F.lit(state["shards"])) if sizes is not None else F.lit(state["shards"])
+        return out.repartition(PARTITION, F.pmod(key_hash(*keys), size)).drop(PARTITION) if keys else out.repartition(PARTITION).drop(PARTITION)
+
+    def _typed(self, rows: DataFrame, schema: TableSchema, order_by: Sequence[str]) -> DataFrame:
+        """rows in the schema's columns and types, missing ones null, and then the computed ones."""
         schema.check_covers(rows.schema)
-        struct = schema.write_schema().struct()
         missing = [c.name for c in schema.write_schema().columns if c.required and c.name not in rows.columns]
         if missing:
             raise ValueError(f"required columns are missing: {', '.join(missing)}")
-        partitioning = Partitioning(**state["partitioning"]) if state["partitioning"] else None
-        full = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in struct.fields], *[F.col(c).alias(f"__o{i}") for i, c in enumerate(order_by)])
-        full = full.withColumn(PARTITION, partitioning.name() if partitioning else F.lit(WHOLE))
-        last = last_rows(full, [PARTITION, *schema.keys], [f"__o{i}" for i in range(len(order_by))]) if schema.keys else full
-        last = last.select(*struct.names, PARTITION).persist()
-        try:
-            for attempt in range(retries + 1):
-                try:
-                    return self._merge(last, schema, partitioning, batch, now)
-                except Conflict:
-                    if attempt == retries:
-                        raise
-            raise AssertionError
-        finally:
-            last.unpersist()
+        given = schema.write_schema().struct().fields
+        order = [F.col(c).alias(f"__o{i}") for i, c in enumerate(order_by)]
+        out = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in given], *order)
+        return out.withColumns({c.name: computed(c) for c in schema.columns if c.expression})
 
-    def _merge(self, rows: DataFrame, schema: TableSchema, partitioning: Partitioning | None, batch: tuple[str, int] | None, now: str | None) -> Committed:
+    def upsert(self, rows: DataFrame, order_by: Sequence[str] = (), batch: tuple[str, int] | None = None, retries: int = 5, now: str | None = None, rows_limit: int | None = None, timeout: float | None = None) -> Committed:
+        """Writes rows; of rows with one key the last by order_by stays, and it replaces the row that the table has.
+
+        Without keys the rows are added. With rows_limit no version adds more rows: the batch is cut by key order and committed piece after
+        piece, and a batch that is tried again goes on after the pieces that it has committed. Data are written once, also where commits
+        conflict. A write that takes longer than timeout seconds before its last commit fails with TimeoutError. An error has the number of rows as rows_seen once
+        they are counted.
+        """
         version, state = self.state()
+        if state.get("mounted", MOUNTED) != MOUNTED:
+            raise NotMounted(f"{self.path} is {state['mounted']}")
         if batch and state["batches"].get(batch[0], -1) >= batch[1]:
             return Committed(version, False)
-        counts = {r[0]: r[1] for r in rows.groupBy(PARTITION).count().collect()}
-        touched, known = sorted(counts), state["partitions"]
-        struct = schema.write_schema().struct()
-        folder = self._write(rows, schema, {n: self._shards(state, n, counts[n]) for n in touched})
-        expires = self._expiry([n for n in touched if n not in known], partitioning, now)
-        for n in touched:
-            was = known.get(n, {"paths": [], "rows": 0, "expires": expires.get(n)})
-            known[n] = {**was, "paths": [*was["paths"], place(folder, n)], "rows": was["rows"] + counts[n], "shards": self._shards(state, n, was["rows"] + counts[n])}
-        full = [n for n in touched if len(known[n]["paths"]) > DELTAS]
-        if full:
-            whole = self._rows(state, struct, full).withColumn(PARTITION, partitioning.name() if partitioning else F.lit(WHOLE))
-            merged = self._write(whole, schema, {n: known[n]["shards"] for n in full})
-            for n in full:
-                known[n]["paths"] = [place(merged, n)]
-        if batch:
-            state["batches"][batch[0]] = batch[1]
-        return Committed(self.log.commit(version, state), True, touched)
-
-    def _shards(self, state: dict[str, Any], name: str, rows: int) -> int:
-        """As many shards as the rows need, and no fewer than the partition has or its rule says."""
-        least = state["partitions"].get(name, {}).get("shards")
-        if least is None and state["last_partitions"] and state["partitions"]:
+        schema, until = TableSchema.parse(state["schema"]), timeout and time.monotonic() + timeout
+        last = self.prepared(rows, order_by).persist()
+        try:
+            if rows_limit is None:
+                return self._write_all(last.withColumn(PIECE, F.lit(0)), schema, batch, retries, now, until)
+            sortable = schema.keys or [f.name for f in stored(state).fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+            with numbered(last, [PARTITION, *sortable], "__n") as rows:
+                return self._write_all(rows.withColumn(PIECE, F.expr(f"cast(__n div {rows_limit} as int)")).drop("__n"), schema, batch, retries, now, until)
+        finally:
+            last.unpersist()
+
+    def _write_all(self, rows: DataFrame, schema: TableSchema, batch: tuple[str, int] | None, retries: int, now: str | None, until: float | None) -> Committed:
+        counts = {(r[0], r[1]): r[2] for r in rows.groupBy(PIECE, PARTITION).count().collect()}
+        total, pieces = sum(counts.values()), max((p for p, _ in counts), default=0) + 1
+        try:
+            _, state = self.state()
+            shards = self._shard_plan(state, counts)
+            folder, holds = self._write(rows, schema, shards)
+            done, touched = None, set()
+            for piece in range(pieces):
+                own = {n: c for (p, n), c in counts.items() if p == piece}
+                for attempt in range(retries + 1):
+                    version, state = self.state()
+                    opened = state.get("open", {}).get(batch[0]) if batch else None
+                    if batch and state["batches"].get(batch[0], -1) >= batch[1]:
+                        # another attempt has finished the batch
+                        return done or Committed(version, False)
+                    if opened and opened[0] == batch[1] and opened[1] > piece:
+                        break
+                    if until and time.monotonic() > until:
+                        raise TimeoutError(f"the write of {total} rows took longer than its transaction may")
+                    try:
+                        moved = {n for n in own if state["partitions"].get(n, {}).get("shards", shards[n]) != shards[n]}
+                        if moved:  # shards have grown in between: write again what they hold
+                            shards |= self._shard_plan(state, {(0, n): own[n] for n in moved})
+                            again, more = self._write(rows.where((F.col(PIECE) == piece) & F.col(PARTITION).isin(sorted(moved))), schema, {n: shards[n] for n in moved})
+                            holds |= more
+                        else:
+                            again = folder
+                        paths = {n: place(again if n in moved else folder, n, piece) for n in own}
+                        change = self._change(state, own, paths, holds, shards, schema, now, merge=pieces == 1)
+                        change["commit"] = {"rows": sum(own.values()), "partitions": len(own), "batch": batch or [None, None], "piece": piece, "pieces": pieces}
+                        if batch:
+                            final = piece == pieces - 1
+                            change |= {"batches": {batch[0]: batch[1]}, "open": {batch[0]: None}} if final else {"open": {batch[0]: [batch[1], piece + 1]}}
+                        touched |= set(own)
+                        done = Committed(self.log.commit(version, change), True, sorted(touched), total)
+                        break
+                    except Conflict:
+                        if attempt == retries:
+                            raise
+            if pieces > 1:
+                self.compact(DELTAS, sorted(touched))
+            return done or Committed(self.state()[0], False)
+        except Exception as e:
+            e.rows_seen = total
+            raise
+
+    def _shard_plan(self, state: Mapping[str, Any], counts: Mapping[tuple[int, str], int]) -> dict[str, int]:
+        sums: dict[str, int] = {}
+        for (_, n), c in counts.items():
+            sums[n] = sums.get(n, 0) + c
+        return {n: state["partitions"].get(n, {}).get("shards") or self._shards(state, n, c) for n, c in sums.items()}
+
+    def _change(self, state: Mapping[str, Any], counts: Mapping[str, int], paths: Mapping[str, str], holds: Mapping[str, Sequence[int]], shards: Mapping[str, int], schema: TableSchema, now: str | None, merge: bool) -> dict[str, Any]:
+        """What adding these folders changes. Partitions with many folders, and those that outgrow their shards, are merged."""
+        known = state["partitions"]
+        expires = self._expiry([n for n in counts if n not in known], Partitioning(**state["partitioning"]) if state["partitioning"] else None, now)
+        touched = {}
+        for n, c in counts.items():
+            was = known.get(n, {"paths": [], "rows": 0, "expires": expires.get(n), "shards": shards[n]})
+            touched[n] = entry(was, [*was["paths"], paths[n]], holds, rows=was["rows"] + c)
+        if merge:
+            grown = {n: self._shards(state, n, p["rows"]) for n, p in touched.items()}
+            full = sorted(n for n, p in touched.items() if len(p["paths"]) > DELTAS or grown[n] != p["shards"])
+            touched |= self._merged({**state, "partitions": {**known, **touched}}, full, schema, grown)
+        return {"partitions": touched}
+
+    def _merged(self, state: Mapping[str, Any], names: Sequence[str], schema: TableSchema, shards: Mapping[str, int]) -> dict[str, Any]:
+        """The entries of partitions after their folders are merged into one each."""
+        if not names:
+            return {}
+        partitioning = Partitioning(**state["partitioning"]) if state["partitioning"] else None
+        whole = self._rows(state, names).withColumn(PARTITION, partitioning.name() if partitioning else F.lit(WHOLE)).withColumn(PIECE, F.lit(0))
+        folder, holds = self._write(whole, schema, {n: shards[n] for n in names})
+        return {n: entry(state["partitions"][n], [place(folder, n)], holds, shards=shards[n]) for n in names}
+
+    def _shards(self, state: Mapping[str, Any], name: str, rows: int) -> int:
+        """As many shards as the rows need, and no fewer than its rule says; those of a partition that exists are doubled until they suffice."""
+        need = -(-rows // SHARD_ROWS)
+        own = state["partitions"].get(name, {}).get("shards")
+        if own is not None:
+            while own < need:
+                own *= 2
+            return own
+        least = state["shards"]
+        if state["last_partitions"] and state["partitions"]:
             least = last_partitions_count(self._partition_table(state), name, state["last_partitions"], state["shards"]).first()[0]
-        return max(least or state["shards"], -(-rows // SHARD_ROWS))
+        return max(least, need)
+
+    def _write(self, rows: DataFrame, schema: TableSchema, shards: Mapping[str, int]) -> tuple[str, dict[str, list[int]]]:
+        """Writes rows with their PIECE and PARTITION, each partition in its number of shards by hash of the key, or of the row where there is none.
 
-    def _write(self, rows: DataFrame, schema: TableSchema, shards: dict[str, int]) -> str:
-        """Writes rows with their PARTITION, each partition in its number of shards by hash of the key, or of the row where there is none."""
+        The folder, and for the paths that lack some of their shards those that they hold.
+        """
         folder = f"{self.path}/data/{uuid.uuid4().hex}"
-        sizes = self.spark.createDataFrame([(n, k) for n, k in shards.items()] or [("", 1)], "__name string, __shards int")
-        hashable = [f.name for f in schema.write_schema().struct().fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-        shard = F.pmod(key_hash(*[F.col(k) for k in schema.keys or hashable]), F.col("__shards"))
-        placed = rows.join(F.broadcast(sizes), F.col(PARTITION) == F.col("__name")).withColumn(SHARD, shard)
-        placed.repartition(PARTITION, SHARD).drop(SHARD, "__name", "__shards").sortWithinPartitions(PARTITION, *schema.keys).write.partitionBy(PARTITION).parquet(folder)
-        return folder
-
-    def compact(self) -> int:
-        """Merges the folders of each partition that has several, in one commit; the version."""
+        placed = sharded(rows, schema, shards).repartition(PIECE, PARTITION, SHARD)
+        placed.sortWithinPartitions(PIECE, PARTITION, SHARD, *[c.name for c in schema.columns if c.sort_order]).write.partitionBy(PIECE, PARTITION, SHARD).parquet(folder)
+        if max(shards.values(), default=1) == 1:
+            return folder, {}
+        held = sharded(rows.select(PIECE, PARTITION, *hashed(schema)), schema, shards).groupBy(PIECE, PARTITION).agg(F.collect_set(SHARD).alias("s"))
+        some = [(place(folder, r[1], r[0]), sorted(r["s"]), shards[r[1]]) for r in held.collect()]
+        return folder, {path: own for path, own, n in some if len(own) < n}
+
+    def compact(self, more_than: int = 1, names: Sequence[str] | None = None) -> int:
+        """Merges the folders of each partition, or those named, that has more than so many, in one commit; the version."""
         version, state = self.state()
-        several = sorted(n for n, p in state["partitions"].items() if len(p["paths"]) > 1)
+        wanted = state["partitions"] if names is None else {n: state["partitions"][n] for n in names if n in state["partitions"]}
+        grown = {n: self._shards(state, n, p["rows"]) for n, p in wanted.items()}
+        several = sorted(n for n, p in wanted.items() if len(p["paths"]) > more_than or p.get("loose") or grown[n] != p["shards"])
         if not several:
             return version
-        schema = TableSchema.parse(state["schema"])
-        whole = self._rows(state, schema.write_schema().struct(), several).withColumn(PARTITION, self.partitioning.name() if self.partitioning else F.lit(WHOLE))
-        folder = self._write(whole, schema, {n: state["partitions"][n]["shards"] for n in several})
-        for n in several:
-            state["partitions"][n]["paths"] = [place(folder, n)]
-        return self.log.commit(version, state)
+        return self.log.commit(version, {"partitions": self._merged(state, several, TableSchema.parse(state["schema"]), grown)})
 
     def _expiry(self, names: list[str], p: Partitioning | None, now: str | None) -> dict[str, str | None]:
         if not p or not names:
@@ -270,27 +416,106 @@ class KeyedTable:
         """Takes the partitions that have expired out of the table."""
         version, state = self.state()
         gone = sorted(n for n, p in state["partitions"].items() if p["expires"] and p["expires"] <= now)
-        for n in gone:
-            del state["partitions"][n]
         if gone:
-            self.log.commit(version, state)
+            self.log.commit(version, {"partitions": dict.fromkeys(gone)})
         return gone
 
     def vacuum(self) -> int:
-        """Deletes data folders that the last version doesn't name; returns how many. Not while writers run."""
+        """Deletes data folders that the last version doesn't name, and versions before the last checkpoint; returns how many folders. Not while writers run."""
         _, state = self.state()
-        used = {path.rsplit("/", 1)[0].rsplit("/", 1)[1] for p in state["partitions"].values() for path in p["paths"]}
-        folder = self.log.hadoop.Path(f"{self.path}/data")
-        if not self.log.fs().exists(folder):
-            return 0
-        old = [s.getPath() for s in self.log.fs().listStatus(folder) if s.getPath().getName() not in used]
-        for p in old:
-            self.log.fs().delete(p, True)
+        used = {path.removeprefix(f"{self.path}/data/").split("/", 1)[0] for p in state["partitions"].values() for path in p["paths"]}
+        old = [n for n in self.files.names(f"{self.path}/data") if n not in used]
+        for n in old:
+            self.files.delete(f"{self.path}/data/{n}")
+        self.log.prune()
         return len(old)
 
+    # mount states: a table that isn't mounted is read, but not written
+
+    def mounted(self) -> str:
+        return self.state()[1].get("mounted", MOUNTED)
+
+    def unmount(self) -> int:
+        version, _ = self.state()
+        return self.log.commit(version, {"mounted": UNMOUNTED})
+
+    def mount(self, attempts: int = 5, backoff: float = 5.0, sleep: Callable[[float], None] = time.sleep) -> None:
+        """Mounts the table unless it is mounted; when another commit comes between, waits and looks again, so many times."""
+        for attempt in range(attempts + 1):
+            version, state = self.state()
+            if state.get("mounted", MOUNTED) == MOUNTED:
+                return
+            if attempt == attempts:
+                raise NotMounted(f"{self.path} is still {state['mounted']} after {attempts} attempts")
+            try:
+                self.log.commit(version, {"mounted": MOUNTED})
+                return
+            except Conflict:
+                sleep(backoff)
+
+    def wait_mounted(self, timeout: float = 300.0, poll: float = 1.0, sleep: Callable[[float], None] = time.sleep) -> bool:
+        """Waits until someone has mounted the table; when that takes too long it only warns."""
+        waited = 0.0
+        while self.mounted() != MOUNTED:
+            if waited >= timeout:
+                logger.warning("%s isn't mounted after %s s", self.path, timeout)
+                return False
+            sleep(poll)
+            waited += poll
+        return True
+
+
+class NotMounted(RuntimeError):
+    pass
+
+
+def computed(c: ColumnSpec) -> Column:
+    """A computed column's value. Hashes of the store are xxhash64 here; a hash in an unsigned column is read as unsigned."""
+    value = F.expr(re.sub(r"\b(farm_hash|hash)\s*\(", "xxhash64(", c.expression))
+    kind = STORE_TYPES[c.type]
+    if c.type != "uint64":
+        return value.cast(kind)
+    # whole numbers keep their bits, as the store's unsigned arithmetic does
+    return to_unsigned(value.cast("bigint"))
+
+
+def stored(state: Mapping[str, Any]) -> T.StructType:
+    """The columns that a table's files hold, computed ones included."""
+    return TableSchema.parse(state["schema"]).struct()
+
+
+def visible(state: Mapping[str, Any]) -> T.StructType:
+    """The columns that a scan gives when none are named."""
+    return TableSchema.parse(state["schema"]).write_schema().struct()
+
+
+def shard_paths(partition: Mapping[str, Any], shard: int) -> list[str]:
+    """The folders of one shard of a partition, oldest first, without those that hold no row of it."""
+    holds = partition.get("holds", {})
+    return [f"{p}/{SHARD}={shard}" for p in partition["paths"] if p not in holds or shard in holds[p]]
+
+
+def entry(was: Mapping[str, Any], paths: Sequence[str], holds: Mapping[str, Sequence[int]], **changes: Any) -> dict[str, Any]:
+    """A partition's entry with other paths. holds names the shards of the paths that lack some."""
+    kept = {p: h for p, h in {**was.get("holds", {}), **holds}.items() if p in paths}
+    loose = [p for p in was.get("loose", []) if p in paths]
+    return {k: v for k, v in {**was, **changes, "paths": list(paths), "holds": kept, "loose": loose}.items() if v or k not in ("holds", "loose")}
+
+
+def place(folder: str, name: str, piece: int = 0) -> str:
+    return f"{folder}/{PIECE}={piece}/{PARTITION}={escaped(name)}"
+
+
+def hashed(schema: TableSchema) -> list[str]:
+    """The columns whose hash decides the shard."""
+    return schema.keys or [f.name for f in schema.write_schema().struct().fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+
 
-def place(folder: str, name: str) -> str:
-    return f"{folder}/{PARTITION}={escaped(name)}"
+def sharded(rows: DataFrame, schema: TableSchema, shards: Mapping[str, int]) -> DataFrame:
+    """rows that have their PARTITION, with their SHARD."""
+    sizes = rows.sparkSession.createDataFrame(list(shards.items()) or [("", 1)], "__name string, __shards int")
+    shard = F.pmod(key_hash(*[F.col(k) for k in hashed(schema)]), F.col("__shards")).cast("int")
+    return rows.join(F.broadcast(sizes), F.col(PARTITION) == F.col("__name")).withColumn(SHARD, shard).drop("__name", "__shards")
 
 
 def escaped(name: str) -> str:
@@ -315,5 +540,11 @@ def create_from(spark: SparkSession, options: Any, locks: LocksProvider | None =
     table = KeyedTable(spark, TablePath(path or options["path"], None), locks)
     if options["eager-initialization"] or not table.exists():
         last = options["reshard.last-partitions-count"] if options["reshard.strategy"] == "LAST_PARTITIONS" else None
-        table.create(options.schema, p, options.attributes(), options["reshard.tablet-count"] or 1, last)
+        created = table.create(options.schema, p, options.attributes(), options["reshard.tablet-count"] or 1, last, mounted=False)
+        if created or options["mount-mode"] == "ALWAYS":
+            if table.mounted() != MOUNTED:
+                with locked(table.locks, table.path, Mode.EXCLUSIVE):
+                    table.mount()
+        else:
+            table.wait_mounted()
     return table

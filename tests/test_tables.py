@@ -357,12 +357,8 @@ def test_metrics_are_published_with_the_commit(spark):
 
 def test_rows_are_numbered_in_order(spark):
     df = spark.range(1000).select((F.lit(999) - F.col("id")).alias("k"), F.uuid().alias("more")).repartition(7)
-    assert all(r.k == r.n for r in batches.numbered(df, ["k"]).collect())
-
-
-def test_a_full_modification_is_flushed(spark):
-    got = batches.commit_batches(spark.range(1001), ["id"]).orderBy("modification").collect()
-    assert [r.n_rows for r in got] == [1000, 1]
+    with batches.numbered(df, ["k"]) as rows:
+        assert all(r.k == r.n for r in rows.collect())
 
 
 def test_locks(spark, where):
