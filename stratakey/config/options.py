@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from datetime import timedelta
 from typing import Any
 
-from ..functions.partition import SCALES, check_key
+from ..functions.partition import SCALES, Partitioning, check_key
 from ..functions.shard import check_resharding
 from ..nodetext import parse
 from ..schema import TableSchema
@@ -193,6 +193,11 @@ class TableOptions:
         custom |= {k.removeprefix("attributes."): v for k, v in self.properties.items() if k.startswith("attributes.")}
         return out | {k: parse(v) for k, v in custom.items()}
 
+    def partitioning(self) -> Partitioning | None:
+        if not self["partition-key"]:
+            return None
+        return Partitioning(self["partition-key"], self["partition-scale"], self["partition-ttl-day-cnt"], self["partition-ttl-in-days-from-creation"], self["min-partition-ttl"])
+
     def metrics(self) -> dict[str, str]:
         """Metric name to column, from properties.data_metrics.timestamp.<metric>.column."""
         found = (re.fullmatch(r"data_metrics\.timestamp\.(.+)\.column", k) for k in self.properties)

@@ -80,3 +80,17 @@ def expiry(ts: Column, scale: str, now: Column, ttl_days: int | None = None, fro
 
 def expiry_text(ts: Column) -> Column:
     return F.concat(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), F.lit("+00:00"))
+
+
+@dataclass(frozen=True)
+class Partitioning:
+    """How a table is cut into partitions, and when they expire."""
+
+    key: str
+    scale: str
+    ttl_days: int | None = None
+    from_creation_days: int | None = None
+    min_ttl_days: int | None = 20
+
+    def name(self) -> Column:
+        return name(instant(F.col(self.key)), self.scale)

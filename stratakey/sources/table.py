@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import partition as parts
+from ..functions.partition import Partitioning
 from ..functions.shard import key_hash, last_partitions_count, to_unsigned
 from ..locks import LocksProvider, Mode, NoLocks, do_unless, locked
 from ..operators.batches import numbered
@@ -56,18 +57,6 @@ class TablePath:
         return f"{base}/{self.name or base.rsplit('/', 1)[-1]}"
 
 
-@dataclass(frozen=True)
-class Partitioning:
-    key: str
-    scale: str
-    ttl_days: int | None = None
-    from_creation_days: int | None = None
-    min_ttl_days: int | None = 20
-
-    def name(self) -> Column:
-        return parts.name(parts.instant(F.col(self.key)), self.scale)
-
-
 @dataclass
 class Committed:
     """What a write did: its version, and whether it was the first to commit this batch."""
@@ -95,10 +84,7 @@ class KeyedTable:
         shards is the least number of shards of a partition; with last_partitions a new one gets as many as the mean of so many before it.
         A table made without being mounted takes writes only after mount().
         """
-        if partitioning:
-            parts.scale_of(partitioning.scale)
-            parts.check_key(schema.struct()[partitioning.key].dataType)
-        state = {"schema": schema.dump(), "partitioning": partitioning and vars(partitioning), "attributes": {"dynamic": True} | (attributes or {}), "shards": shards, "last_partitions": last_partitions, "partitions": {}, "batches": {}, "open": {}, "mounted": MOUNTED if mounted else UNMOUNTED}
+        state = initial_state(schema, partitioning, attributes, shards, last_partitions, mounted)
 
         def make() -> None:
             try:
@@ -321,7 +307,7 @@ class KeyedTable:
                             again = folder
                         paths = {n: place(again if n in moved else folder, n, piece) for n in own}
                         change = self._change(state, own, paths, holds, shards, schema, now, merge=pieces == 1)
-                        change["commit"] = {"rows": sum(own.values()), "partitions": len(own), "batch": batch or [None, None], "piece": piece, "pieces": pieces}
+                        change["commit"] = {"rows": sum(own.values()), "partitions": len(own), "batch": batch or [None, None], "piece": piece, "pieces": pieces, "added": list(paths.values())}
                         if batch:
                             final = piece == pieces - 1
                             change |= {"batches": {batch[0]: batch[1]}, "open": {batch[0]: None}} if final else {"open": {batch[0]: [batch[1], piece + 1]}}
@@ -479,6 +465,17 @@ def computed(c: ColumnSpec) -> Column:
     return to_unsigned(value.cast("bigint"))
 
 
+def initial_state(schema: TableSchema, partitioning: Partitioning | None = None, attributes: dict[str, Any] | None = None, shards: int = 1, last_partitions: int | None = None, mounted: bool = True) -> dict[str, Any]:
+    """What the first version of a table says."""
+    if partitioning:
+        parts.scale_of(partitioning.scale)
+        parts.check_key(schema.struct()[partitioning.key].dataType)
+    return {
+        "schema": schema.dump(), "partitioning": partitioning and vars(partitioning), "attributes": {"dynamic": True} | (attributes or {}), "shards": shards, "last_partitions": last_partitions,
+        "partitions": {}, "batches": {}, "open": {}, "mounted": MOUNTED if mounted else UNMOUNTED,
+    }
+
+
 def stored(state: Mapping[str, Any]) -> T.StructType:
     """The columns that a table's files hold, computed ones included."""
     return TableSchema.parse(state["schema"]).struct()
@@ -534,13 +531,10 @@ def last_rows(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> Da
 
 def create_from(spark: SparkSession, options: Any, locks: LocksProvider | None = None, path: str | None = None) -> KeyedTable:
     """The table of parsed options at their path or another, created if it is missing."""
-    p = None
-    if options["partition-key"]:
-        p = Partitioning(options["partition-key"], options["partition-scale"], options["partition-ttl-day-cnt"], options["partition-ttl-in-days-from-creation"], options["min-partition-ttl"])
     table = KeyedTable(spark, TablePath(path or options["path"], None), locks)
     if options["eager-initialization"] or not table.exists():
         last = options["reshard.last-partitions-count"] if options["reshard.strategy"] == "LAST_PARTITIONS" else None
-        created = table.create(options.schema, p, options.attributes(), options["reshard.tablet-count"] or 1, last, mounted=False)
+        created = table.create(options.schema, options.partitioning(), options.attributes(), options["reshard.tablet-count"] or 1, last, mounted=False)
         if created or options["mount-mode"] == "ALWAYS":
             if table.mounted() != MOUNTED:
                 with locked(table.locks, table.path, Mode.EXCLUSIVE):
