@@ -11,14 +11,21 @@ import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
+from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..locks import LockError
 from ..schema import TableSchema
+from ..sources.files import JvmFiles, shared_path
+from ..sources.log import Conflict
+from ..sources.roots import NoRoot
 from ..sources.table import PARTITION, KeyedTable
 
+ASKED, FOUND, WRITTEN, USED = "__asked", "__found", "__written", "__used"
 LOOKUP, SELECT = "LOOKUP", "SELECT"
 
 
@@ -88,8 +95,9 @@ class DimensionCache:
     """A dimension for repeated lookups. load reads it.
 
     NONE reads it each time. FULL keeps it whole and reads it again at intervals (PERIODIC) or at a time of day (TIMED).
-    PARTIAL is FULL with another expiry: it too keeps the whole dimension, for a time after it was read or used, with one clock
-    for all rows, and gives out the rows of the keys asked. max_rows and cache-missing-key have no effect.
+    PARTIAL keeps the rows of the keys that were asked for, and, with missing, which keys have none: a table of the shared folder, an
+    entry a row or absent key with the times when it was read and last used. An entry goes a time after either; of more than max_rows entries the longest
+    unused go. Only keys without an entry are looked up, by a semi-join with what load gives.
     """
 
     load: Callable[[], DataFrame]
@@ -101,11 +109,16 @@ class DimensionCache:
     expire_after_write: timedelta | None = None
     expire_after_access: timedelta | None = None
     max_rows: int | None = None
+    missing: bool = True
     clock: Callable[[], float] = time.time
     loads: int = field(default=0, init=False)
+    #: PARTIAL: keys looked up in the dimension, and keys found here
+    looked_up: int = field(default=0, init=False)
+    hits: int = field(default=0, init=False)
     _held: DataFrame | None = field(default=None, init=False)
+    _folder: str | None = field(default=None, init=False)
+    _old: list[str] = field(default_factory=list, init=False)
     _read: float = field(default=0.0, init=False)
-    _used: float = field(default=0.0, init=False)
 
     def __post_init__(self) -> None:
         if self.mode not in ("NONE", "PARTIAL", "FULL"):
@@ -118,20 +131,16 @@ class DimensionCache:
         o = options
         return cls(
             load, o["lookup.cache"], o["lookup.full-cache.reload-strategy"], o["lookup.full-cache.periodic-reload.interval"] or timedelta(minutes=10), o["lookup.full-cache.timed-reload.iso-time"] or "00:00",
-            o["lookup.full-cache.timed-reload.interval-in-days"], o["lookup.partial-cache.expire-after-write"], o["lookup.partial-cache.expire-after-access"], o["lookup.partial-cache.max-rows"],
+            o["lookup.full-cache.timed-reload.interval-in-days"], o["lookup.partial-cache.expire-after-write"], o["lookup.partial-cache.expire-after-access"], o["lookup.partial-cache.max-rows"], o["lookup.partial-cache.cache-missing-key"],
         )
 
     def _stale(self) -> bool:
         now = self.clock()
         if self._held is None:
             return True
-        if self.mode == "FULL" and self.reload == "PERIODIC":
+        if self.reload == "PERIODIC":
             return now - self._read >= self.interval.total_seconds()
-        if self.mode == "FULL":
-            return now >= self._next_time()
-        old = self.expire_after_write and now - self._read >= self.expire_after_write.total_seconds()
-        idle = self.expire_after_access and now - self._used >= self.expire_after_access.total_seconds()
-        return bool(old or idle)
+        return now >= self._next_time()
 
     def _next_time(self) -> float:
         h, m = (int(x) for x in self.at.split(":")[:2])
@@ -146,28 +155,95 @@ class DimensionCache:
         if self.mode == "NONE":
             self.loads += 1
             return self.load()
+        if self.mode == "PARTIAL":
+            if asked is None:
+                raise ValueError("a PARTIAL cache needs the keys that are asked for")
+            return self._partial(asked)
         if self._stale():
             self.clear()
             self._held, self._read = self.load().persist(), self.clock()
             self.loads += 1
-        self._used = self.clock()
-        if self.mode == "FULL" or asked is None:
-            return self._held
-        return self._held.join(asked.distinct(), asked.columns, "left_semi")
+        return self._held
+
+    def _partial(self, asked: DataFrame) -> DataFrame:
+        spark, keys, now = asked.sparkSession, asked.columns, F.lit(self.clock())
+        # a null key finds nothing, here or there
+        asked = asked.dropna().distinct()
+        live = self._live()
+        known = live.select(*keys).distinct() if live is not None else None
+        folder = shared_path(spark, "partial-cache")
+        wanted = asked.join(known, keys, "left_anti") if known is not None else asked
+        wanted.write.parquet(f"{folder}/wanted")
+        wanted = spark.read.schema(asked.schema).parquet(f"{folder}/wanted")
+        n = wanted.count()
+        self.looked_up += n
+        parts = []
+        if n or live is None:
+            self.loads += 1
+            found = self.load().join(wanted, keys, "left_semi").withColumns({ASKED: F.lit(True), FOUND: F.lit(True), WRITTEN: now, USED: now})
+            parts.append(found)
+            if self.missing:
+                found_keys = found.select(*keys).distinct()
+                rest = [F.lit(None).cast(f.dataType).alias(f.name) for f in found.schema.fields if f.name not in (*keys, ASKED, FOUND, WRITTEN, USED)]
+                absent = wanted.join(found_keys, keys, "left_anti").select(*keys, *rest, F.lit(True).alias(ASKED), F.lit(False).alias(FOUND), now.alias(WRITTEN), now.alias(USED))
+                parts.append(absent.select(*found.columns))
+        if live is not None:
+            hit = asked.withColumn("__hit", F.lit(True))
+            kept = live.join(hit, keys, "left").withColumn(ASKED, F.coalesce("__hit", F.lit(False))).withColumn(USED, F.when(F.col(ASKED), now).otherwise(F.col(USED)))
+            parts.append(kept.select(*live.columns))
+        state = reduce(DataFrame.unionByName, parts)
+        state.write.parquet(f"{folder}/all")
+        out = spark.read.schema(state.schema).parquet(f"{folder}/all")
+        size, of_asked = out.agg(F.count(F.lit(1)), F.count(F.when(F.col(ASKED) & (F.col(WRITTEN) < now), 1))).first()
+        self.hits += of_asked
+        if self._folder:
+            self._old.append(self._folder)
+        self._held, self._folder = out, folder
+        if self.max_rows is not None and size > self.max_rows:
+            out.orderBy(F.col(USED).desc(), F.col(WRITTEN).desc(), *keys).limit(self.max_rows).write.parquet(f"{folder}/kept")
+            self._held = spark.read.schema(state.schema).parquet(f"{folder}/kept")
+        # a caller may still read what the lookup before this one gave
+        while len(self._old) > 1:
+            JvmFiles(spark).delete(self._old.pop(0))
+        return out.where(F.col(ASKED) & F.col(FOUND)).drop(ASKED, FOUND, WRITTEN, USED)
+
+    def _live(self) -> DataFrame | None:
+        """The entries that have not expired."""
+        if self._held is None:
+            return None
+        out, now = self._held, self.clock()
+        for limit, column in ((self.expire_after_write, WRITTEN), (self.expire_after_access, USED)):
+            if limit:
+                out = out.where(F.col(column) + limit.total_seconds() > now)
+        return out
 
     def clear(self) -> None:
-        if self._held is not None:
+        if self._held is None:
+            return
+        if self._folder:
+            for folder in (*self._old, self._folder):
+                JvmFiles(self._held.sparkSession).delete(folder)
+            self._folder = None
+            self._old.clear()
+        else:
             self._held.unpersist()
-            self._held = None
+        self._held = None
+
+
+def passing(e: Exception) -> bool:
+    """Whether trying again can help: files and services that don't answer, locks and commits that someone else had. Wrong queries and wrong data stay wrong."""
+    if isinstance(e, PySparkException):
+        return any(x in str(e) for x in ("FAILED_READ_FILE", "PATH_NOT_FOUND", "FileNotFoundException", "FileNotFoundError", "java.io.IOException", "java.net."))
+    return isinstance(e, (OSError, LockError, Conflict, NoRoot))
 
 
 def with_retries(work: Callable[[], DataFrame], attempts: int = 5, first: float = 10.0, most: float = 120.0, give_up: Callable[[], bool] = lambda: False, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
-    """work(), tried anew with growing waits; give_up ends it early."""
+    """work(), tried anew with growing waits if another attempt can help (passing); give_up ends it early."""
     for i in range(attempts):
         try:
             return work()
-        except Exception:
-            if i == attempts - 1 or give_up():
+        except Exception as e:
+            if i == attempts - 1 or give_up() or not passing(e):
                 raise
             sleep(min(most, first * 2**i))
     raise ValueError("attempts must be positive")

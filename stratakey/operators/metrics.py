@@ -77,8 +77,10 @@ def observed_write(df: DataFrame, write: Callable[[DataFrame], Any], name: str,
     seen = Observation()
     try:
         out = write(df.observe(seen, *metric_columns(df, tracked, maxima)))
-    except Exception:
-        registry.failed(name, df.count())
+    except Exception as e:
+        # a table's write says how many rows it had counted; otherwise nobody has
+        rows = getattr(e, "rows_seen", None)
+        registry.failed(name, df.count() if rows is None else rows)
         raise
     if getattr(out, "fresh", True):
         registry.committed(name, seen.get)

@@ -5,7 +5,6 @@ A query is (Spark callable, SQL or None). The SQL is DuckDB's.
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Callable
 from datetime import timedelta
@@ -16,12 +15,14 @@ from pyspark.sql import types as T
 
 from ..config.options import TableOptions
 from ..functions import codecs, partition, rowtext, scalar, shard
-from ..operators import batches, lookup, metrics
+from ..operators import lookup, metrics
 from ..schema import TableSchema
 from ..sources import generate
 from ..sources.configured import ConfiguredTable
+from ..sources.files import JvmFiles, shared_path
+from ..sources.format import register
 from ..sources.roots import FirstAvailable, path_exists
-from ..sources.table import KeyedTable, Partitioning, TablePath, last_rows
+from ..sources.table import KeyedTable, NotMounted, Partitioning, TablePath, last_rows
 from ..streaming import sink
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,16 +45,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def workplace(spark: SparkSession, label: str) -> str:
-    """A new folder under spark.checkpoint.dir, or, for a session in one process only, in the warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
 # scans
 
 
@@ -79,7 +70,7 @@ def point_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 def insert_select_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Insert-select with an added time, written to a table and read again."""
     rows = read(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.lit("2024-02-01 00:00:00").cast("timestamp_ntz").alias("updated_at"))
-    table = KeyedTable(spark, TablePath(workplace(spark, "insert"), "events"))
+    table = KeyedTable(spark, TablePath(shared_path(spark, "insert"), "events"))
     table.create(TableSchema.from_struct(rows.schema, ["event_id"]))
     table.upsert(rows)
     return table.scan()
@@ -91,14 +82,47 @@ def scan_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_by_day(spark, sf_dir).scan(["event_id", "ts", "value"], between=("2024-01-05 00:00:00", "2024-01-08 12:00:00"))
 
 
-@query("select count(*)::bigint as n, min(id) as first_id, max(id) as last_id, sum(case when g between 0 and 9 then 0 else 1 end)::bigint as outside from (select range as id, 5 as g from range(500))")
+@query("select count(*)::bigint as n, min(id) as first_id, max(id) as last_id, sum(case when g between 0 and 9 then 0 else 1 end)::bigint as outside from (select row_number() over () - 1 as id, 5 as g from events)")
 def generated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A sequence and a random field."""
+    """As many rows as there are events, with a sequence and a random field."""
     struct = T.StructType([T.StructField("id", T.LongType()), T.StructField("g", T.IntegerType())])
-    df = generate.rows(spark, struct, {"id": generate.Sequence(0), "g": generate.Random(0, 10)}, 500)
+    df = generate.rows(spark, struct, {"id": generate.Sequence(0), "g": generate.Random(0, 10)}, read(spark, sf_dir, "events").count())
     return df.agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.sum(F.when(F.col("g").between(0, 9), 0).otherwise(1)).alias("outside"))
 
 
+# the format
+
+
+def events_by_id(spark: SparkSession, sf_dir: str, shards: int = 64) -> str:
+    """The path of a table of the events by event_id."""
+    register(spark)
+    rows = read(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    path = TablePath(shared_path(spark, "events"))
+    table = KeyedTable(spark, path)
+    table.create(TableSchema.from_struct(rows.schema, ["event_id"]), shards=shards)
+    table.upsert(rows)
+    return path.base
+
+
+@query("select event_id, user_id, value from events")
+def scan_by_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table read by its format and options only; the schema names the columns that are read."""
+    path = events_by_id(spark, sf_dir, 8)
+    return spark.read.format("stratakey").schema("event_id long, user_id long, value double").load(path)
+
+
+@query("select event_id, user_id, event_type from events where event_id = 77")
+def point_select_by_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comparison is pushed into the format, which reads one file of 64."""
+    return spark.read.format("stratakey").option("filters", "pushed").load(events_by_id(spark, sf_dir)).where("event_id = 77").select("event_id", "user_id", "event_type")
+
+
+@query("select event_id, user_id, event_type from events where event_id = 77")
+def point_lookup_of_a_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through the table, without Python."""
+    return KeyedTable(spark, TablePath(events_by_id(spark, sf_dir))).point({"event_id": 77}, ["event_id", "user_id", "event_type"])
+
+
 # lookups
 
 _ORDERS_CUSTOMER = "select o_orderkey, o_custkey, o_totalprice, c_name, c_acctbal from orders {} join customer on o_custkey = c_custkey"
@@ -137,7 +161,7 @@ def lookup_select_nonkey(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_by_day(spark: SparkSession, sf_dir: str) -> KeyedTable:
     rows = read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    table = KeyedTable(spark, TablePath(workplace(spark, "events"), "by_day"))
+    table = KeyedTable(spark, TablePath(shared_path(spark, "events"), "by_day"))
     table.create(TableSchema.from_struct(rows.schema, ["event_id"]), Partitioning("ts", "DAY", ttl_days=30))
     table.upsert(rows, ["ts"])
     return table
@@ -167,8 +191,8 @@ def lookup_full_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_ORDERS_CUSTOMER.format("left"))
 def lookup_partial_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K2."""
-    return _through_cache(spark, sf_dir, lookup.DimensionCache(lambda: read(spark, sf_dir, "customer"), "PARTIAL", expire_after_write=timedelta(minutes=1)))
+    """K2: a bounded cache of the keys asked for; the second lookup reads only those that the first has not brought."""
+    return _through_cache(spark, sf_dir, lookup.DimensionCache(lambda: read(spark, sf_dir, "customer"), "PARTIAL", expire_after_write=timedelta(minutes=10), max_rows=1_000))
 
 
 @query(_ORDERS_CUSTOMER.format("left"))
@@ -192,7 +216,7 @@ def streamed(spark: SparkSession, sf_dir: str, table: str, max_files: int = 1) -
 @query("select event_id, user_id, c_name from events left join customer on user_id = c_custkey")
 def lookup_stream_static(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream looks up a dimension that is read with each micro-batch."""
-    out = workplace(spark, "lookup-stream")
+    out = shared_path(spark, "lookup-stream")
     cache = lookup.DimensionCache(lambda: read(spark, sf_dir, "customer"))
     q = sink.start_lookup(streamed(spark, sf_dir, "events").select("event_id", "user_id"), cache, {"user_id": "c_custkey"}, lambda df, n: df.write.mode("overwrite").parquet(f"{out}/data/batch={n}"), f"{out}/checkpoint", columns=["c_name"])
     q.awaitTermination()
@@ -200,7 +224,7 @@ def lookup_stream_static(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def configured(spark: SparkSession, rows: DataFrame, keys: list[str], **options: object) -> ConfiguredTable:
-    raw = {"proxy": "local", "path": workplace(spark, "configured"), "schema": TableSchema.from_struct(rows.schema, keys).dump()}
+    raw = {"proxy": "local", "path": shared_path(spark, "configured"), "schema": TableSchema.from_struct(rows.schema, keys).dump()}
     raw |= {k.replace("__", ".").replace("_", "-"): v for k, v in options.items()}
     if "path-map" in raw:
         del raw["proxy"], raw["path"]
@@ -220,7 +244,7 @@ def configured_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_first_available_root(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written to two roots; one goes, and the other is read."""
     rows = read(spark, sf_dir, "events").select("event_id", "user_id", "value")
-    near, far = workplace(spark, "near"), workplace(spark, "far")
+    near, far = shared_path(spark, "near"), shared_path(spark, "far")
     table = configured(spark, rows, ["event_id"], path_map=f"near:{near},far:{far}")
     table.write(rows)
     gone = spark._jvm.org.apache.hadoop.fs.Path(near)
@@ -233,10 +257,23 @@ def configured_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream into a table partitioned as its options say, shards after the last partitions."""
     rows = streamed(spark, sf_dir, "events").select("user_id", "ts", "event_id", "value")
     table = configured(spark, rows, ["user_id"], partition_key="ts", partition_scale="DAY", reshard__strategy="LAST_PARTITIONS", reshard__tablet_count=2, reshard__uniform=True, trackable_field="ts")
-    table.start(rows, workplace(spark, "checkpoint"), "w", ["ts", "event_id"], drain=True).awaitTermination()
+    table.start(rows, shared_path(spark, "checkpoint"), "w", ["ts", "event_id"], drain=True).awaitTermination()
     return table.scan(["user_id", "event_id", "value"])
 
 
+@query("select event_id, user_id, value from events")
+def scan_of_a_lost_root(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planned and read under one root, which then goes; the same DataFrame reads the other."""
+    rows = read(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    near, far = shared_path(spark, "near"), shared_path(spark, "far")
+    table = configured(spark, rows, ["event_id"], path_map=f"near:{near},far:{far}")
+    table.write(rows, batch=("load", 0))
+    df = table.scan()
+    df.count()
+    JvmFiles(spark).delete(near)
+    return df
+
+
 # upserts
 
 _LAST = "select user_id, event_id, value from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as r from events) where r = 1"
@@ -247,7 +284,7 @@ _LAST_BY_DAY = "select user_id, ts, event_id, value from (select *, row_number()
 def upsert_last_write_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two writes to one table, the later events last."""
     rows = read(spark, sf_dir, "events").select("user_id", "event_id", "value", "ts")
-    table = KeyedTable(spark, TablePath(workplace(spark, "upsert"), "users"))
+    table = KeyedTable(spark, TablePath(shared_path(spark, "upsert"), "users"))
     table.create(TableSchema.from_struct(rows.schema, ["user_id"]), shards=4)
     for part in (rows.where("ts < timestamp_ntz'2024-01-15 00:00:00'"), rows.where("ts >= timestamp_ntz'2024-01-15 00:00:00'")):
         table.upsert(part, ["ts", "event_id"])
@@ -261,7 +298,7 @@ def last_rows_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _users_by_day(spark: SparkSession, label: str) -> KeyedTable:
-    table = KeyedTable(spark, TablePath(workplace(spark, label), "users"))
+    table = KeyedTable(spark, TablePath(shared_path(spark, label), "users"))
     struct = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("ts", NTZ), T.StructField("event_id", T.LongType()), T.StructField("value", T.DoubleType())])
     table.create(TableSchema.from_struct(struct, ["user_id"]), Partitioning("ts", "DAY"))
     return table
@@ -288,7 +325,7 @@ def upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def commit_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2, A3, A4, M3: metrics of a commit; a replay of the same batch adds nothing."""
     rows = read(spark, sf_dir, "events").select("event_id", "ts", "value")
-    table = KeyedTable(spark, TablePath(workplace(spark, "metrics"), "events"))
+    table = KeyedTable(spark, TablePath(shared_path(spark, "metrics"), "events"))
     table.create(TableSchema.from_struct(rows.schema, ["event_id"]))
     own = metrics.Registry()
     write = sink.upsert_batches(table, "w", ["ts"], "ts", {"event": "event_id"}, own)
@@ -312,10 +349,63 @@ def data_metrics_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").groupBy("event_type").agg(F.max("event_id").alias("max_event"))
 
 
-@query("select t as transaction, m as modification, count(*)::bigint as n_rows from (select n // 99000 as t, (n - n // 99000 * 99000) // 1000 + n // 99000 * 99 as m from (select row_number() over (order by l_orderkey, l_linenumber) - 1 as n from lineitem)) group by 1, 2")
+@query("select n // 99000 as transaction, count(*)::bigint as n_rows from (select row_number() over (order by l_orderkey, l_linenumber) - 1 as n from lineitem) group by 1")
 def commit_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M1, A2: rows to modifications and transactions by the two limits."""
-    return batches.commit_batches(read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+    """One write, cut into commits of at most rows-in-transaction-limit rows, as the table's log has them."""
+    rows = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    table = configured(spark, rows, [], rows_in_transaction_limit=99_000)
+    table.write(rows, batch=("load", 0))
+    return table.table(table.options["path"]).history().select(F.col("piece").alias("transaction"), F.col("rows").alias("n_rows"))
+
+
+@query(_LAST)
+def upsert_by_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writes by format and options only, the later events last; the last row of a key is found when it is read."""
+    register(spark)
+    rows, path = read(spark, sf_dir, "events").select("user_id", "event_id", "value", "ts"), shared_path(spark, "by-format")
+    options = {"schema": TableSchema.from_struct(rows.schema, ["user_id"]).dump(), "order-by": "ts,event_id", "reshard.strategy": "FIXED", "reshard.tablet-count": "4", "reshard.uniform": "true"}
+    for part in (rows.where("ts < timestamp_ntz'2024-01-15 00:00:00'"), rows.where("ts >= timestamp_ntz'2024-01-15 00:00:00'")):
+        part.write.format("stratakey").mode("append").options(**options).save(path)
+    return spark.read.format("stratakey").schema("user_id long, event_id long, value double").load(path)
+
+
+@query(_LAST)
+def stream_by_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the versions of one table added streams into another, both by format."""
+    register(spark)
+    rows = read(spark, sf_dir, "events").select("user_id", "event_id", "value", "ts")
+    source, target = TablePath(shared_path(spark, "source")), TablePath(shared_path(spark, "target"))
+    for path, key in ((source, "event_id"), (target, "user_id")):
+        KeyedTable(spark, path).create(TableSchema.from_struct(rows.schema, [key]), shards=4)
+    KeyedTable(spark, source).upsert(rows)
+    stream = spark.readStream.format("stratakey").load(source.base).writeStream.format("stratakey").outputMode("append")
+    stream.options(**{"writer": "w", "order-by": "ts,event_id", "checkpointLocation": f"{target.base}-checkpoint"}).trigger(availableNow=True).start(target.base).awaitTermination()
+    return KeyedTable(spark, target).scan(["user_id", "event_id", "value"])
+
+
+@query("select p_partkey, p_name, p_retailprice from part")
+def write_schema_drop_computed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A computed key column is evaluated at the write and sorts the files; it isn't among the columns that are written or scanned."""
+    table = KeyedTable(spark, TablePath(shared_path(spark, "computed")))
+    table.create(TableSchema.parse('<strict=%true;unique_keys=%true>[{name=hash;type=uint64;sort_order=ascending;expression="farm_hash(p_partkey)"};{name=p_partkey;type=int64;sort_order=ascending};{name=p_name;type=string};{name=p_retailprice;type=double}]'), shards=4)
+    table.upsert(read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice"))
+    return table.scan()
+
+
+@query("select event_id, value, 1::integer as refused from events")
+def upsert_when_mounted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An unmounted table refuses a write; mount-mode ALWAYS mounts it and writes."""
+    rows = read(spark, sf_dir, "events").select("event_id", "value")
+    table = configured(spark, rows, ["event_id"], mount_mode="ALWAYS")
+    stored = table.table(table.options["path"])
+    stored.unmount()
+    try:
+        stored.upsert(rows)
+        refused = 0
+    except NotMounted:
+        refused = 1
+    table.write(rows)
+    return table.scan().withColumn("refused", F.lit(refused))
 
 
 # partitions
@@ -368,7 +458,7 @@ def partition_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
 def partition_ttl_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T12 at work: partitions whose time has come leave the table."""
     rows = read(spark, sf_dir, "events").select("event_id", "ts")
-    table = KeyedTable(spark, TablePath(workplace(spark, "ttl"), "events"))
+    table = KeyedTable(spark, TablePath(shared_path(spark, "ttl"), "events"))
     table.create(TableSchema.from_struct(rows.schema, ["event_id"]), Partitioning("ts", "DAY", ttl_days=10, min_ttl_days=None))
     table.upsert(rows, now="2024-01-01 00:00:00")
     table.drop_expired("2024-01-21 00:00:00+00:00")
@@ -378,10 +468,10 @@ def partition_ttl_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 # shards
 
 
-@query("select i::integer as shard, ((18446744073709551616::hugeint * i) // 8)::varchar as pivot, case when i < 4 then (2305843009213693952 * i)::bigint else (2305843009213693952::hugeint * i - 18446744073709551616::hugeint)::bigint end as pivot_signed from range(8) t(i)")
+@query("select i::integer as shard, ((18446744073709551616::hugeint * i) // n)::varchar as pivot, case when (18446744073709551616::hugeint * i) // n < 9223372036854775808::hugeint then ((18446744073709551616::hugeint * i) // n)::bigint else ((18446744073709551616::hugeint * i) // n - 18446744073709551616::hugeint)::bigint end as pivot_signed from (select unnest(range(count(*))) as i, any_value(c) as n from supplier, (select count(*) as c from supplier))")
 def shard_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """H1."""
-    return shard.pivot_table(spark, 8).withColumn("pivot", F.col("pivot").cast("string"))
+    """H1: a shard for each supplier."""
+    return shard.pivot_table(spark, read(spark, sf_dir, "supplier").count()).withColumn("pivot", F.col("pivot").cast("string"))
 
 
 @query("select coalesce(cast(floor(avg(n)) as integer), 20) as shards from (select p, n from (select strftime(ts, '%Y-%m-%d') as p, count(*) as n from events group by 1) order by p desc limit 7) where p <> '2024-01-30' and n > 0")
@@ -521,31 +611,30 @@ def simple_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select("p_partkey", scalar.simple_hash(F.col("p_name")).alias("h"))
 
 
-@query("select * from (values ('1.2.3', 1002003999000), ('1.2.3-rc.2', 1002003300002), ('1.0.0-SNAPSHOT.5', 1000000200005), ('1.0.0-alpha.5', 1000000100005), ('2.0.1-dev.7', 2000001200007), ('1.2', null), ('1.2.1000', null)) t(version, number)")
+_MAJOR, _PATCH = "p_partkey % 5", "p_partkey * 7 % 1100"
+
+
+@query(f"select p_partkey, case when {_PATCH} > 999 then null else ({_MAJOR})::bigint * 1000000000000 + p_size::bigint * 1000000000 + ({_PATCH}) * 1000000 + case p_partkey % 4 when 0 then 999000 when 1 then 300002 when 2 then 200005 else 100005 end end::bigint as number from part")
 def version_number(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X4."""
-    rows = spark.createDataFrame([(v,) for v in ("1.2.3", "1.2.3-rc.2", "1.0.0-SNAPSHOT.5", "1.0.0-alpha.5", "2.0.1-dev.7", "1.2", "1.2.1000")], "version string")
-    return rows.select("version", scalar.version_number(F.col("version")).alias("number"))
+    """Versions of releases, candidates, snapshots and others, some of them malformed."""
+    suffix = F.element_at(F.array(*[F.lit(x) for x in ("", "-rc.2", "-SNAPSHOT.5", "-alpha.5")]), (F.col("p_partkey") % 4 + 1).cast("int"))
+    text = F.concat(F.expr(_MAJOR).cast("string"), F.lit("."), F.col("p_size").cast("string"), F.lit("."), F.expr(_PATCH).cast("string"), suffix)
+    return read(spark, sf_dir, "part").select("p_partkey", scalar.version_number(text).alias("number"))
 
 
-@query("select * from (values ('4G', 4294967296), ('512M', 536870912), ('10KB', 10240), ('7B', 7), ('12', 12), ('3X', null)) t(size, bytes)")
+@query("select p_partkey, case p_partkey % 6 when 0 then p_size::bigint * 1073741824 when 1 then p_size * 1048576 when 2 then p_size * 1024 when 3 then p_size when 4 then p_size else null end::bigint as bytes from part")
 def memory_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X5."""
-    rows = spark.createDataFrame([(v,) for v in ("4G", "512M", "10KB", "7B", "12", "3X")], "size string")
-    return rows.select("size", scalar.memory_bytes(F.col("size")).alias("bytes"))
-
+    unit = F.element_at(F.array(*[F.lit(x) for x in ("G", "M", "KB", "B", "", "X")]), (F.col("p_partkey") % 6 + 1).cast("int"))
+    return read(spark, sf_dir, "part").select("p_partkey", scalar.memory_bytes(F.concat(F.col("p_size").cast("string"), unit)).alias("bytes"))
 
-@query("select * from (values (0, 'id', 'int64'), (1, 'name', 'string'), (2, 'price', 'double')) t(pos, name, type)")
-def write_schema_drop_computed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Computed columns are not written."""
-    text = '<strict=%true;unique_keys=%true>[{name=hash;type=uint64;sort_order=ascending;expression="hash(id)"};{name=id;type=int64;sort_order=ascending};{name=name;type=string};{name=price;type=double}]'
-    columns = TableSchema.parse(text).write_schema().columns
-    return spark.createDataFrame([(i, c.name, c.type) for i, c in enumerate(columns)], "pos int, name string, type string")
 
-
-@query("select * from (values ('custom', '1'), ('dynamic', 'true'), ('optimize_for', 'scan')) t(name, value)")
+@query("select name, value, (select count(*) from region) as n_rows from (values ('custom', '1'), ('dynamic', 'true'), ('optimize_for', 'scan')) t(name, value)")
 def table_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Options to attributes; custom ones come last."""
-    o = TableOptions.parse({"proxy": "p", "path": "/t", "schema": "[{name=id;type=int64;sort_order=ascending}]", "optimize-for": "lookup", "custom-attributes": {"optimize_for": "scan", "custom": "1u"}})
-    rows = [(k, str(v).lower()) for k, v in o.attributes().items()]
-    return spark.createDataFrame(rows, "name string, value string")
+    """Options to the attributes of a table that is made and written; custom ones come last."""
+    rows = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    table = configured(spark, rows, ["r_regionkey"], optimize_for="lookup", custom_attributes={"optimize_for": "scan", "custom": "1u"})
+    table.write(rows)
+    attributes = [(k, str(v).lower()) for k, v in table.table(table.options["path"]).attributes().items()]
+    counted = table.scan().agg(F.count(F.lit(1)).alias("n_rows"))
+    return spark.createDataFrame(attributes, "name string, value string").join(F.broadcast(counted))

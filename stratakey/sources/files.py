@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from typing import Any, Protocol
 
@@ -10,6 +11,16 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import SparkSession
 
 
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new folder under spark.checkpoint.dir, or, for a session in one process only, in the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 class Files(Protocol):
     def names(self, folder: str) -> list[str]: ...
     def read(self, path: str) -> str: ...

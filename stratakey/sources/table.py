@@ -198,7 +198,9 @@ class KeyedTable:
         by_age = [[paths[-i] for paths in layered if i <= len(paths)] for i in range(1, max(map(len, layered)) + 1)]
         read = [self._read(kept, paths).withColumn(AGE, F.lit(-i)) for i, paths in enumerate(by_age)]
         rows = reduce(DataFrame.unionByName, read).withColumn(PARTITION, partitioning.name() if partitioning else F.lit(WHOLE))
-        newest = last_rows(rows, [PARTITION, *keys], [AGE, *order]).select(*kept.names)
+        # computed sort columns follow from the keys; among them, filters reach the files
+        group = [c.name for c in TableSchema.parse(state["schema"]).columns if c.sort_order and c.name in kept.names]
+        newest = last_rows(rows, [PARTITION, *group], [AGE, *order]).select(*kept.names)
         return out.select(*kept.names).unionByName(newest) if plain else newest
 
     def _overlapping(self, names: list[str], p: Partitioning, between: tuple[Any, Any]) -> list[str]:
@@ -266,7 +268,7 @@ class KeyedTable:
             raise NotMounted(f"{self.path} is {state['mounted']}")
         if batch and state["batches"].get(batch[0], -1) >= batch[1]:
             return Committed(version, False)
-        schema, until = TableSchema.parse(state["schema"]), timeout and time.monotonic() + timeout
+        schema, until = TableSchema.parse(state["schema"]), None if timeout is None else time.monotonic() + timeout
         last = self.prepared(rows, order_by).persist()
         try:
             if rows_limit is None:
@@ -295,7 +297,7 @@ class KeyedTable:
                         return done or Committed(version, False)
                     if opened and opened[0] == batch[1] and opened[1] > piece:
                         break
-                    if until and time.monotonic() > until:
+                    if until is not None and time.monotonic() > until:
                         raise TimeoutError(f"the write of {total} rows took longer than its transaction may")
                     try:
                         moved = {n for n in own if state["partitions"].get(n, {}).get("shards", shards[n]) != shards[n]}
@@ -307,7 +309,7 @@ class KeyedTable:
                             again = folder
                         paths = {n: place(again if n in moved else folder, n, piece) for n in own}
                         change = self._change(state, own, paths, holds, shards, schema, now, merge=pieces == 1)
-                        change["commit"] = {"rows": sum(own.values()), "partitions": len(own), "batch": batch or [None, None], "piece": piece, "pieces": pieces, "added": list(paths.values())}
+                        change["commit"] = {"rows": sum(own.values()), "partitions": len(own), "batch": list(batch or (None, None)), "piece": piece, "pieces": pieces, "added": list(paths.values())}
                         if batch:
                             final = piece == pieces - 1
                             change |= {"batches": {batch[0]: batch[1]}, "open": {batch[0]: None}} if final else {"open": {batch[0]: [batch[1], piece + 1]}}
@@ -509,10 +511,13 @@ def hashed(schema: TableSchema) -> list[str]:
 
 
 def sharded(rows: DataFrame, schema: TableSchema, shards: Mapping[str, int]) -> DataFrame:
-    """rows that have their PARTITION, with their SHARD."""
+    """rows that have their PIECE and PARTITION, with their SHARD."""
     sizes = rows.sparkSession.createDataFrame(list(shards.items()) or [("", 1)], "__name string, __shards int")
     shard = F.pmod(key_hash(*[F.col(k) for k in hashed(schema)]), F.col("__shards")).cast("int")
-    return rows.join(F.broadcast(sizes), F.col(PARTITION) == F.col("__name")).withColumn(SHARD, shard).drop("__name", "__shards")
+    placed = rows.join(F.broadcast(sizes), F.col(PARTITION) == F.col("__name"))
+    # a column that the optimizer knows to be constant would leave the order of rows, and the writer would sort anew without the keys
+    placed = placed.withColumns({SHARD: shard, PARTITION: F.col("__name"), PIECE: F.col(PIECE) + F.least(F.col("__shards"), F.lit(0))})
+    return placed.drop("__name", "__shards")
 
 
 def escaped(name: str) -> str:

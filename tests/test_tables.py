@@ -1,5 +1,7 @@
 import datetime as dt
 import random
+import shutil
+import time
 import uuid
 
 import pytest
@@ -14,7 +16,7 @@ from stratakey.sources import generate
 from stratakey.sources.configured import ConfiguredTable
 from stratakey.sources.log import Conflict, VersionLog
 from stratakey.sources.roots import FirstAvailable, NoRoot
-from stratakey.sources.table import KeyedTable, Partitioning, TablePath, escaped, last_rows
+from stratakey.sources.table import KeyedTable, NotMounted, Partitioning, TablePath, escaped, last_rows
 from stratakey.streaming import sink
 
 SCHEMA = TableSchema.parse("<strict=%true;unique_keys=%true>[{name=id;type=int64;sort_order=ascending};{name=ts;type=timestamp};{name=v;type=string}]")
@@ -231,20 +233,53 @@ def test_caches(spark):
     timed.get()
     now[0] += 86_400
     assert timed.get().first()[0] == 4
-    partial = lookup.DimensionCache(load, "PARTIAL", expire_after_access=dt.timedelta(seconds=5), clock=lambda: now[0])
-    partial.get()
-    now[0] += 4
-    assert partial.get(spark.createDataFrame([(5,)], "n int")).count() == 1
-    now[0] += 4
-    assert partial.loads == 1 and partial.get().count() == 1 and partial.loads == 1
-    now[0] += 6
-    partial.get()
-    assert partial.loads == 2
     for bad in (("FULL", None), ("OTHER", None)):
         with pytest.raises(ValueError):
             lookup.DimensionCache(load, *bad)
 
 
+def asked(spark, *keys):
+    return spark.createDataFrame([(k,) for k in keys], "id long")
+
+
+def test_partial_cache_looks_up_what_it_has_not(spark):
+    now, dim = [1000.0], {1: "a", 2: "b", 3: "c"}
+    load = lambda: spark.createDataFrame(list(dim.items()), "id long, v string")
+    cache = lookup.DimensionCache(load, "PARTIAL", expire_after_write=dt.timedelta(seconds=100), expire_after_access=dt.timedelta(seconds=40), clock=lambda: now[0])
+    get = lambda *keys: content(cache.get(asked(spark, *keys)))
+    state = lambda: (cache.loads, cache.looked_up, cache.hits)
+    assert get(1, 1, 9, None) == [(1, "a")] and state() == (1, 2, 0)
+    dim[1] = "new"
+    now[0] += 10
+    assert get(1, 9) == [(1, "a")] and state() == (1, 2, 2)  # the row and the miss were kept
+    assert get(1, 2) == [(1, "a"), (2, "b")] and state()[:2] == (2, 3)
+    now[0] += 39
+    assert get(1) == [(1, "a")]
+    now[0] += 39
+    assert get(1, 2) == [(1, "a"), (2, "b")] and state()[:2] == (3, 4)  # 2 was unused too long
+    now[0] += 20
+    assert get(1) == [(1, "new")] and state()[:2] == (4, 5)  # 1 was read too long ago
+    dim[9] = "late"
+    assert get(9) == [(9, "late")]
+    assert get() == [] and cache.get(asked(spark)).columns == ["id", "v"]
+    cache.clear()
+    with pytest.raises(ValueError, match="keys"):
+        cache.get()
+
+
+def test_partial_cache_is_bounded_and_may_forget_misses(spark):
+    now = [0.0]
+    load = lambda: spark.range(100).select("id", F.col("id").cast("string").alias("v"))
+    cache = lookup.DimensionCache(load, "PARTIAL", max_rows=3, missing=False, clock=lambda: now[0])
+    get = lambda *keys: [i for i, _ in content(cache.get(asked(spark, *keys)))]
+    assert get(1, 2, 3, 4, 5) == [1, 2, 3, 4, 5] and cache._held.count() == 3  # whole results, however small the cache
+    now[0] += 1
+    assert get(1, 500) == [1] and get(500) == [] and cache.looked_up == 7
+    now[0] += 1
+    assert get(7) == [7] and {r.id for r in cache._held.collect()} >= {1, 7}
+    assert cache._held.count() == 3 and cache.loads == 4
+
+
 def test_retries():
     waits, tries = [], []
 
@@ -257,6 +292,9 @@ def test_retries():
     assert lookup.with_retries(work, sleep=waits.append) == "done" and waits == [10.0, 20.0]
     with pytest.raises(OSError):
         lookup.with_retries(lambda: (_ for _ in ()).throw(OSError()), give_up=lambda: True, sleep=waits.append)
+    with pytest.raises(ValueError):  # trying again doesn't help
+        lookup.with_retries(lambda: (_ for _ in ()).throw(ValueError()), sleep=waits.append)
+    assert waits == [10.0, 20.0]
 
 
 def test_roots():
@@ -328,11 +366,142 @@ def test_retries_are_those_of_the_options(spark, where, monkeypatch):
 def test_a_root_that_goes_is_left(spark, where):
     table = ConfiguredTable(spark, options_of(path_map=f"a:{where}/a,b:{where}/b", **{"cluster-pick-strategy.firstAvailable.priorities": "B;A"}), registry=metrics.Registry())
     table.write(frame(spark, [(1, None, "a")]))
-    assert table.pick.pick() == "B" and "/b/" in table.scan().inputFiles()[0]
+    assert table.pick.pick() == "B"
+    before = table.scan()
+    assert content(before) == [(1, "a")]
     gone = spark._jvm.org.apache.hadoop.fs.Path(f"{where}/b")
     gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+    assert content(before) == [(1, "a")] and before.count() == 1  # planned for b, read from a
     table.pick.refresh()
-    assert content(table.scan()) == [(1, "a")] and table.pick.pick() == "A"
+    assert content(table.scan(["id", "v"])) == [(1, "a")] and table.pick.pick() == "A" and content(table.scan(limit=1)) == [(1, "a")]
+
+
+def test_an_action_is_run_again_when_reading_fails(spark, where, tmp_path):
+    waits = []
+    table = ConfiguredTable(spark, options_of(path_map=f"a:{where}/a,b:{where}/b"), registry=metrics.Registry(), sleep=waits.append)
+    table.write(frame(spark, [(1, None, "a"), (2, None, "b")]))
+    seen = []
+
+    def count(df):
+        seen.append(df.inputFiles()[0])
+        if len(seen) == 1:
+            shutil.rmtree(tmp_path / "a")
+        return df.count()
+
+    assert table.act(count) == 2 and ["/a/" in f for f in seen] == [True, False] and waits == []
+    calls = []
+    with pytest.raises(ZeroDivisionError):
+        table.act(lambda df: calls.append(1) or 1 / 0)
+    assert calls == [1] and waits == []
+
+
+def test_commits_of_so_many_rows(spark, where, monkeypatch):
+    t = KeyedTable(spark, TablePath(where, "t"))
+    t.create(SCHEMA, Partitioning("ts", "DAY"), shards=2)
+    rows = frame(spark, [(i, f"2024-01-0{1 + i % 2}T00:00:00", f"v{i}") for i in range(25)])
+    done = t.upsert(rows, batch=("w", 0), rows_limit=10)
+    assert (done.rows, done.version, done.partitions) == (25, 4, ["2024-01-01", "2024-01-02"])
+    assert [(r.rows, r.piece, r.pieces, r.batch) for r in t.history().collect()] == [(10, 0, 3, 0), (10, 1, 3, 0), (5, 2, 3, 0)]
+    assert t.scan().count() == 25 and [t.scan(version=v).count() for v in (1, 2, 3, 4)] == [0, 10, 20, 25]
+    assert not t.upsert(rows, batch=("w", 0), rows_limit=10).fresh and len(t.log.versions()) == 4
+    # a batch that failed after its first piece goes on with the second
+    real, n = VersionLog.commit, []
+
+    def failing(self, after, change):
+        n.append(1)
+        if len(n) == 2:
+            raise OSError("no")
+        return real(self, after, change)
+
+    monkeypatch.setattr(VersionLog, "commit", failing)
+    more = frame(spark, [(100 + i, "2024-01-03T00:00:00", "x") for i in range(20)])
+    with pytest.raises(OSError) as e:
+        t.upsert(more, batch=("w", 1), rows_limit=8)
+    assert e.value.rows_seen == 20 and t.scan().count() == 33
+    assert t.upsert(more, batch=("w", 1), rows_limit=8).fresh and t.scan().count() == 45
+    assert [r.rows for r in t.history().collect()][3:] == [8, 8, 4]
+    with pytest.raises(TimeoutError):
+        t.upsert(more, timeout=-1)
+    assert t.scan().count() == 45
+
+
+def test_option_limits_reach_commits(spark, where):
+    own = metrics.Registry()
+    table = ConfiguredTable(spark, options_of(proxy="x", path=f"{where}/t", rows_in_transaction_limit=4), registry=own)
+    table.write(frame(spark, [(i, None, "a") for i in range(9)]), batch=("w", 3))
+    stored = KeyedTable(spark, TablePath(f"{where}/t"))
+    assert [r.rows for r in stored.history().collect()] == [4, 4, 1] and own.table(stored.path).committed_rows == 9
+    with pytest.raises(TimeoutError):
+        ConfiguredTable(spark, options_of(proxy="x", path=f"{where}/t", transaction_timeout="0 ms", retry_strategy="NO_RETRY"), registry=own).write(frame(spark, [(1, None, "b")]))
+    assert (own.table(stored.path).committed_rows, own.table(stored.path).failed_rows) == (9, 1)
+
+
+def test_conflicts_write_data_once(spark, where, monkeypatch, tmp_path):
+    t = KeyedTable(spark, TablePath(where, "t"))
+    t.create(SCHEMA)
+    real, left = VersionLog.commit, [3]
+
+    def busy(self, after, change):
+        if left[0] and change.get("commit", {}).get("batch") == ["w", 0]:
+            left[0] -= 1
+            real(self, after, {"partitions": {}})
+        return real(self, after, change)
+
+    monkeypatch.setattr(VersionLog, "commit", busy)
+    assert t.upsert(frame(spark, [(1, None, "a")]), batch=("w", 0)).version == 5
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 1 and content(t.scan()) == [(1, "a")]
+
+
+HASHED = TableSchema.parse('<strict=%true;unique_keys=%true>[{name=hash;type=uint64;sort_order=ascending;expression="farm_hash(id)"};{name=id;type=int64;sort_order=ascending};{name=ts;type=timestamp};{name=v;type=string}]')
+
+
+def test_computed_columns_are_stored_and_sorted_by(spark, where):
+    t = KeyedTable(spark, TablePath(where, "t"))
+    t.create(HASHED, shards=2)
+    t.upsert(frame(spark, [(i, None, f"v{i}") for i in range(50)]))
+    t.upsert(frame(spark, [(7, None, "again")]))
+    assert t.scan().columns == ["id", "ts", "v"] and dict(content(t.scan()))[7] == "again"
+    rows = t.scan(["hash", "id"]).collect()
+    want = {r.id: r.h % 2**64 for r in spark.range(50).select("id", F.xxhash64("id").alias("h")).collect()}
+    assert {r["id"]: int(r["hash"]) for r in rows} == want
+    for path in t.scan().inputFiles():
+        hashes = [int(r[0]) for r in spark.read.parquet(path).select("hash").collect()]
+        assert hashes == sorted(hashes)
+    point = t.point({"id": 8})
+    assert content(point) == [(8, "v8")] and f"EqualTo(hash,{want[8]})" in point._jdf.queryExecution().executedPlan().toString()
+
+
+def test_mount_states(spark, where, monkeypatch):
+    raw = dict(proxy="x", path=f"{where}/t")
+    made = ConfiguredTable(spark, options_of(**raw, mount_mode="ON_CREATE"), registry=metrics.Registry())
+    made.write(frame(spark, [(1, None, "a")]))  # whoever creates a table mounts it
+    t = KeyedTable(spark, TablePath(f"{where}/t"))
+    t.unmount()
+    with pytest.raises(NotMounted):
+        t.upsert(frame(spark, [(2, None, "b")]))
+    assert content(t.scan()) == [(1, "a")]
+    slept = []
+    assert not t.wait_mounted(2, 1, slept.append) and slept == [1, 1]  # it only warns
+    monkeypatch.setattr(KeyedTable, "wait_mounted", lambda self: slept.append("waited"))
+    with pytest.raises(NotMounted):  # ON_CREATE doesn't mount what another has made
+        ConfiguredTable(spark, options_of(**raw, mount_mode="ON_CREATE"), registry=metrics.Registry()).write(frame(spark, [(2, None, "b")]))
+    assert slept[-1] == "waited"
+    ConfiguredTable(spark, options_of(**raw), registry=metrics.Registry()).write(frame(spark, [(2, None, "b")]))
+    assert t.mounted() == "mounted" and content(t.scan()) == [(1, "a"), (2, "b")]
+    t.unmount()
+    real = VersionLog.commit
+
+    def taken(self, after, change):
+        raise Conflict("taken")
+
+    monkeypatch.setattr(VersionLog, "commit", taken)
+    waits = []
+    with pytest.raises(NotMounted, match="5 attempts"):
+        t.mount(sleep=waits.append)
+    assert waits == [5.0] * 5
+    monkeypatch.setattr(VersionLog, "commit", real)
+    t.mount()
+    assert t.mounted() == "mounted"
 
 
 # metrics, batches, locks, generators
@@ -384,6 +553,43 @@ def test_locks(spark, where):
     assert not locks.is_locked("/t")
 
 
+def test_locks_made_at_once_see_each_other(spark, where, monkeypatch):
+    """A shared lock that is made between an exclusive request's look and its file, and the other way round."""
+    locks = FileLocks(spark, f"{where}/locks")
+    real, met = FileLocks._made, []
+
+    def meeting(self, name):
+        if not met:
+            met.append(name)
+            # the other one comes first, after this one has looked
+            met.append(locks.acquire("/t", Mode.SHARED if name.endswith(".x") else Mode.EXCLUSIVE))
+        return real(self, name)
+
+    monkeypatch.setattr(FileLocks, "_made", meeting)
+    for mode in (Mode.EXCLUSIVE, Mode.SHARED):
+        met.clear()
+        with pytest.raises(LockError):
+            locks.acquire("/t", mode)
+        locks.release(met[1])
+        assert not locks.is_locked("/t")
+
+
+def test_a_lease_is_renewed_as_long_as_the_work_lasts(spark, where):
+    locks = FileLocks(spark, f"{where}/locks", lease=1.0)
+    with locked(locks, "/t", Mode.SHARED) as lock:
+        time.sleep(2.5)
+        with pytest.raises(LockError):
+            locks.acquire("/t", Mode.EXCLUSIVE)
+    assert not locks.is_locked("/t")
+    with pytest.raises(LockError, match="lease"):
+        locks.renew(lock)
+    gone = locks.acquire("/t", Mode.EXCLUSIVE)
+    time.sleep(1.2)
+    assert locks.acquire("/t", Mode.SHARED) and gone  # an ended lease holds nobody up
+    by_option = choose("file", spark, {"locks.file.folder": f"{where}/own", "locks.file.lease": "7", "locks.other.x": "1"})
+    assert (by_option.folder, by_option.lease) == (f"{where}/own", 7.0)
+
+
 def test_generated_rows_repeat(spark):
     s = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()), T.StructField("x", T.DoubleType()), T.StructField("ok", T.BooleanType())])
     fields = {"id": generate.Sequence(1, 3), "name": generate.Random(length=150), "x": generate.Random(5, 6)}
