@@ -16,7 +16,7 @@ Everything is built-in expressions and joins. Texts without a digit, "@" or titl
 others the text moves once. Hot entities are counted before the shuffle, and their joins can be split.
 
 Defined cases: a null text stays null, an empty one empty; rows that agree in doc_id and text are treated alike; a very long text is
-searched in one task, its mentions are rows; a format with fewer values than entities grows by characters rather than let two share
+searched in one task, in time linear in its length, its mentions are rows; a format with fewer values than entities grows by characters rather than let two share
 a surrogate; columns named n_mentions and n_entities are replaced, others are kept whatever their names; an empty table gives no
 rows. Not found: names without a title in texts that don't name them with one, and numbers of no form listed here.
 """
@@ -41,7 +41,9 @@ PARTICLES = "de|da|di|del|della|van|von|der|den|la|le|bin|al"
 OPENERS = "However|The|And|But|He|She|It|In|On|At|When|Then|This|That|They|We|You|Der|Die|Das|Und|Aber|Er|Sie|Es|Les|Et|Mais|Il|Elle|El|Los|Las|Pero|Él|Ella"
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-EMAIL = r"[\p{L}\p{N}_%+-](?:[\p{L}\p{N}._%+-]*[\p{L}\p{N}_%+-])?@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+"
+MAIL = r"[\p{L}\p{N}_%+-]"
+# a mailbox begins only where no other could have begun before, and gives nothing back, so each run of its characters is read once
+EMAIL = rf"(?:(?<![\p{{L}}\p{{N}}._%+-])|(?<=(?<![\p{{L}}\p{{N}}._%+-])\.{{1,3}})|(?<=\.{{4}})){MAIL}++(?:\.{{1,3}}+{MAIL}++)*+@[\p{{L}}\p{{N}}-]++(?:\.[\p{{L}}\p{{N}}-]++)++"
 IP = rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d)"
 IP6 = r"(?<![\p{L}\p{N}:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\p{L}\p{N}:])"
 SSN = r"(?<![\p{Nd}-])\p{Nd}{3}-\p{Nd}{2}-\p{Nd}{4}(?![\p{Nd}-])"
