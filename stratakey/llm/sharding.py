@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import math
 from dataclasses import asdict, dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -193,12 +194,10 @@ def fresh_name(prefix: str) -> str:
 
 
 def arrival_by_range(docs: DataFrame, n: int) -> Column:
-    """n arrivals of equal ranges of doc_id; null ids come with the first."""
-    ends = docs.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).first()
-    if ends["a"] is None:
-        return F.lit(0)
-    width = max(1, -(-(ends["b"] - ends["a"] + 1) // n))
-    return F.coalesce(F.floor((F.col("doc_id") - ends["a"]) / width), F.lit(0)).cast("int")
+    """n arrivals of about as many rows each, by ranges of doc_id, whatever ids there are and however they lie; null ids come with the first."""
+    cuts = docs.stat.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.01) if n > 1 else []
+    above = [(F.col("doc_id").cast("double") > c).cast("int") for c in sorted(set(cuts))]
+    return F.coalesce(reduce(Column.__add__, above, F.lit(0)), F.lit(0))
 
 
 def shard_documents(docs: DataFrame, n_arrivals: int = 8, root: str | None = None, **options) -> DataFrame:

@@ -170,6 +170,12 @@ def replaced(spark, texts, key="k"):
     return [r["text"] for r in pii.replace_pii(made(spark, texts), key).orderBy("doc_id").collect()]
 
 
+def test_pii_mailboxes_begin_at_edges_and_long_runs_are_read_once(spark):
+    out = replaced(spark, ["...x@r.de ........zoe@g.org aa..bb@c.de .w@v.uk a.@b.de x@@y.de é@ü.de (q@w.ee)", "a" * 300_000 + " 1", "a.." * 100_000 + "1", "1" * 300_000, "a@" * 100_000])
+    assert not re.search(r"x@r|zoe@|aa\.\.bb|w@v|é@ü|q@w", out[0]) and "a.@b.de x@@y.de" in out[0] and re.match(r"\.\.\.\w@\w\.de \.{8}\w{3}@\w\.org \w\w\.\.\w\w@\w\.de \.\w@\w\.uk ", out[0])
+    assert out[1:] == ["a" * 300_000 + " 1", "a.." * 100_000 + "1", "1" * 300_000, "a@" * 100_000]
+
+
 def test_pii_digest_is_an_hmac(spark):
     import hashlib
     import hmac
@@ -306,6 +312,16 @@ def test_writers_that_meet_lose_nothing(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in store.read().collect()) == [1, 2, 3, 10]
 
 
+def test_arrivals_of_extreme_and_skewed_ids(spark):
+    ids = [-(2**63), 2**63 - 1, None, *range(800), *[10**12 + i for i in range(5)]]
+    docs = spark.createDataFrame([(i, "t") for i in ids], "doc_id long, text string")
+    sizes = [r["count"] for r in docs.groupBy(sharding.arrival_by_range(docs, 8).alias("a")).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 150 and sum(sizes) == len(ids)
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in sharding.shard_documents(docs).collect()) == sorted((i is None, i or 0) for i in ids)
+    alike = docs.select(F.lit(7).cast("long").alias("doc_id"), "text")
+    assert sharding.shard_documents(alike).count() == len(ids)
+
+
 def test_shard_names_are_whole_file_names(spark):
     store = sharding.ShardStore(spark, fresh_path(spark, "s"))
     store.append(spark.createDataFrame([(i, "x") for i in range(4)], "doc_id long, text string").repartition(2))
