@@ -65,3 +65,33 @@ def test_strict_and_lenient(spark):
         df.where("t = '{'").select(rowtext.decode(F.col("t"), struct)).collect()
     with pytest.raises(ValueError):
         rowtext.decode(F.col("t"), struct, True, True)
+
+
+def test_rows_are_read_without_python(spark):
+    struct = T.StructType([
+        T.StructField("s", T.StringType()), T.StructField("n", T.LongType()), T.StructField("d", T.DoubleType()), T.StructField("b", T.BooleanType()), T.StructField("l", T.ArrayType(T.StringType())),
+        T.StructField("m", T.MapType(T.StringType(), T.LongType())), T.StructField("t", T.TimestampNTZType()), T.StructField("day", T.DateType()), T.StructField("dec", T.DecimalType(10, 2)), T.StructField("i", T.DayTimeIntervalType()), T.StructField("r", T.StructType([T.StructField("x", T.IntegerType())])),
+    ])
+    texts = [
+        r'{s="a\\n\x41\"q\" = ; [ ] { } # \n\t\q\0";n=18u;d=1.5;b=%true;l=[a;"b c";#;];m={k=1;"k 2"=-2;};t="2024-02-29 01:02:03.5";day="2024-02-29";dec=1.25;i=1500;r={x=7}};',
+        r'<a=1;b=<c=2>[1;2]>{s=<x=y>word;n="  12 ";d=%-inf;b="TRUE";l=[];m={};t="2024-02-29T01:02:03+02:00"; day = "1999-12-31" ;i=-1;r=#}',
+        "{}",
+        "{n=1.0;d=%inf;s=%false;l=#}",
+        r'{s="\\\\\\n";l=["\\";"";"é漢"]}',
+        '{s="line one\nline two\ttab"}',
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string").select("k", "t", rowtext.decode(F.col("t"), struct).alias("r"), rowtext._decoded_by_parser(F.col("t"), struct, False, False).alias("p"))
+    assert "Python" not in df.select("r")._jdf.queryExecution().executedPlan().toString()
+    for row in df.orderBy("k").collect():
+        assert repr(row["r"]) == repr(row["p"]), row["t"]
+    nan = spark.createDataFrame([("{d=%nan}",)], "t string").select(rowtext.decode(F.col("t"), struct)["d"]).first()[0]
+    assert nan != nan
+    bad = ["{", "{s=1;;n=2}", "{s=%maybe}", "{s=\"open}", "[1;2]", "{n=[1]}", "{1}", "s=1", "{n=x}", "{t=\"2024-99-01\"}", ""]
+    for text in bad:
+        one = spark.createDataFrame([(text,)], "t string")
+        with pytest.raises(Exception, match="expected|CAST_INVALID|cast|malformed"):
+            one.select(rowtext.decode(F.col("t"), struct)).collect()
+        got = one.select(rowtext.decode(F.col("t"), struct, ignore_parse_errors=True).alias("r")).first()["r"]
+        assert got["n"] is None and got["t"] is None
+    long = "{s=\"" + "x\\\\n\\\"" * 200_000 + "\"}"
+    assert len(spark.createDataFrame([(long,)], "t string").select(rowtext.decode(F.col("t"), struct)["s"]).first()[0]) == 800_000
