@@ -834,6 +834,45 @@ def test_hosts_agree_on_a_path(spark):
     assert html_extract.extract_pages(df).where("page_id = 5").first()["main_text"] == "short"
 
 
+def story(i, n=4):
+    return " ".join(f"Story {i} paragraph {j} has some words of its own, number {i * 7 + j}." for j in range(n))
+
+
+def in_paragraphs(text):
+    return "".join(f"<p>{s}.</p>" for s in text.rstrip(".").split(". "))
+
+
+def extracted(spark, pages):
+    rows = spark.createDataFrame(list(enumerate(pages)), "page_id long, u struct<url:string,html:string>").select("page_id", "u.*")
+    return [r["main_text"] for r in html_extract.extract_pages(rows).orderBy("page_id").collect()]
+
+
+def test_what_most_pages_of_a_host_share_is_its_frame(spark):
+    """The frame has names that no list knows; only the vote over the host's pages tells it from the story."""
+    frame = ("<div class='zq1'><p>Read our great teaser every day, it is the same.</p></div>", "<div class='zq2'><p>Copyright of the same people, all year round.</p></div>")
+    page = lambda i, box: f"<html><body>{frame[0]}<div class='{box}'>{in_paragraphs(story(i))}</div>{frame[1]}</body></html>"
+    pages = [(f"http://h.org/{i}", page(i, "mid")) for i in range(12)] + [("http://few.org/1", page(50, "mid")), ("http://few.org/2", page(51, "mid"))]
+    got = extracted(spark, pages)
+    assert got[:12] == [story(i) for i in range(12)]
+    assert all("teaser" in t and "Copyright" in t for t in got[12:])  # two pages are no majority of anything
+    hashes = {tuple(r["frame"]) for r in html_extract.host_frames(spark.createDataFrame([("h", page(i, "mid")) for i in range(5)], "host string, html string")).collect()}
+    found = [html_extract.block_hash(b) for b in html_extract.blocks(frame[0] + frame[1])[0] if html_extract.worth(b)]
+    assert hashes == {tuple(sorted(found))}
+
+
+@pytest.mark.parametrize("name", ["search", "promoted", "related", "share", "login"])
+def test_an_article_of_a_telling_name_stays(name, spark):
+    assert extracted(spark, [("http://a.org", f"<body><div class='{name}'>{in_paragraphs(story(1))}</div><div class='x'>more</div></body>")]) == [story(1) + " more"]
+    assert extracted(spark, [("http://a.org", f"<body><div class='post'><div class='{name}'>{in_paragraphs(story(1))}</div></div></body>")]) == [story(1)]
+    assert extracted(spark, [("http://a.org", f"<body><div class='{name}'>A box.</div><div>{in_paragraphs(story(1))}</div></body>")]) == [story(1)]
+    assert extracted(spark, [("http://a.org", f"<body><div class='{name}'>{in_paragraphs(story(1))}</div><article><p>Short.</p></article></body>")]) == ["Short."]
+
+
+def test_comments_and_forms_go_however_long(spark):
+    long = in_paragraphs(story(3))
+    assert extracted(spark, [("u", f"<body><div class='comments'>{long}</div><p>Short.</p></body>"), ("u", f"<div class='login'><input>{long}</div><p>Short.</p>")]) == ["Short.", "Short."]
+
+
 def test_lists_tables_and_quotes_are_part_of_the_article(spark):
     prose, items = "<p>" + "prose of it " * 25 + "</p>", "".join(f"<li>item {i} of a long list" for i in range(100))
     page = f"<body><article>{prose}<ul>{items}</ul></article></body>"
