@@ -43,7 +43,7 @@ OPENERS = "However|The|And|But|He|She|It|In|On|At|When|Then|This|That|They|We|Yo
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 MAIL = r"[\p{L}\p{N}_%+-]"
 # a mailbox begins only where no other could have begun before, and gives nothing back, so each run of its characters is read once
-EMAIL = rf"(?:(?<![\p{{L}}\p{{N}}._%+-])|(?<=(?<![\p{{L}}\p{{N}}._%+-])\.{{1,3}})|(?<=\.{{4}})){MAIL}++(?:\.{{1,3}}+{MAIL}++)*+@[\p{{L}}\p{{N}}-]++(?:\.[\p{{L}}\p{{N}}-]++)++"
+EMAIL = rf"(?<!{MAIL})(?:(?<!\.)|(?<=(?<![\p{{L}}\p{{N}}._%+-])\.{{1,3}})|(?<=\.{{4}})){MAIL}++(?:\.{{1,3}}+{MAIL}++)*+@[\p{{L}}\p{{N}}-]++(?:\.[\p{{L}}\p{{N}}-]++)++"
 IP = rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d)"
 IP6 = r"(?<![\p{L}\p{N}:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\p{L}\p{N}:])"
 SSN = r"(?<![\p{Nd}-])\p{Nd}{3}-\p{Nd}{2}-\p{Nd}{4}(?![\p{Nd}-])"
