@@ -97,7 +97,7 @@ class DimensionCache:
     NONE reads it each time. FULL keeps it whole and reads it again at intervals (PERIODIC) or at a time of day (TIMED).
     PARTIAL keeps the rows of the keys that were asked for, and, with missing, which keys have none: a table of the shared folder, an
     entry a row or absent key with the times when it was read and last used. An entry goes a time after either; of more than max_rows entries the longest
-    unused go. Only keys without an entry are looked up, by a semi-join with what load gives.
+    unused go. Only keys without an entry are looked up, by a semi-join with what load gives or by by_keys, which gets them and gives their rows.
     """
 
     load: Callable[[], DataFrame]
@@ -110,6 +110,7 @@ class DimensionCache:
     expire_after_access: timedelta | None = None
     max_rows: int | None = None
     missing: bool = True
+    by_keys: Callable[[DataFrame], DataFrame] | None = None
     clock: Callable[[], float] = time.time
     loads: int = field(default=0, init=False)
     #: PARTIAL: keys looked up in the dimension, and keys found here
@@ -127,11 +128,11 @@ class DimensionCache:
             raise ValueError("a FULL cache needs the reload strategy PERIODIC or TIMED")
 
     @classmethod
-    def of(cls, load: Callable[[], DataFrame], options: object) -> DimensionCache:
+    def of(cls, load: Callable[[], DataFrame], options: object, by_keys: Callable[[DataFrame], DataFrame] | None = None) -> DimensionCache:
         o = options
         return cls(
             load, o["lookup.cache"], o["lookup.full-cache.reload-strategy"], o["lookup.full-cache.periodic-reload.interval"] or timedelta(minutes=10), o["lookup.full-cache.timed-reload.iso-time"] or "00:00",
-            o["lookup.full-cache.timed-reload.interval-in-days"], o["lookup.partial-cache.expire-after-write"], o["lookup.partial-cache.expire-after-access"], o["lookup.partial-cache.max-rows"], o["lookup.partial-cache.cache-missing-key"],
+            o["lookup.full-cache.timed-reload.interval-in-days"], o["lookup.partial-cache.expire-after-write"], o["lookup.partial-cache.expire-after-access"], o["lookup.partial-cache.max-rows"], o["lookup.partial-cache.cache-missing-key"], by_keys,
         )
 
     def _stale(self) -> bool:
@@ -180,7 +181,8 @@ class DimensionCache:
         parts = []
         if n or live is None:
             self.loads += 1
-            found = self.load().join(wanted, keys, "left_semi").withColumns({ASKED: F.lit(True), FOUND: F.lit(True), WRITTEN: now, USED: now})
+            rows = self.by_keys(wanted) if self.by_keys else self.load().join(wanted, keys, "left_semi")
+            found = rows.withColumns({ASKED: F.lit(True), FOUND: F.lit(True), WRITTEN: now, USED: now})
             parts.append(found)
             if self.missing:
                 found_keys = found.select(*keys).distinct()

@@ -39,7 +39,7 @@ class ConfiguredTable:
         name = options["cluster-pick-strategy"]
         priorities = options.strategy(name).get("priorities")
         self.pick = STRATEGIES[name](self.roots, path_exists(spark), priorities.replace(";", ",").split(",") if priorities else None)
-        self.cache = DimensionCache.of(self.scan, options)
+        self.cache = DimensionCache.of(self.scan, options, self._by_keys if options.schema.keys and options["lookup-method"] == "LOOKUP" else None)
 
     def _retried(self, work: Callable[[], Any]) -> Any:
         if self.options["retry-strategy"] == "NO_RETRY":
@@ -69,6 +69,9 @@ class ConfiguredTable:
         df = reader.load()
         return df.limit(limit) if limit >= 0 else df
 
+    def _by_keys(self, asked: DataFrame) -> DataFrame:
+        return self._retried(lambda: self.pick.run(lambda root: self.table(root).of_keys(asked)))
+
     def act(self, work: Callable[[DataFrame], R], columns: Sequence[str] | None = None, **options: Any) -> R:
         """work(scan), again with a new scan if reading fails: with waits, and under another root if this one is gone."""
         return self._retried(lambda: self.pick.run(lambda root: work(self.table(root).scan(columns, **options))))

@@ -162,7 +162,7 @@ class KeyedTable:
             by_shards.setdefault(state["partitions"][n]["shards"], []).append(n)
         counts = sorted(by_shards)
         at = self.spark.range(1).select(F.array(*[F.pmod(key_hash(*values.values()), F.lit(n)) for n in counts]) if counts else F.array()).first()[0]
-        found = [self._rows(state, by_shards[n], None, shard) for n, shard in zip(counts, at)]
+        found = [self._rows(state, by_shards[n], None, [shard]) for n, shard in zip(counts, at)]
         df = reduce(DataFrame.unionByName, found) if found else self.spark.createDataFrame([], struct)
         # computed sort columns come first in each file, so their value skips the row groups of other keys
         sorted_by = [c for c in schema.columns if c.expression and c.sort_order]
@@ -173,23 +173,43 @@ class KeyedTable:
             df = df.where(F.col(k) == v)
         return df.select(*(visible(state).names if columns is None else columns))
 
+    def of_keys(self, asked: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+        """The rows whose keys are among those of asked (the key columns): only the shards that hold such keys are read.
+
+        The shards are found by a pass over asked, which should be a stored table; of them the driver gets numbers, no keys.
+        """
+        _, state = self.state()
+        schema, struct = TableSchema.parse(state["schema"]), stored(state)
+        if set(asked.columns) != set(schema.keys):
+            raise ValueError(f"a lookup takes the key columns {', '.join(schema.keys)}, not {', '.join(asked.columns)}")
+        asked = asked.select(*[F.col(k).cast(struct[k].dataType).alias(k) for k in schema.keys]).distinct()
+        by_shards: dict[int, list[str]] = {}
+        for n in sorted(state["partitions"]):
+            by_shards.setdefault(state["partitions"][n]["shards"], []).append(n)
+        counts = sorted(by_shards)
+        hashes = key_hash(*map(F.col, schema.keys))
+        held = asked.agg(*[F.collect_set(F.pmod(hashes, F.lit(n))).alias(f"s{n}") for n in counts]).first() if counts else None
+        found = [self._rows(state, by_shards[n], None, sorted(held[f"s{n}"])) for n in counts if held[f"s{n}"]]
+        df = reduce(DataFrame.unionByName, found) if found else self.spark.createDataFrame([], struct)
+        return df.join(asked, schema.keys, "left_semi").select(*(visible(state).names if columns is None else columns))
+
     def _read(self, struct: T.StructType, paths: Sequence[str]) -> DataFrame:
         # the folders' own columns are not wanted, so they are not looked for
         return self.spark.read.schema(struct).option("recursiveFileLookup", True).parquet(*paths) if paths else self.spark.createDataFrame([], struct)
 
-    def _rows(self, state: Mapping[str, Any], names: Sequence[str], columns: Sequence[str] | None = None, shard: int | None = None) -> DataFrame:
-        """The rows of some partitions as they are now, or of one shard of each; of columns at least those named."""
+    def _rows(self, state: Mapping[str, Any], names: Sequence[str], columns: Sequence[str] | None = None, shards: Sequence[int] | None = None) -> DataFrame:
+        """The rows of some partitions as they are now, or of some shards of each; of columns at least those named."""
         struct = stored(state)
         keys = TableSchema.parse(state["schema"]).keys
         partitioning = Partitioning(**state["partitioning"]) if state["partitioning"] else None
         order = state.get("order") or []
         layered, plain = [], []
         for p in (state["partitions"][n] for n in names):
-            paths = p["paths"] if shard is None else shard_paths(p, shard)
-            if keys and (len(paths) > 1 or p.get("loose")):
-                layered += [paths] if paths else []
-            else:
-                plain += paths
+            for paths in [p["paths"]] if shards is None else [shard_paths(p, s) for s in shards]:
+                if keys and (len(paths) > 1 or p.get("loose")):
+                    layered += [paths] if paths else []
+                else:
+                    plain += paths
         out = self._read(struct, plain)
         if not layered:
             return out

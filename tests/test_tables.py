@@ -280,6 +280,24 @@ def test_partial_cache_is_bounded_and_may_forget_misses(spark):
     assert cache._held.count() == 3 and cache.loads == 4
 
 
+def test_keys_read_their_shards_only(spark, where):
+    t = KeyedTable(spark, TablePath(where, "t"))
+    t.create(SCHEMA, Partitioning("ts", "DAY"), shards=16)
+    t.upsert(frame(spark, [(i, f"2024-01-0{1 + i % 2}T00:00:00", f"v{i}") for i in range(200)]))
+    t.upsert(frame(spark, [(3, "2024-01-02T01:00:00", "again")]))
+    few = t.of_keys(asked(spark, 3, 4, 3, 999))
+    assert content(few) == [(3, "again"), (4, "v4")] and len(few.inputFiles()) <= 8 < len(t.scan().inputFiles())
+    assert t.of_keys(asked(spark)).count() == 0 and content(t.of_keys(t.scan(["id"]))) == content(t.scan())
+    with pytest.raises(ValueError, match="key columns id"):
+        t.of_keys(spark.createDataFrame([("x",)], "v string"))
+    table = ConfiguredTable(spark, options_of(proxy="x", path=f"{where}/c", lookup__cache="PARTIAL", reshard__strategy="FIXED", reshard__tablet_count=8, reshard__uniform=True), registry=metrics.Registry())
+    table.write(frame(spark, [(i, None, f"v{i}") for i in range(50)]))
+    left = spark.createDataFrame([(7,), (8,), (70,)], "k long")
+    for looked_up in (3, 3):
+        got = table.lookup(left, {"k": "id"}, "left", ["v"]).collect()
+        assert sorted((r.k, r.v) for r in got) == [(7, "v7"), (8, "v8"), (70, None)] and table.cache.looked_up == looked_up
+
+
 def test_retries():
     waits, tries = [], []
 
