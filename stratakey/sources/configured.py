@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..config import credentials
 from ..config.options import TableOptions
 from ..locks import LocksProvider, Mode, choose, locked
 from ..operators.lookup import DimensionCache, lookup_join, with_retries
@@ -34,6 +35,7 @@ class ConfiguredTable:
 
     def __init__(self, spark: SparkSession, options: TableOptions, locks: LocksProvider | None = None, registry: Registry = REGISTRY, sleep: Callable[[float], None] = time.sleep):
         self.spark, self.options, self.registry, self.sleep = spark, options, registry, sleep
+        credentials.apply(spark, options)
         self.locks = locks or choose(options["locks.provider"], spark, options.free)
         self.roots = options["path-map"] or {"": options["path"]}
         name = options["cluster-pick-strategy"]

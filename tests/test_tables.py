@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratakey.config import credentials
 from stratakey.config.options import TableOptions
 from stratakey.locks import FileLocks, LockError, Mode, NoLocks, choose, do_unless, locked
 from stratakey.operators import batches, lookup, metrics
@@ -470,6 +471,21 @@ def test_conflicts_write_data_once(spark, where, monkeypatch, tmp_path):
     assert len(list((tmp_path / "t" / "data").iterdir())) == 1 and content(t.scan()) == [(1, "a")]
 
 
+def test_credentials_come_from_the_named_source(spark, where, monkeypatch):
+    raw = {"proxy": "x", "path": f"{where}/t", "username": "u", "token": "t0", "properties.hadoop.fs.test.secret": "{username}:{token}"}
+    conf = spark._jsc.hadoopConfiguration()
+    ConfiguredTable(spark, options_of(**raw), registry=metrics.Registry())
+    assert conf.get("fs.test.secret") is None
+    ConfiguredTable(spark, options_of(**raw, credentials_source="OPTIONS"), registry=metrics.Registry())
+    assert conf.get("fs.test.secret") == "u:t0"
+    monkeypatch.setitem(credentials.SOURCES, "vault", lambda options: {"fs.test.secret": options["username"] + "-from-vault"})
+    ConfiguredTable(spark, options_of(**raw, credentials_source="vault"), registry=metrics.Registry())
+    assert conf.get("fs.test.secret") == "u-from-vault"
+    conf.unset("fs.test.secret")
+    with pytest.raises(ValueError, match="no credentials source 'nowhere'"):
+        ConfiguredTable(spark, options_of(**raw, credentials_source="nowhere"), registry=metrics.Registry())
+
+
 HASHED = TableSchema.parse('<strict=%true;unique_keys=%true>[{name=hash;type=uint64;sort_order=ascending;expression="farm_hash(id)"};{name=id;type=int64;sort_order=ascending};{name=ts;type=timestamp};{name=v;type=string}]')
 
 
