@@ -23,30 +23,49 @@ def shared_path(spark: SparkSession, label: str) -> str:
 
 class Files(Protocol):
     def names(self, folder: str) -> list[str]: ...
+    def exists(self, path: str) -> bool: ...
     def read(self, path: str) -> str: ...
     def publish(self, path: str, text: str) -> None: ...
     def delete(self, path: str) -> None: ...
 
 
+def publish_local(path: str, draft: str, text: str) -> None:
+    os.makedirs(os.path.dirname(draft), exist_ok=True)
+    with open(draft, "wb") as f:
+        f.write(text.encode())
+    try:
+        os.link(draft, path)
+    finally:
+        os.remove(draft)
+
+
 class JvmFiles:
     """Any file system that Spark itself can use."""
 
     def __init__(self, spark: SparkSession):
-        self.spark = spark
+        self.spark, self.conf = spark, spark._jsc.hadoopConfiguration()
+        # naming a class asks the JVM about each part of the name, so it is done once
+        jvm = spark._jvm
+        self._path, self._context, self._io = jvm.org.apache.hadoop.fs.Path, jvm.org.apache.hadoop.fs.FileContext, jvm.org.apache.commons.io.IOUtils
+        self._options = spark._sc._gateway.new_array(getattr(jvm, "org.apache.hadoop.fs.Options$Rename"), 0)
 
     def place(self, path: str) -> tuple[Any, Any]:
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        p = self._path(path)
+        return p, p.getFileSystem(self.conf)
 
     def names(self, folder: str) -> list[str]:
         p, fs = self.place(folder)
         return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
+    def exists(self, path: str) -> bool:
+        p, fs = self.place(path)
+        return fs.exists(p)
+
     def read(self, path: str) -> str:
         p, fs = self.place(path)
         stream = fs.open(p)
         try:
-            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return self._io.toString(stream, "UTF-8")
         finally:
             stream.close()
 
@@ -54,14 +73,16 @@ class JvmFiles:
         """Makes a file appear whole; FileExistsError if there is one of that name."""
         folder, name = path.rsplit("/", 1)
         draft, fs = self.place(f"{folder}/drafts/{uuid.uuid4().hex}")
+        if fs.getUri().getScheme() == "file":
+            # Hadoop's local rename starts a process for each file that it looks at
+            return publish_local(self._path(path).toUri().getPath(), draft.toUri().getPath(), text)
         out = fs.create(draft, False)
         out.write(bytearray(text.encode()))
         out.close()
-        final, jvm = self.place(f"{folder}/{name}")[0], self.spark._jvm
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), self.spark._jsc.hadoopConfiguration())
-        options = self.spark._sc._gateway.new_array(getattr(jvm, "org.apache.hadoop.fs.Options$Rename"), 0)
+        final = self._path(f"{folder}/{name}")
+        context = self._context.getFileContext(final.toUri(), self.conf)
         try:
-            context.rename(context.makeQualified(draft), context.makeQualified(final), options)
+            context.rename(context.makeQualified(draft), context.makeQualified(final), self._options)
         except Exception as e:
             fs.delete(draft, False)
             if "FileAlreadyExists" in str(e):
@@ -87,6 +108,10 @@ class ArrowFiles:
     def names(self, folder: str) -> list[str]:
         return [i.base_name for i in self.listed(folder)]
 
+    def exists(self, path: str) -> bool:
+        fs, p = self.place(path)
+        return fs.get_file_info(p).type != arrow_fs.FileType.NotFound
+
     def read(self, path: str) -> str:
         fs, p = self.place(path)
         with fs.open_input_stream(p) as f:

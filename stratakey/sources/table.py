@@ -3,7 +3,7 @@
 A table is a folder: Parquet data in one sub-folder a batch, partition and shard, and a log of versions that says which folders hold
 which partition, oldest first. A write adds folders with its own rows only, so its cost follows the batch and not the table; a reader
 takes the last row of each key, without a shuffle where a partition has one folder. When a write finds DELTAS folders in a partition it
-merges them, so a row is rewritten about once in so many writes. Each write commits one version, or one for so many rows, so a reader or
+merges them, so a row is rewritten about once in so many writes. The pieces of one write have no key in common and are read as one folder. Each write commits one version, or one for so many rows, so a reader or
 a failed writer never sees half of one. A batch named by (writer, number) commits once however often it is retried.
 
 Keys are unique within a partition: each partition is a table of its own. A row's shard is its key's hash modulo the partition's number
@@ -20,6 +20,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import groupby
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,7 +34,7 @@ from ..locks import LocksProvider, Mode, NoLocks, do_unless, locked
 from ..operators.batches import numbered
 from ..schema import STORE_TYPES, ColumnSpec, TableSchema
 from .files import JvmFiles
-from .log import Conflict, VersionLog
+from .log import MORE, Conflict, VersionLog
 
 PARTITION, SHARD, AGE, PIECE = "__partition", "__shard", "__age", "__piece"
 DELTAS = 8  # folders of a partition that are merged by the next write
@@ -206,8 +207,8 @@ class KeyedTable:
         layered, plain = [], []
         for p in (state["partitions"][n] for n in names):
             for paths in [p["paths"]] if shards is None else [shard_paths(p, s) for s in shards]:
-                if keys and (len(paths) > 1 or p.get("loose")):
-                    layered += [paths] if paths else []
+                if keys and (len(layers := in_layers(paths)) > 1 or p.get("loose")):
+                    layered += [layers] if layers else []
                 else:
                     plain += paths
         out = self._read(struct, plain)
@@ -215,7 +216,7 @@ class KeyedTable:
             return out
         needed = {*keys, *order, *([partitioning.key] if partitioning else []), *(struct.names if columns is None else columns)}
         kept = T.StructType([f for f in struct.fields if f.name in needed])
-        by_age = [[paths[-i] for paths in layered if i <= len(paths)] for i in range(1, max(map(len, layered)) + 1)]
+        by_age = [[path for layers in layered if i <= len(layers) for path in layers[-i]] for i in range(1, max(map(len, layered)) + 1)]
         read = [self._read(kept, paths).withColumn(AGE, F.lit(-i)) for i, paths in enumerate(by_age)]
         rows = reduce(DataFrame.unionByName, read).withColumn(PARTITION, partitioning.name() if partitioning else F.lit(WHOLE))
         # computed sort columns follow from the keys; among them, filters reach the files
@@ -294,7 +295,8 @@ class KeyedTable:
             if rows_limit is None:
                 return self._write_all(last.withColumn(PIECE, F.lit(0)), schema, batch, retries, now, until)
             sortable = schema.keys or [f.name for f in stored(state).fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-            with numbered(last, [PARTITION, *sortable], "__n") as rows:
+            # a first column with one value would leave the sort nothing to tell rows apart by at once
+            with numbered(last, [PARTITION, *sortable] if state["partitioning"] or not sortable else sortable, "__n") as rows:
                 return self._write_all(rows.withColumn(PIECE, F.expr(f"cast(__n div {rows_limit} as int)")).drop("__n"), schema, batch, retries, now, until)
         finally:
             last.unpersist()
@@ -302,13 +304,17 @@ class KeyedTable:
     def _write_all(self, rows: DataFrame, schema: TableSchema, batch: tuple[str, int] | None, retries: int, now: str | None, until: float | None) -> Committed:
         counts = {(r[0], r[1]): r[2] for r in rows.groupBy(PIECE, PARTITION).count().collect()}
         total, pieces = sum(counts.values()), max((p for p, _ in counts), default=0) + 1
+        of_piece: list[dict[str, int]] = [{} for _ in range(pieces)]
+        for (p, n), c in counts.items():
+            of_piece[p][n] = c
+        # without keys any shard may take a row, so a piece that one task can write is one file
+        by_piece = not schema.keys and pieces > 1 and max(map(sum, (own.values() for own in of_piece))) <= SHARD_ROWS
         try:
             _, state = self.state()
             shards = self._shard_plan(state, counts)
-            folder, holds = self._write(rows, schema, shards)
+            folder, holds = self._write(rows, schema, shards, by_piece)
             done, touched = None, set()
-            for piece in range(pieces):
-                own = {n: c for (p, n), c in counts.items() if p == piece}
+            for piece, own in enumerate(of_piece):
                 for attempt in range(retries + 1):
                     version, state = self.state()
                     opened = state.get("open", {}).get(batch[0]) if batch else None
@@ -323,11 +329,13 @@ class KeyedTable:
                         moved = {n for n in own if state["partitions"].get(n, {}).get("shards", shards[n]) != shards[n]}
                         if moved:  # shards have grown in between: write again what they hold
                             shards |= self._shard_plan(state, {(0, n): own[n] for n in moved})
-                            again, more = self._write(rows.where((F.col(PIECE) == piece) & F.col(PARTITION).isin(sorted(moved))), schema, {n: shards[n] for n in moved})
+                            again, more = self._write(rows.where((F.col(PIECE) == piece) & F.col(PARTITION).isin(sorted(moved))), schema, {n: shards[n] for n in moved}, by_piece)
                             holds |= more
                         else:
                             again = folder
                         paths = {n: place(again if n in moved else folder, n, piece) for n in own}
+                        if by_piece:
+                            holds |= {paths[n]: [piece % shards[n]] for n in own if shards[n] > 1}
                         change = self._change(state, own, paths, holds, shards, schema, now, merge=pieces == 1)
                         change["commit"] = {"rows": sum(own.values()), "partitions": len(own), "batch": list(batch or (None, None)), "piece": piece, "pieces": pieces, "added": list(paths.values())}
                         if batch:
@@ -356,15 +364,18 @@ class KeyedTable:
         """What adding these folders changes. Partitions with many folders, and those that outgrow their shards, are merged."""
         known = state["partitions"]
         expires = self._expiry([n for n in counts if n not in known], Partitioning(**state["partitioning"]) if state["partitioning"] else None, now)
-        touched = {}
+        touched, more = {}, {}
         for n, c in counts.items():
+            if n in known and not merge:
+                more[n] = {"paths": [paths[n]], "rows": c, "holds": {paths[n]: holds[paths[n]]} if paths[n] in holds else {}}
+                continue
             was = known.get(n, {"paths": [], "rows": 0, "expires": expires.get(n), "shards": shards[n]})
             touched[n] = entry(was, [*was["paths"], paths[n]], holds, rows=was["rows"] + c)
         if merge:
             grown = {n: self._shards(state, n, p["rows"]) for n, p in touched.items()}
             full = sorted(n for n, p in touched.items() if len(p["paths"]) > DELTAS or grown[n] != p["shards"])
             touched |= self._merged({**state, "partitions": {**known, **touched}}, full, schema, grown)
-        return {"partitions": touched}
+        return {"partitions": touched, MORE: more} if more else {"partitions": touched}
 
     def _merged(self, state: Mapping[str, Any], names: Sequence[str], schema: TableSchema, shards: Mapping[str, int]) -> dict[str, Any]:
         """The entries of partitions after their folders are merged into one each."""
@@ -388,15 +399,18 @@ class KeyedTable:
             least = last_partitions_count(self._partition_table(state), name, state["last_partitions"], state["shards"]).first()[0]
         return max(least, need)
 
-    def _write(self, rows: DataFrame, schema: TableSchema, shards: Mapping[str, int]) -> tuple[str, dict[str, list[int]]]:
+    def _write(self, rows: DataFrame, schema: TableSchema, shards: Mapping[str, int], by_piece: bool = False) -> tuple[str, dict[str, list[int]]]:
         """Writes rows with their PIECE and PARTITION, each partition in its number of shards by hash of the key, or of the row where there is none.
 
-        The folder, and for the paths that lack some of their shards those that they hold.
+        With by_piece the pieces take the shards in turn. The folder, and for the paths that lack some of their shards those that they
+        hold; with by_piece the caller knows them.
         """
         folder = f"{self.path}/data/{uuid.uuid4().hex}"
-        placed = sharded(rows, schema, shards).repartition(PIECE, PARTITION, SHARD)
+        placed = sharded(rows, schema, shards, by_piece)
+        if not by_piece:  # pieces are runs of rows in order, which are in few tasks as they come
+            placed = placed.repartition(PIECE, PARTITION, SHARD)
         placed.sortWithinPartitions(PIECE, PARTITION, SHARD, *[c.name for c in schema.columns if c.sort_order]).write.partitionBy(PIECE, PARTITION, SHARD).parquet(folder)
-        if max(shards.values(), default=1) == 1:
+        if by_piece or max(shards.values(), default=1) == 1:
             return folder, {}
         held = sharded(rows.select(PIECE, PARTITION, *hashed(schema)), schema, shards).groupBy(PIECE, PARTITION).agg(F.collect_set(SHARD).alias("s"))
         some = [(place(folder, r[1], r[0]), sorted(r["s"]), shards[r[1]]) for r in held.collect()]
@@ -516,8 +530,9 @@ def shard_paths(partition: Mapping[str, Any], shard: int) -> list[str]:
 
 def entry(was: Mapping[str, Any], paths: Sequence[str], holds: Mapping[str, Sequence[int]], **changes: Any) -> dict[str, Any]:
     """A partition's entry with other paths. holds names the shards of the paths that lack some."""
-    kept = {p: h for p, h in {**was.get("holds", {}), **holds}.items() if p in paths}
-    loose = [p for p in was.get("loose", []) if p in paths]
+    own = set(paths)
+    kept = {p: h for p, h in {**was.get("holds", {}), **holds}.items() if p in own}
+    loose = [p for p in was.get("loose", []) if p in own]
     return {k: v for k, v in {**was, **changes, "paths": list(paths), "holds": kept, "loose": loose}.items() if v or k not in ("holds", "loose")}
 
 
@@ -525,15 +540,20 @@ def place(folder: str, name: str, piece: int = 0) -> str:
     return f"{folder}/{PIECE}={piece}/{PARTITION}={escaped(name)}"
 
 
+def in_layers(paths: Sequence[str]) -> list[list[str]]:
+    """The folders of a partition, those of pieces that one write added one after another together: each of its keys is in one piece."""
+    return [list(g) for _, g in groupby(paths, lambda p: p.rsplit(f"/{PIECE}=", 1)[0])]
+
+
 def hashed(schema: TableSchema) -> list[str]:
     """The columns whose hash decides the shard."""
     return schema.keys or [f.name for f in schema.write_schema().struct().fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
 
 
-def sharded(rows: DataFrame, schema: TableSchema, shards: Mapping[str, int]) -> DataFrame:
+def sharded(rows: DataFrame, schema: TableSchema, shards: Mapping[str, int], by_piece: bool = False) -> DataFrame:
     """rows that have their PIECE and PARTITION, with their SHARD."""
     sizes = rows.sparkSession.createDataFrame(list(shards.items()) or [("", 1)], "__name string, __shards int")
-    shard = F.pmod(key_hash(*[F.col(k) for k in hashed(schema)]), F.col("__shards")).cast("int")
+    shard = F.pmod(F.col(PIECE) if by_piece else key_hash(*[F.col(k) for k in hashed(schema)]), F.col("__shards")).cast("int")
     placed = rows.join(F.broadcast(sizes), F.col(PARTITION) == F.col("__name"))
     # a column that the optimizer knows to be constant would leave the order of rows, and the writer would sort anew without the keys
     placed = placed.withColumns({SHARD: shard, PARTITION: F.col("__name"), PIECE: F.col(PIECE) + F.least(F.col("__shards"), F.lit(0))})

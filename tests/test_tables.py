@@ -3,6 +3,7 @@ import random
 import shutil
 import time
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from stratakey.operators import batches, lookup, metrics
 from stratakey.schema import TableSchema
 from stratakey.sources import generate
 from stratakey.sources.configured import ConfiguredTable
+from stratakey.sources.files import JvmFiles
 from stratakey.sources.log import Conflict, VersionLog
 from stratakey.sources.roots import FirstAvailable, NoRoot
 from stratakey.sources.table import KeyedTable, NotMounted, Partitioning, TablePath, escaped, last_rows
@@ -22,6 +24,8 @@ from stratakey.streaming import sink
 
 SCHEMA = TableSchema.parse("<strict=%true;unique_keys=%true>[{name=id;type=int64;sort_order=ascending};{name=ts;type=timestamp};{name=v;type=string}]")
 
+PLAIN = TableSchema.parse("[{name=id;type=int64};{name=ts;type=timestamp};{name=v;type=string}]")
+
 
 @pytest.fixture
 def where(tmp_path):
@@ -444,6 +448,34 @@ def test_commits_of_so_many_rows(spark, where, monkeypatch):
     assert t.scan().count() == 45
 
 
+def test_a_commit_costs_what_it_adds(spark, where, monkeypatch):
+    real, listed = JvmFiles.names, []
+    monkeypatch.setattr(JvmFiles, "names", lambda self, folder: listed.append(folder) or real(self, folder))
+    monkeypatch.setattr(KeyedTable, "compact", lambda *_: 0)
+    rows = [(i, None, f"v{i}") for i in range(200)]
+    t = KeyedTable(spark, TablePath(where, "plain"))
+    t.create(PLAIN, shards=8)
+    listed.clear()
+    t.upsert(frame(spark, rows), batch=("w", 0), rows_limit=5)
+    assert len(listed) <= 3  # not one for each of 40 commits
+    sizes = [len(t.files.read(f"{t.log.folder}/v{v:09d}.json")) for v in t.log.versions()]
+    assert len(sizes) == 41 and sizes[-1] < 1.3 * sizes[2]
+    state = t.state()[1]["partitions"]["all"]
+    assert state["rows"] == 200 and len(state["paths"]) == len(state["holds"]) == 40
+    assert state == KeyedTable(spark, TablePath(where, "plain")).state()[1]["partitions"]["all"]
+    found = list(Path(t.path.removeprefix("file://")).glob("data/*/*/*/*/*.parquet"))
+    assert len(found) <= 40 + 8  # not 40 times 8
+    assert sorted(r.id for r in t.scan().collect()) == list(range(200))
+    assert sorted(r.id for s in range(8) for r in t._rows(t.state()[1], ["all"], None, [s]).collect()) == list(range(200))
+    # the pieces of one write share no key: they are read as one folder, without an aggregation
+    k = KeyedTable(spark, TablePath(where, "keyed"))
+    k.create(SCHEMA, shards=2)
+    k.upsert(frame(spark, rows), batch=("w", 0), rows_limit=20)
+    assert "Aggregate" not in k.scan()._jdf.queryExecution().executedPlan().toString() and k.scan().count() == 200
+    k.upsert(frame(spark, [(i, None, "new") for i in range(50)]), batch=("w", 1), rows_limit=20)
+    assert content(k.scan()) == sorted((i, "new" if i < 50 else f"v{i}") for i in range(200))
+
+
 def test_option_limits_reach_commits(spark, where):
     own = metrics.Registry()
     table = ConfiguredTable(spark, options_of(proxy="x", path=f"{where}/t", rows_in_transaction_limit=4), registry=own)
