@@ -349,13 +349,15 @@ def data_metrics_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").groupBy("event_type").agg(F.max("event_id").alias("max_event"))
 
 
-@query("select n // 99000 as transaction, count(*)::bigint as n_rows from (select row_number() over (order by l_orderkey, l_linenumber) - 1 as n from lineitem) group by 1")
+@query("select t as transaction, m as modification, count(*)::bigint as n_rows from (select n // 99000 as t, (n - n // 99000 * 99000) // 1000 + n // 99000 * 99 as m from (select row_number() over (order by l_orderkey, l_linenumber) - 1 as n from lineitem)) group by 1, 2")
 def commit_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One write, cut into commits of at most rows-in-transaction-limit rows, as the table's log has them."""
+    """One write, cut into commits of at most rows-in-transaction-limit rows and these into modifications, as the table has them."""
     rows = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    table = configured(spark, rows, [], rows_in_transaction_limit=99_000)
+    table = configured(spark, rows, [], rows_in_transaction_limit=99_000, rows_in_modification_limit=1_000)
     table.write(rows, batch=("load", 0))
-    return table.table(table.options["path"]).history().select(F.col("piece").alias("transaction"), F.col("rows").alias("n_rows"))
+    done = table.table(table.options["path"]).modifications()
+    # a full transaction has 99 modifications
+    return done.select(F.col("piece").alias("transaction"), (F.col("modification") + F.col("piece") * 99).alias("modification"), F.col("rows").alias("n_rows"))
 
 
 @query(_LAST)

@@ -29,8 +29,8 @@ class ConfiguredTable:
     DataFrame outlives the root that it was planned for. act() runs a whole action, with any number of jobs, and runs it again if a read
     fails. Retries wait longer each time (retry-strategy EXPONENTIAL) or are left out (NO_RETRY); errors that no other attempt can mend are raised at once.
 
-    The limits rows-in-transaction-limit and transaction-timeout hold where the options name them; their defaults are those of a
-    store that takes rows one by one.
+    The limits rows-in-transaction-limit, with it rows-in-modification-limit, and transaction-timeout hold where the options name them;
+    their defaults are those of a store that takes rows one by one.
     """
 
     def __init__(self, spark: SparkSession, options: TableOptions, locks: LocksProvider | None = None, registry: Registry = REGISTRY, sleep: Callable[[float], None] = time.sleep):
@@ -100,10 +100,10 @@ class ConfiguredTable:
         def into(root: str) -> Committed:
             table = self.table(root)
             given = self.options.values
-            limit = given.get("rows-in-transaction-limit")
+            limit, modification = given.get("rows-in-transaction-limit"), given.get("rows-in-modification-limit")
             timeout = given["transaction-timeout"].total_seconds() if "transaction-timeout" in given else None
             with locked(self.locks, table.path, Mode.SHARED):
-                return observed_write(rows, lambda df: table.upsert(df, order_by, batch, rows_limit=limit, timeout=timeout), table.path, self.options["trackable-field"], self.options.metrics(), self.registry)
+                return observed_write(rows, lambda df: table.upsert(df, order_by, batch, rows_limit=limit, timeout=timeout, modification_limit=modification), table.path, self.options["trackable-field"], self.options.metrics(), self.registry)
 
         return [self._retried(lambda root=root: into(root)) for root in self.roots.values()]
 

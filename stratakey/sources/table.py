@@ -36,7 +36,7 @@ from ..schema import STORE_TYPES, ColumnSpec, TableSchema
 from .files import JvmFiles
 from .log import MORE, Conflict, VersionLog
 
-PARTITION, SHARD, AGE, PIECE = "__partition", "__shard", "__age", "__piece"
+PARTITION, SHARD, AGE, PIECE, MODIFICATION = "__partition", "__shard", "__age", "__piece", "__modification"
 DELTAS = 8  # folders of a partition that are merged by the next write
 SHARD_ROWS = 1_000_000  # rows that one task writes at most on average
 WHOLE = "all"
@@ -241,6 +241,19 @@ class KeyedTable:
                 rows.append((v, c["rows"], c["partitions"], *c["batch"], c["piece"], c["pieces"]))
         return self.spark.createDataFrame(rows, "version long, rows long, partitions long, writer string, batch long, piece long, pieces long")
 
+    def modifications(self) -> DataFrame:
+        """(version, piece, modification, rows): the modifications of the versions whose write had a limit for them, numbered in each from 0."""
+        named = []
+        for v in self.log.versions():
+            c = self.log.change(v).get("commit")
+            if c and c.get("modifications"):
+                named.append((v, c["piece"], c["modifications"]))
+        folders = sorted({n for _, _, n in named})
+        struct = T.StructType([T.StructField(PIECE, T.IntegerType()), T.StructField(MODIFICATION, T.LongType()), T.StructField(PARTITION, T.StringType()), T.StructField("count", T.LongType()), T.StructField("write", T.StringType())])
+        kept = F.broadcast(self.spark.createDataFrame(named, f"version long, {PIECE} int, write string"))
+        sums = self._read(struct, [f"{self.path}/modifications/{n}" for n in folders]).groupBy("write", PIECE, MODIFICATION).agg(F.sum("count").alias("rows"))
+        return sums.join(kept, ["write", PIECE]).select("version", F.col(PIECE).cast("bigint").alias("piece"), F.col(MODIFICATION).alias("modification"), "rows")
+
     # writing
 
     def prepared(self, rows: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
@@ -276,12 +289,13 @@ class KeyedTable:
         out = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in given], *order)
         return out.withColumns({c.name: computed(c) for c in schema.columns if c.expression})
 
-    def upsert(self, rows: DataFrame, order_by: Sequence[str] = (), batch: tuple[str, int] | None = None, retries: int = 5, now: str | None = None, rows_limit: int | None = None, timeout: float | None = None) -> Committed:
+    def upsert(self, rows: DataFrame, order_by: Sequence[str] = (), batch: tuple[str, int] | None = None, retries: int = 5, now: str | None = None, rows_limit: int | None = None, timeout: float | None = None, modification_limit: int | None = None) -> Committed:
         """Writes rows; of rows with one key the last by order_by stays, and it replaces the row that the table has.
 
         Without keys the rows are added. With rows_limit no version adds more rows: the batch is cut by key order and committed piece after
         piece, and a batch that is tried again goes on after the pieces that it has committed. Data are written once, also where commits
-        conflict. A write that takes longer than timeout seconds before its last commit fails with TimeoutError. An error has the number of rows as rows_seen once
+        conflict. With modification_limit too the rows of each version are counted by modifications of so many rows, in the same order, and the
+        version names the table of these counts. A write that takes longer than timeout seconds before its last commit fails with TimeoutError. An error has the number of rows as rows_seen once
         they are counted.
         """
         version, state = self.state()
@@ -297,12 +311,22 @@ class KeyedTable:
             sortable = schema.keys or [f.name for f in stored(state).fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
             # a first column with one value would leave the sort nothing to tell rows apart by at once
             with numbered(last, [PARTITION, *sortable] if state["partitioning"] or not sortable else sortable, "__n") as rows:
-                return self._write_all(rows.withColumn(PIECE, F.expr(f"cast(__n div {rows_limit} as int)")).drop("__n"), schema, batch, retries, now, until)
+                placed = rows.withColumn(PIECE, F.expr(f"cast(__n div {rows_limit} as int)"))
+                if modification_limit:
+                    placed = placed.withColumn(MODIFICATION, F.expr(f"__n % {rows_limit} div {modification_limit}"))
+                return self._write_all(placed.drop("__n"), schema, batch, retries, now, until)
         finally:
             last.unpersist()
 
     def _write_all(self, rows: DataFrame, schema: TableSchema, batch: tuple[str, int] | None, retries: int, now: str | None, until: float | None) -> Committed:
-        counts = {(r[0], r[1]): r[2] for r in rows.groupBy(PIECE, PARTITION).count().collect()}
+        listed = uuid.uuid4().hex if MODIFICATION in rows.columns else None
+        sizes = rows.groupBy(PIECE, PARTITION).count()
+        if listed:
+            by_modification = rows.groupBy(PIECE, PARTITION, MODIFICATION).count().withColumn("write", F.lit(listed))
+            by_modification.write.parquet(f"{self.path}/modifications/{listed}")
+            rows = rows.drop(MODIFICATION)
+            sizes = self._read(by_modification.schema, [f"{self.path}/modifications/{listed}"]).groupBy(PIECE, PARTITION).agg(F.sum("count"))
+        counts = {(r[0], r[1]): r[2] for r in sizes.collect()}
         total, pieces = sum(counts.values()), max((p for p, _ in counts), default=0) + 1
         of_piece: list[dict[str, int]] = [{} for _ in range(pieces)]
         for (p, n), c in counts.items():
@@ -338,6 +362,8 @@ class KeyedTable:
                             holds |= {paths[n]: [piece % shards[n]] for n in own if shards[n] > 1}
                         change = self._change(state, own, paths, holds, shards, schema, now, merge=pieces == 1)
                         change["commit"] = {"rows": sum(own.values()), "partitions": len(own), "batch": list(batch or (None, None)), "piece": piece, "pieces": pieces, "added": list(paths.values())}
+                        if listed:
+                            change["commit"]["modifications"] = listed
                         if batch:
                             final = piece == pieces - 1
                             change |= {"batches": {batch[0]: batch[1]}, "open": {batch[0]: None}} if final else {"open": {batch[0]: [batch[1], piece + 1]}}
@@ -443,13 +469,17 @@ class KeyedTable:
         return gone
 
     def vacuum(self) -> int:
-        """Deletes data folders that the last version doesn't name, and versions before the last checkpoint; returns how many folders. Not while writers run."""
+        """Deletes data folders that the last version doesn't name, versions before the last checkpoint, and counts of modifications that no version left names; returns how many data folders. Not while writers run."""
         _, state = self.state()
         used = {path.removeprefix(f"{self.path}/data/").split("/", 1)[0] for p in state["partitions"].values() for path in p["paths"]}
         old = [n for n in self.files.names(f"{self.path}/data") if n not in used]
         for n in old:
             self.files.delete(f"{self.path}/data/{n}")
         self.log.prune()
+        named = {(self.log.change(v).get("commit") or {}).get("modifications") for v in self.log.versions()}
+        for n in self.files.names(f"{self.path}/modifications"):
+            if n not in named:
+                self.files.delete(f"{self.path}/modifications/{n}")
         return len(old)
 
     # mount states: a table that isn't mounted is read, but not written

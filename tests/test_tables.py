@@ -448,6 +448,23 @@ def test_commits_of_so_many_rows(spark, where, monkeypatch):
     assert t.scan().count() == 45
 
 
+def test_commits_name_the_modifications_of_their_rows(spark, where):
+    t = KeyedTable(spark, TablePath(where, "t"))
+    t.create(PLAIN, Partitioning("ts", "DAY"))
+    rows = frame(spark, [(i, f"2024-01-0{1 + i % 2}T00:00:00", f"v{i}") for i in range(25)])
+    t.upsert(rows, batch=("w", 0), rows_limit=10, modification_limit=4)
+    t.upsert(rows, batch=("w", 1))
+    t.upsert(rows.limit(5), batch=("w", 2), rows_limit=10, modification_limit=4)
+    got = sorted((r.piece, r.modification, r.rows) for r in t.modifications().where("version < 6").collect())
+    assert got == [(0, 0, 4), (0, 1, 4), (0, 2, 2), (1, 0, 4), (1, 1, 4), (1, 2, 2), (2, 0, 4), (2, 1, 1)]
+    assert sorted((r.modification, r.rows) for r in t.modifications().where("version > 5").collect()) == [(0, 4), (1, 1)]
+    t.vacuum()
+    assert t.modifications().count() == 10 and t.scan().count() == 55
+    table = ConfiguredTable(spark, options_of(proxy="x", path=f"{where}/o", rows_in_transaction_limit=4, rows_in_modification_limit=3), registry=metrics.Registry())
+    table.write(frame(spark, [(i, None, "a") for i in range(9)]), batch=("w", 3))
+    assert sorted((r.piece, r.modification, r.rows) for r in KeyedTable(spark, TablePath(f"{where}/o")).modifications().collect()) == [(0, 0, 3), (0, 1, 1), (1, 0, 3), (1, 1, 1), (2, 0, 1)]
+
+
 def test_a_commit_costs_what_it_adds(spark, where, monkeypatch):
     real, listed = JvmFiles.names, []
     monkeypatch.setattr(JvmFiles, "names", lambda self, folder: listed.append(folder) or real(self, folder))
