@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratakey.llm import decontaminate, jaccard_join, mixing, quality_classifier, sharding
-from stratakey.llm.store import Scratch, documents
+from stratakey.llm.store import Scratch, documents, small_batches
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,5 +55,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, scratch = documents(spark, sf_dir), Scratch(spark)
     for _, stage in STAGES:
-        docs = scratch.store(stage(spark, docs, sf_dir), "stage")  # in the place of the stage before
+        with small_batches(spark):  # whole texts go to Python in the write, too
+            docs = scratch.store(stage(spark, docs, sf_dir), "stage")  # in the place of the stage before
     return docs

@@ -42,7 +42,7 @@ LEVELS = (2, 5, 20, 100, 1000)
 #: Fragments of the global order: the first level in four parts by hash, the others one each.
 CUTS = 4
 PARITY = 512
-FLUSH = 1_500_000  # shingles that a task gathers before it sends them
+FLUSH = 500_000  # shingles that a task gathers before it sends them; sorting and coding them takes some 80 bytes each
 FRAGMENT_BITS = 10  # the hash range is counted in 2**10 fragments, whatever the input
 WIDE = (1 << 24) - 1
 
@@ -70,7 +70,11 @@ def fragment_counts(docs: DataFrame, sub_bits: int) -> DataFrame:
     """
 
     def emit(gathered: list[np.ndarray]) -> pa.RecordBatch:
-        u, c = np.unique(np.concatenate(gathered), return_counts=True)
+        u = np.concatenate(gathered)
+        gathered.clear()
+        u.sort()
+        starts = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]]))
+        u, c = u[starts], np.diff(starts, append=len(u))
         key = (u >> np.uint64(64 - FRAGMENT_BITS - sub_bits)).astype(np.int64)
         first = np.flatnonzero(np.diff(key, prepend=-1))
         value = within(u).astype(np.int64)

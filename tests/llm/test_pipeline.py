@@ -110,3 +110,10 @@ def test_mixed_rows_are_cut_at_their_own_spans(spark):
         assert len({w.split("w")[0] for w in words}) == 1 and size[words[0].split("w")[0]][0] == r["doc_id"]
         got[size[words[0].split("w")[0]]] += len(words)
     assert got == Counter({k: v for k, v in want.items() if v})
+
+
+def test_stages_are_written_with_small_batches(spark, monkeypatch, tmp_path):
+    spark.createDataFrame([(i, "a b") for i in range(600)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    sizes = lambda docs: docs.mapInArrow(lambda batches: (b.select([0]) if len(b) <= 250 else 1 / 0 for b in batches), "doc_id long")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("sizes", lambda spark, docs, sf: sizes(docs))])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 600
